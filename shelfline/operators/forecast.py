@@ -130,10 +130,9 @@ def backtest_grid(sales: DataFrame, days: int = 7, horizon: int = 7, history: in
         .groupBy("productId", F.to_date("saleDate").alias("sale_day"))
         .agg(F.sum("quantity").alias("daily_quantity"))
     )
-    made = F.filter(
-        F.sequence(start, b), lambda d: (d >= F.col("sale_day")) & (F.date_sub(d, history) < F.col("sale_day"))
-    )
-    spread = daily.select("*", F.explode(made).alias("forecast_date"))
+    first = F.greatest(start, F.col("sale_day"))
+    last = F.least(b, F.date_add("sale_day", history - 1))
+    spread = daily.select("*", F.explode(F.when(first <= last, F.sequence(first, last))).alias("forecast_date"))
     profile = _weekday_profile(spread, ["productId", "forecast_date"])
     rows = _project(profile, F.col("forecast_date"), horizon, "productId", "forecast_date")
     return rows.withColumn("run_id", F.concat_ws("_", F.lit("RUN"), compact_date(F.col("forecast_date"))))

@@ -15,7 +15,8 @@ from shelfline.plans.reports import beside
 from shelfline.schema import FOREIGN_KEYS, ORDER_STATUSES, PRIMARY_KEYS
 
 
-def _verdict(counted: DataFrame, check: str, entity: str, violations: Column = F.col("violations")) -> DataFrame:
+def _verdict(counted: DataFrame, check: str, entity: str, column: str = "violations") -> DataFrame:
+    violations = F.col(column)
     return counted.select(
         F.lit(check).alias("check"),
         F.lit(entity).alias("entity"),
@@ -118,8 +119,8 @@ def check_order_total(orders: DataFrame, items: DataFrame) -> DataFrame:
     total_off = F.abs(pence(F.col("totalAmount")) - F.coalesce("_p", zero)) > 1
     count_off = F.col("_n").isNotNull() & (F.col("itemCount") != F.col("_n"))
     counted = matched.agg(F.count_if(total_off).alias("total"), F.count_if(count_off).alias("items"))
-    return _verdict(counted, "order_total", "orders", F.col("total")).unionByName(
-        _verdict(counted, "item_count", "orders", F.col("items"))
+    return _verdict(counted, "order_total", "orders", "total").unionByName(
+        _verdict(counted, "item_count", "orders", "items")
     )
 
 
@@ -130,7 +131,7 @@ def check_domain(df: DataFrame, table: str, column: str, values: Sequence[str])
 def check_positive(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """CHECK (column >= 0) rules of the model."""
     counted = df.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in columns])
-    return union_all([_verdict(counted, "not_negative", f"{table}.{c}", F.col(c)) for c in columns])
+    return union_all([_verdict(counted, "not_negative", f"{table}.{c}", c) for c in columns])
 
 
 def check_sales_status(sales: DataFrame, orders: DataFrame) -> DataFrame:
@@ -141,8 +142,8 @@ def check_sales_status(sales: DataFrame, orders: DataFrame) -> DataFrame:
     counted = joined.agg(
         F.sum(F.when(status != "DELIVERED", F.col("_n"))).alias("open"), F.sum(F.when(status == "CANCELLED", F.col("_n"))).alias("cancelled")
     )
-    return _verdict(counted, "sale_of_undelivered_order", "sales", F.col("open")).unionByName(
-        _verdict(counted, "sale_of_cancelled_order", "sales", F.col("cancelled"))
+    return _verdict(counted, "sale_of_undelivered_order", "sales", "open").unionByName(
+        _verdict(counted, "sale_of_cancelled_order", "sales", "cancelled")
     )
 
 

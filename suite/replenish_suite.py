@@ -26,6 +26,13 @@ _LINES = f"""SELECT *, ROW_NUMBER() OVER (ORDER BY order_date, supplier_id, prod
 _DUE_DAY = "DATE '2001-08-06'"
 
 
+def headers_sql(latest: str) -> str:
+    """Purchase-order headers, with the newest forecasts taken from ``latest``."""
+    return f"""SELECT h.po_id, h.supplier_id, h.order_date, h.expected_delivery_date, 'PENDING' AS po_status, SUM(order_quantity)::BIGINT AS total_items,
+                      ROUND(SUM(price_pence * order_quantity)::DECIMAL(28,4) * 0.0070, 2)::DOUBLE AS total_amount
+               FROM ({_HEADS}) h JOIN ({_LINES}) l ON h.order_date = l.order_date AND h.supplier_id = l.supplier_id GROUP BY ALL""".replace("v_latest", latest)
+
+
 def _opportunities(m):
     return p.order_opportunities(m.product_ordering_calendar, m.products, m.suppliers, m.stock, m.forecasts, AS_OF)
 
@@ -104,13 +111,7 @@ def register(s: Suite) -> None:
         ),
         f"""SELECT productId, order_date, atp_delivery_date, GREATEST(min_order_quantity, CEIL((weekly_demand / 7 * 4 - current_stock) / order_multiple) * order_multiple)::BIGINT AS order_quantity FROM ({_OPP})""",
     )
-    s.add(
-        "purchase_order_headers",
-        lambda m: p.purchase_orders(_opportunities(m))[0],
-        f"""SELECT h.po_id, h.supplier_id, h.order_date, h.expected_delivery_date, 'PENDING' AS po_status, SUM(order_quantity)::BIGINT AS total_items,
-                   ROUND(SUM(price_pence * order_quantity)::DECIMAL(28,4) * 0.0070, 2)::DOUBLE AS total_amount
-            FROM ({_HEADS}) h JOIN ({_LINES}) l ON h.order_date = l.order_date AND h.supplier_id = l.supplier_id GROUP BY ALL""",
-    )
+    s.add("purchase_order_headers", lambda m: p.purchase_orders(_opportunities(m))[0], headers_sql("v_latest"))
     s.add(
         "purchase_order_lines",
         lambda m: p.purchase_orders(_opportunities(m))[1],
