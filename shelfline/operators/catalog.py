@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import reference as ref
 from shelfline.functions.classify import PRICE_TIERS, price_tier
-from shelfline.functions.numbers import half_up, mean_int, percent
-from shelfline.plans.ordering import number_rows, percentiles, with_rank
+from shelfline.functions.numbers import half_up, mean_int, pence, percent
+from shelfline.plans.ordering import cut_lineage, number_rows, percentiles, with_rank
 from shelfline.plans.reports import beside
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -303,19 +303,29 @@ def numeric_profile(df: DataFrame, column: str) -> DataFrame:
 
 
 def mapping_quality(mapping: DataFrame, products: DataFrame) -> DataFrame:
-    """Price profile, product reuse and tier shares of a mapping, in one row."""
-    reuse = (
-        mapping.groupBy("product_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(
-            F.count(F.lit(1)).alias("products_used"),
-            mean_int(F.col("n")).alias("avg_mappings_per_product"),
-            F.max("n").alias("max_mappings_per_product"),
-        )
+    """Price profile, product reuse and tier shares of a mapping, in one row.
+
+    The mapping is reduced to one counted row per product before anything
+    else; that small table is cut off its lineage because four results use it.
+    """
+    used = cut_lineage(mapping.groupBy("product_id", "price_tier", "price_gbp").agg(F.count(F.lit(1)).alias("n")))
+    reuse = used.agg(
+        F.count(F.lit(1)).alias("products_used"),
+        mean_int(F.col("n")).alias("avg_mappings_per_product"),
+        F.max("n").alias("max_mappings_per_product"),
+        *[F.sum(F.when(F.col("price_tier") == t, F.col("n")).otherwise(0)).alias(f"{t}_items") for t, _, _ in PRICE_TIERS],
+    )
+    p, n = pence(F.col("price_gbp")), F.col("n")
+    total, s, q = F.sum(n).cast("double"), F.sum(n * p).cast("double"), F.sum(n * p * p).cast("double")
+    profile = used.agg(
+        F.sum(n).alias("count"),
+        (s / total / 100).alias("mean"),
+        (F.sqrt((q * total - s * s) / (total * (total - 1))) / 100).alias("std"),  # exact whole-pence moments
+        (F.min(p) / 100).alias("min"),
+        (F.max(p) / 100).alias("max"),
     )
-    tiers = mapping.agg(*[F.count_if(F.col("price_tier") == name).alias(f"{name}_items") for name, _, _ in PRICE_TIERS])
     available = products.agg(F.count(F.lit(1)).alias("products_available"))
-    return beside(numeric_profile(mapping, "price_gbp"), reuse, tiers, available)
+    return beside(profile, percentiles(used, "price_gbp", QUARTILES, weight="n"), reuse, available)
 
 
 # --- reference series -------------------------------------------------------

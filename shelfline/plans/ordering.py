@@ -26,10 +26,11 @@ def magnitude_bucket(value: Column) -> Column:
     return F.coalesce(F.when(x < 0, -1 - steps).otherwise(steps), F.lit(_NULL_BUCKET))
 
 
-def _value_counts(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+def _value_counts(df: DataFrame, value: str, keys: Sequence[str], weight: str | None = None) -> DataFrame:
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
         df.groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(rows.alias("_n"))
         .withColumn("_b", magnitude_bucket(F.col("_v")))
     )
 
@@ -64,11 +65,14 @@ def with_rank(df: DataFrame, value: str, name: str = "rank", total: str | None =
 
 
 def percentiles(
-    df: DataFrame, value: str, points: dict[str, float], keys: Sequence[str] = ()
+    df: DataFrame, value: str, points: dict[str, float], keys: Sequence[str] = (), weight: str | None = None
 ) -> DataFrame:
-    """Exact interpolated percentiles (PERCENTILE_CONT), one output column per point."""
+    """Exact interpolated percentiles (PERCENTILE_CONT), one output column per point.
+
+    With ``weight`` a row stands for that many equal values.
+    """
     keys = list(keys)
-    counts = _value_counts(df.filter(F.col(value).isNotNull()), value, keys)
+    counts = _value_counts(df.filter(F.col(value).isNotNull()), value, keys, weight)
     placed = _with_offsets(counts, keys, descending=False)
     upto = F.col("_before") + F.col("_n")
 
@@ -93,6 +97,12 @@ def percentiles(
     )
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a small shared intermediate, so its consumers do not recompute it."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start: int | Column = 1) -> DataFrame:
     """Consecutive numbers in a total order, one range-partitioned sort and no single task.
 

@@ -100,9 +100,9 @@ def register(s: Suite) -> None:
     )
     s.add(
         "describe_table",
-        lambda m: writers.describe_table(m.sales, "sales").filter(F.col("column_name").isin("orderId", "quantity", "saleId")).join(
-            m.sales.agg(F.count(F.lit(1)).alias("rows")).select("rows", F.lit("sales").alias("table_name")), "table_name"
-        ),
+        lambda m: writers.describe_table(m.sales, "sales")
+        .filter(F.col("column_name").isin("orderId", "quantity", "saleId"))
+        .withColumn("rows", m.sales.agg(F.count(F.lit(1))).scalar()),
         """SELECT 'sales' AS table_name, position, column_name, data_type, (SELECT COUNT(*) FROM m_sales) AS rows
            FROM (VALUES (0::BIGINT, 'saleId', 'string'), (1, 'orderId', 'string'), (7, 'quantity', 'int')) t(position, column_name, data_type)""",
     )
