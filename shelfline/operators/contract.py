@@ -64,8 +64,11 @@ CRITICAL_FIELDS = [("sku", "string"), ("name", "string"), ("brandName", "string"
 MONEY_PATTERN = r"^£\d+\.\d{2}$"
 
 
-def _get(node: Column, field: str) -> Column:
-    return F.try_variant_get(node, f"$.{field}", "variant")
+Field = tuple[str, str, bool, bool]
+
+
+def _struct_type(fields: list[Field]) -> str:
+    return "struct<" + ",".join(f"`{name}`:variant" for name, *_ in fields) + ">"
 
 
 def _text(value: Column) -> Column:
@@ -76,23 +79,22 @@ def _number(value: Column) -> Column:
     return F.try_variant_get(value, "$", "double")
 
 
-def _kind_error(value: Column, kind: str, label: str) -> Column:
+def _kind_error(value: Column, shape: Column, kind: str, label: str) -> Column:
     """Message when a present, non-null value is not of its kind."""
-    shape = F.schema_of_variant(value)
-    is_text = (shape == "STRING") & (_text(value) != "")
     if kind == "any":
         return F.lit(None).cast("string")
     if kind == "string":
-        return F.when(~is_text, f'"{label}" must be a non-empty string')
+        return F.when((shape != "STRING") | (_text(value) == ""), f'"{label}" must be a non-empty string')
     if kind == "boolean":
         return F.when(shape != "BOOLEAN", f'"{label}" must be a boolean')
     if kind == "number":
-        return F.when(_number(value).isNull() | (shape == "BOOLEAN"), f'"{label}" must be a number')
+        return F.when((shape == "BOOLEAN") | _number(value).isNull(), f'"{label}" must be a number')
     if kind == "positive":
-        whole = (_number(value) > 0) & (_number(value) == F.floor(_number(value))) & (shape != "BOOLEAN")
+        number = _number(value)
+        whole = (shape != "BOOLEAN") & (number > 0) & (number == F.floor(number))
         return F.when(~F.coalesce(whole, F.lit(False)), f'"{label}" must be a positive integer')
     if kind == "money":
-        return F.when(~is_text | ~F.coalesce(_text(value).rlike(MONEY_PATTERN), F.lit(False)), f'"{label}" fails to match the money pattern')
+        return F.when((shape != "STRING") | ~F.coalesce(_text(value).rlike(MONEY_PATTERN), F.lit(False)), f'"{label}" fails to match the money pattern')
     if kind == "object":
         return F.when(~shape.startswith("OBJECT"), f'"{label}" must be an object')
     if kind == "array":
@@ -101,16 +103,16 @@ def _kind_error(value: Column, kind: str, label: str) -> Column:
     return F.when(F.coalesce(_text(value), F.lit("")) != wanted, f'"{label}" must be [{wanted}]')
 
 
-def _rule(node: Column, prefix: str, field: tuple[str, str, bool, bool]) -> Column:
+def _rule(fields: Column, prefix: str, field: Field) -> Column:
     name, kind, required, nullable = field
-    label, value = f"{prefix}{name}", _get(node, field[0])
+    label, value = f"{prefix}{name}", fields[name]
     absent = F.lit(f'"{label}" is required') if required else F.lit(None).cast("string")
     null = F.lit(None).cast("string") if nullable else F.lit(f'"{label}" must not be null')
-    return F.when(value.isNull(), absent).when(F.is_variant_null(value), null).otherwise(_kind_error(value, kind, label))
+    shape = F.schema_of_variant(value)
+    return F.when(value.isNull(), absent).when(F.is_variant_null(value), null).otherwise(_kind_error(value, shape, kind, label))
 
 
-def _unknown(node: Column, prefix: str, fields: list[tuple[str, str, bool, bool]]) -> Column:
-    keys = F.map_keys(F.try_variant_get(node, "$", "map<string,variant>"))
+def _unknown(keys: Column, prefix: str, fields: list[Field]) -> Column:
     known = F.array(*[F.lit(f[0]) for f in fields])
     return F.transform(
         F.coalesce(F.array_except(keys, known), F.array().cast("array<string>")),
@@ -118,59 +120,103 @@ def _unknown(node: Column, prefix: str, fields: list[tuple[str, str, bool, bool]
     )
 
 
-def _object_errors(node: Column, prefix: str, fields: list[tuple[str, str, bool, bool]]) -> Column:
-    return F.concat(F.array_compact(F.array(*[_rule(node, prefix, f) for f in fields])), _unknown(node, prefix, fields))
+def _object_errors(fields: Column, keys: Column, prefix: str, rules: list[Field]) -> Column:
+    found = F.array_compact(F.array(*[_rule(fields, prefix, f) for f in rules]))
+    label = prefix.rstrip(".") or "value"
+    broken = F.array(F.lit(f'"{label}" must be an object'))
+    return F.when(fields.isNull(), broken).otherwise(F.concat(found, _unknown(keys, prefix, rules)))
+
+
+_NONE = "array<string>"
 
 
-def _list_errors(node: Column, field: str, fields: list[tuple[str, str, bool, bool]]) -> Column:
-    members = F.coalesce(F.try_variant_get(node, f"$.{field}", "array<variant>"), F.array().cast("array<variant>"))
-    return F.flatten(F.transform(members, lambda m: _object_errors(m, f"{field}.", fields)))
+def _unpacked(df: DataFrame, members: Column) -> DataFrame:
+    """Product variants split into field structs and key lists, level by level.
 
+    Each level is one cast per object, stored as a column, so the rules below
+    read struct fields and never walk the variant again.
+    """
 
-def product_errors(product: Column) -> Column:
-    """All structural errors of one product variant."""
-    price = _get(product, "price")
-    none = F.array().cast("array<string>")
-    inside_price = F.when(F.schema_of_variant(price).startswith("OBJECT"), _object_errors(price, "price.", PRICE_FIELDS)).otherwise(none)
-    return F.concat(
-        _object_errors(product, "", PRODUCT_FIELDS),
-        F.coalesce(inside_price, none),
-        _list_errors(product, "categories", CATEGORY_FIELDS),
-        _list_errors(product, "assets", ASSET_FIELDS),
+    def each(column: str, path: str, as_type: str) -> Column:
+        return F.transform(column, lambda p: F.try_variant_get(p[path], "$", as_type))
+
+    def keys_of(column: str) -> Column:
+        return F.transform(column, lambda m: F.map_keys(m))
+
+    lists = lambda column: F.transform(column, lambda ms: F.transform(ms, lambda m: F.map_keys(m)))
+    return (
+        df.withColumn("_m", members)
+        .withColumn("_p", F.transform("_m", lambda v: F.try_variant_get(v, "$", _struct_type(PRODUCT_FIELDS))))
+        .withColumn("_pm", F.transform("_m", lambda v: F.try_variant_get(v, "$", "map<string,variant>")))
+        .withColumn("_price", each("_p", "price", _struct_type(PRICE_FIELDS)))
+        .withColumn("_pricem", each("_p", "price", "map<string,variant>"))
+        .withColumn("_cat", each("_p", "categories", f"array<{_struct_type(CATEGORY_FIELDS)}>"))
+        .withColumn("_catm", each("_p", "categories", "array<map<string,variant>>"))
+        .withColumn("_asset", each("_p", "assets", f"array<{_struct_type(ASSET_FIELDS)}>"))
+        .withColumn("_assetm", each("_p", "assets", "array<map<string,variant>>"))
+        .withColumn("_pk", keys_of("_pm"))
+        .withColumn("_pricek", keys_of("_pricem"))
+        .withColumn("_catk", lists("_catm"))
+        .withColumn("_assetk", lists("_assetm"))
     )
 
 
-def critical_errors(product: Column) -> Column:
-    """Errors in the five fields the ingest depends on."""
-    price = _get(product, "price")
-    rules = [_rule(product, "", (n, k, True, False)) for n, k in CRITICAL_FIELDS]
-    rules.append(_rule(product, "", ("price", "object", True, False)))
-    display = _rule(price, "price.", ("amountRelevantDisplay", "money", True, False))
-    rules.append(F.when(F.schema_of_variant(price).startswith("OBJECT"), display))
-    return F.array_compact(F.array(*rules))
+_WORK = ["_v", "_m", "_p", "_pm", "_price", "_pricem", "_cat", "_catm", "_asset", "_assetm", "_pk", "_pricek", "_catk", "_assetk"]
+
+
+def _list_errors(items: Column, keys: Column, field: str, rules: list[Field]) -> Column:
+    checked = F.flatten(F.transform(items, lambda m, j: _object_errors(m, F.get(keys, j), f"{field}.", rules)))
+    return F.coalesce(checked, F.array().cast(_NONE))
 
 
-def _parsed(products: DataFrame, column: str) -> DataFrame:
-    return products.withColumn("_v", F.try_parse_json(column))
+def _product_errors() -> Column:
+    """Array, per product, of all its structural errors."""
+    none = F.array().cast(_NONE)
+
+    def errors(p: Column, i: Column) -> Column:
+        price = F.get("_price", i)
+        inside = F.when(price.isNotNull(), _object_errors(price, F.get("_pricek", i), "price.", PRICE_FIELDS)).otherwise(none)
+        return F.concat(
+            _object_errors(p, F.get("_pk", i), "", PRODUCT_FIELDS),
+            inside,
+            _list_errors(F.get("_cat", i), F.get("_catk", i), "categories", CATEGORY_FIELDS),
+            _list_errors(F.get("_asset", i), F.get("_assetk", i), "assets", ASSET_FIELDS),
+        )
+
+    return F.transform("_p", errors)
+
+
+def _critical_errors() -> Column:
+    """Array, per product, of the errors in the five fields the ingest depends on."""
+
+    def errors(p: Column, i: Column) -> Column:
+        price = F.get("_price", i)
+        rules = [_rule(p, "", (n, k, True, False)) for n, k in CRITICAL_FIELDS]
+        rules.append(_rule(p, "", ("price", "object", True, False)))
+        rules.append(F.when(price.isNotNull(), _rule(price, "price.", ("amountRelevantDisplay", "money", True, False))))
+        return F.when(p.isNull(), F.array(F.lit('"value" must be an object'))).otherwise(F.array_compact(F.array(*rules)))
+
+    return F.transform("_p", errors)
 
 
 def _judged(products: DataFrame, column: str, errors: Column) -> DataFrame:
+    parsed = products.withColumn("_v", F.try_parse_json(column))
     broken = F.array(F.lit("not valid JSON"))
     return (
-        _parsed(products, column)
-        .withColumn("errors", F.when(F.col("_v").isNull(), broken).otherwise(errors))
+        _unpacked(parsed, F.array("_v"))
+        .withColumn("errors", F.when(F.col("_v").isNull(), broken).otherwise(F.get(errors, F.lit(0))))
+        .drop(*_WORK)
         .withColumn("is_valid", F.size("errors") == 0)
-        .drop("_v")
     )
 
 
 def validate_products(products: DataFrame, column: str = "json") -> DataFrame:
     """Full structural check of each product document; adds ``errors`` and ``is_valid``."""
-    return _judged(products, column, product_errors(F.col("_v")))
+    return _judged(products, column, _product_errors())
 
 
 def validate_critical(products: DataFrame, column: str = "json") -> DataFrame:
-    return _judged(products, column, critical_errors(F.col("_v")))
+    return _judged(products, column, _critical_errors())
 
 
 def _page_errors(page: Column) -> Column:
@@ -203,21 +249,19 @@ def contract_report(pages: DataFrame, key: str, column: str = "json", shown: int
     """Per page: structure and critical verdicts, the first product errors and how many more there are."""
     none = F.array().cast("array<variant>")
     members = F.coalesce(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"), none)
-    labelled = lambda find: F.flatten(
-        F.transform(
-            F.col("_members"),
-            lambda p, i: F.transform(find(p), lambda e: F.concat(F.lit("Product["), i.cast("string"), F.lit("]: "), e)),
-        )
-    )
+
+    def labelled(per_product: Column) -> Column:
+        name = lambda e, i: F.concat(F.lit("Product["), i.cast("string"), F.lit("]: "), e)
+        return F.flatten(F.transform(per_product, lambda errors, i: F.transform(errors, lambda e: name(e, i))))
+
     judged = (
-        _parsed(pages, column)
-        .withColumn("_members", members)
+        _unpacked(pages.withColumn("_v", F.try_parse_json(column)), members)
         .withColumn("_page", F.when(F.col("_v").isNull(), F.array(F.lit("not valid JSON"))).otherwise(_page_errors(F.col("_v"))))
-        .withColumn("_product", labelled(product_errors))
-        .withColumn("_critical", labelled(critical_errors))
+        .withColumn("_product", labelled(_product_errors()))
+        .withColumn("_critical", labelled(_critical_errors()))
     )
     more = F.size("_product") - shown
-    tail = F.when(more > 0, F.array(F.concat(F.lit("... and "), more.cast("string"), F.lit(" more")))).otherwise(F.array().cast("array<string>"))
+    tail = F.when(more > 0, F.array(F.concat(F.lit("... and "), more.cast("string"), F.lit(" more")))).otherwise(F.array().cast(_NONE))
     structure = (F.size("_page") == 0) & (F.size("_product") == 0)
     critical = F.size("_critical") == 0
     return judged.select(
@@ -225,7 +269,7 @@ def contract_report(pages: DataFrame, key: str, column: str = "json", shown: int
         (structure & critical).alias("is_valid"),
         structure.alias("structure_valid"),
         critical.alias("critical_fields_valid"),
-        F.size("_members").alias("products"),
+        F.size("_m").alias("products"),
         F.size("_product").alias("product_errors"),
         F.size("_critical").alias("critical_errors"),
         F.concat(F.col("_page"), F.slice("_product", 1, shown), tail).alias("report"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.classify import temperature_zone
 from shelfline.functions.dates import compact_date
 from shelfline.operators import catalog, replenish
+from shelfline.sources.readers import spread_small_file
 
 AS_OF = date(2001, 8, 1)
 BASKET_NOW = datetime(2001, 8, 1, 12, 0)
@@ -27,6 +28,17 @@ INBOUND_DAYS = 180
 FORECAST_AGES = [0, 7, 28]
 SCHEDULE_DAYS = 30
 
+SAMPLE_DDL = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Sample categories: part type to retail category, with three subcategories each.
 CATEGORIES = {
     "ECONOMY": ("Fresh Food", ["Vegetables", "Fruit", "Salad"]),
@@ -52,8 +64,16 @@ class Bridge:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    @cached_property
+    def _raw(self) -> dict[str, DataFrame]:
+        return {}
+
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A sample table with its known schema, so that no footer is read to plan a query."""
+        if name not in self._raw:
+            df = self.spark.read.schema(SAMPLE_DDL[name]).parquet(f"{self.folder}/{name}.parquet")
+            self._raw[name] = spread_small_file(df, df.columns[0])
+        return self._raw[name]
 
     @cached_property
     def customers(self) -> DataFrame:
