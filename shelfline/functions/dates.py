@@ -17,6 +17,17 @@ def anchor(as_of: date, offset_days: int = 0) -> Column:
     return F.lit(as_of + timedelta(days=offset_days))
 
 
+def in_days(column: str, first: date | Column, last: date | None = None) -> Column:
+    """Rows of the days ``first`` to ``last`` of a timestamp column.
+
+    Compares the bare column with midnights, which reaches the file scan; a
+    comparison on ``to_date(column)`` would not.
+    """
+    c = F.col(column)
+    inside = c >= (first if isinstance(first, Column) else F.lit(first))
+    return inside if last is None else inside & (c < F.lit(last + timedelta(days=1)))
+
+
 def months_before(as_of: date, months: int) -> Column:
     return F.add_months(F.lit(as_of), -months)
 

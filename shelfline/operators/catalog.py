@@ -370,7 +370,8 @@ def daily_series_profile(series: DataFrame) -> DataFrame:
 def thin_daily_series(series: DataFrame, step: int = 30) -> DataFrame:
     """Daily totals, every ``step``-th day kept."""
     daily = series.groupBy("ds").agg(F.sum("y").alias("total_quantity"))
-    return number_rows(daily, ["ds"], "_day", start=0).filter(F.col("_day") % step == 0).drop("_day")
+    by_day = Window.orderBy("ds")  # one row per day
+    return daily.withColumn("_day", F.row_number().over(by_day) - 1).filter(F.col("_day") % step == 0).drop("_day")
 
 
 def series_near_level(series: DataFrame, target: float = 1000.0, band: float = 100.0, prefix: str = "", k: int = 10) -> DataFrame:

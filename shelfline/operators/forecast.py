@@ -126,7 +126,7 @@ def backtest_grid(sales: DataFrame, days: int = 7, horizon: int = 7, history: in
     b = sales.agg(F.max(F.to_date("saleDate"))).scalar()
     start = F.greatest(F.date_sub(b, days - 1), F.date_add(a, floor_days))
     daily = (
-        sales.filter(F.to_date("saleDate") > F.date_sub(b, days - 1 + history))
+        sales.filter(F.col("saleDate") >= F.date_sub(b, days - 2 + history))
         .groupBy("productId", F.to_date("saleDate").alias("sale_day"))
         .agg(F.sum("quantity").alias("daily_quantity"))
     )
@@ -223,12 +223,14 @@ def worst_forecasts(detail: DataFrame, side: str = "over", k: int = 5) -> DataFr
 
 def error_histogram(detail: DataFrame, bins: int = 50) -> DataFrame:
     """Prediction errors in equal-width bins from the smallest to the largest error."""
-    errors = detail.select((F.col("predicted_quantity") - F.col("actual_quantity")).alias("e"))
+    # counted per distinct error first: range and bins both come from those rows
+    error = (F.col("predicted_quantity") - F.col("actual_quantity")).alias("e")
+    errors = detail.groupBy(error).agg(F.count(F.lit(1)).alias("n"))
     low, high = errors.agg(F.min("e")).scalar(), errors.agg(F.max("e")).scalar()
     slot = F.coalesce(F.floor(F.try_divide((F.col("e") - low) * bins, high - low)), F.lit(0).cast("long"))
     return (
         errors.groupBy(F.least(slot, F.lit(bins - 1)).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("frequency"), F.min("e").alias("smallest"), F.max("e").alias("largest"))
+        .agg(F.sum("n").alias("frequency"), F.min("e").alias("smallest"), F.max("e").alias("largest"))
         .orderBy("bin")
     )
 

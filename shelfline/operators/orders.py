@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.dates import anchor
+from shelfline.functions.dates import anchor, in_days
 from shelfline.plans.ordering import number_rows
 
 
@@ -84,8 +84,7 @@ def missing_sales(
     orders: DataFrame, items: DataFrame, sales: DataFrame, first: date, last: date, grain: str = "unit"
 ) -> DataFrame:
     """Sales for delivered orders in a delivery window that have none yet."""
-    window = F.to_date("deliveryDate").between(F.lit(first), F.lit(last))
-    open_orders = orders.filter((F.col("orderStatus") == "DELIVERED") & window).join(
+    open_orders = orders.filter((F.col("orderStatus") == "DELIVERED") & in_days("deliveryDate", first, last)).join(
         sales.select("orderId").distinct(), "orderId", "left_anti"
     )
     return sales_from_orders(open_orders, items, grain=grain)
@@ -93,7 +92,7 @@ def missing_sales(
 
 def close_orders(orders: DataFrame, first: date, last: date) -> DataFrame:
     """Orders picked or planned for delivery in the window become DELIVERED."""
-    due = F.col("orderStatus").isin("PICKED", "FUTURE") & F.to_date("deliveryDate").between(F.lit(first), F.lit(last))
+    due = F.col("orderStatus").isin("PICKED", "FUTURE") & in_days("deliveryDate", first, last)
     return orders.withColumn("orderStatus", F.when(due, "DELIVERED").otherwise(F.col("orderStatus")))
 
 

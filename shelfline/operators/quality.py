@@ -25,6 +25,17 @@ def _verdict(counted: DataFrame, check: str, entity: str, column: str = "violati
     )
 
 
+def _verdicts(counted: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """One verdict per (check, entity, column) of a one-row frame of violation counts."""
+    found = [
+        F.struct(F.lit(check).alias("check"), F.lit(entity).alias("entity"), F.coalesce(column, F.lit(0)).cast("long").alias("violations"))
+        for check, entity, column in rules
+    ]
+    return counted.select(F.explode(F.array(*found)).alias("v")).select(
+        "v.check", "v.entity", "v.violations", (F.col("v.violations") == 0).alias("passed")
+    )
+
+
 def _count(rows: DataFrame, check: str, entity: str) -> DataFrame:
     return _verdict(rows.agg(F.count(F.lit(1)).alias("violations")), check, entity)
 
@@ -53,26 +64,43 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
 
 
-def check_key(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
-    """Distinct key values that repeat, and rows with a null key part; one pass over the table."""
-    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    groups = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt"))
-    counted = groups.agg(
-        F.count_if(F.col("cnt") > 1).alias("repeated"), F.coalesce(F.sum(F.when(missing, F.col("cnt"))), F.lit(0)).alias("nulls")
+def _key_verdicts(keyed: DataFrame, entities: Sequence[str]) -> DataFrame:
+    """Repeated and null keys from rows of (entity, key, missing), in one aggregation for all tables."""
+    named = _named(keyed.sparkSession, entities)
+    per_key = keyed.groupBy("entity", "key", "missing").agg(F.count(F.lit(1)).alias("n"))
+    totals = (
+        per_key.groupBy("entity")
+        .agg(F.count_if(F.col("n") > 1).alias("repeated"), F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("nulls"))
+        .unionByName(named.select("entity", F.lit(0).cast("long").alias("repeated"), F.lit(0).cast("long").alias("nulls")))
+        .groupBy("entity")
+        .agg(F.sum("repeated").alias("repeated"), F.sum("nulls").alias("nulls"))
     )
-    entity = f"{table}.{','.join(columns)}"
     kinds = F.array(
         F.struct(F.lit("duplicate_key").alias("check"), F.col("repeated").alias("violations")),
         F.struct(F.lit("null_key").alias("check"), F.col("nulls").alias("violations")),
     )
-    return counted.select(F.explode(kinds).alias("k")).select(
-        F.col("k.check").alias("check"),
-        F.lit(entity).alias("entity"),
-        F.col("k.violations").alias("violations"),
-        (F.col("k.violations") == 0).alias("passed"),
+    return totals.select("entity", F.explode(kinds).alias("k")).select(
+        "k.check", "entity", "k.violations", (F.col("k.violations") == 0).alias("passed")
     )
 
 
+def _named(spark: SparkSession, entities: Sequence[str]) -> DataFrame:
+    """One row per entity, so that a clean entity still gets its verdict."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(e) for e in entities])).alias("entity"))
+
+
+def _keyed(df: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    key = F.array(*[F.col(c).cast("string") for c in columns])
+    return df.select(F.lit(entity).alias("entity"), key.alias("key"), missing.alias("missing"))
+
+
+def check_key(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Distinct key values that repeat, and rows with a null key part; one pass over the table."""
+    entity = f"{table}.{','.join(columns)}"
+    return _key_verdicts(_keyed(df, entity, columns), [entity])
+
+
 def orphans(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Foreign-key values without parent and the rows that carry them.
 
@@ -89,13 +117,29 @@ def check_fk(child: DataFrame, child_table: str, child_column: str, parent: Data
 
 
 def check_all_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_all([check_key(tables[t], t, [c]) for t, c in PRIMARY_KEYS.items() if t in tables])
+    """Every primary key: each table is read once and all keys share one shuffle."""
+    keys = {f"{t}.{c}": _keyed(tables[t], f"{t}.{c}", [c]) for t, c in PRIMARY_KEYS.items() if t in tables}
+    return _key_verdicts(union_all(list(keys.values())), list(keys))
 
 
 def check_all_references(tables: Mapping[str, DataFrame]) -> DataFrame:
-    return union_all(
-        [check_fk(tables[c], c, cc, tables[p], p, pc) for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
-    )
+    """Every foreign key: each child is read once, its references stacked as (relation, value) rows.
+
+    Values are counted before the anti join, so a value that a third of the
+    rows share is shuffled as one row.
+    """
+    relations = [(c, cc, p, pc, f"{c}.{cc} -> {p}.{pc}") for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
+    children: dict[str, list[Column]] = {}
+    for child, column, _, _, entity in relations:
+        children.setdefault(child, []).append(F.struct(F.lit(entity).alias("entity"), F.col(column).cast("string").alias("value")))
+    stacked = union_all([tables[c].select(F.explode(F.array(*refs)).alias("r")).select("r.entity", "r.value") for c, refs in children.items()])
+    counted = stacked.filter(F.col("value").isNotNull()).groupBy("entity", "value").agg(F.count(F.lit(1)).alias("n"))
+    parents = union_all([tables[p].select(F.lit(entity).alias("entity"), F.col(pc).cast("string").alias("value")) for _, _, p, pc, entity in relations])
+    spark = stacked.sparkSession
+    missing = counted.join(parents, ["entity", "value"], "left_anti").select("entity", "n")
+    totals = missing.unionByName(_named(spark, [r[4] for r in relations]).select("entity", F.lit(0).cast("long").alias("n")))
+    totals = totals.groupBy("entity").agg(F.sum("n").alias("violations"))
+    return totals.select(F.lit("foreign_key").alias("check"), "entity", "violations", (F.col("violations") == 0).alias("passed"))
 
 
 # --- row rules --------------------------------------------------------------
@@ -119,9 +163,7 @@ def check_order_total(orders: DataFrame, items: DataFrame) -> DataFrame:
     total_off = F.abs(pence(F.col("totalAmount")) - F.coalesce("_p", zero)) > 1
     count_off = F.col("_n").isNotNull() & (F.col("itemCount") != F.col("_n"))
     counted = matched.agg(F.count_if(total_off).alias("total"), F.count_if(count_off).alias("items"))
-    return _verdict(counted, "order_total", "orders", "total").unionByName(
-        _verdict(counted, "item_count", "orders", "items")
-    )
+    return _verdicts(counted, [("order_total", "orders", "total"), ("item_count", "orders", "items")])
 
 
 def check_domain(df: DataFrame, table: str, column: str, values: Sequence[str]) -> DataFrame:
@@ -131,31 +173,43 @@ def check_domain(df: DataFrame, table: str, column: str, values: Sequence[str])
 def check_positive(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """CHECK (column >= 0) rules of the model."""
     counted = df.agg(*[F.count_if(F.col(c) < 0).alias(c) for c in columns])
-    return union_all([_verdict(counted, "not_negative", f"{table}.{c}", c) for c in columns])
+    return _verdicts(counted, [("not_negative", f"{table}.{c}", c) for c in columns])
+
+
+def _sales_against_orders(sales: DataFrame, orders: DataFrame) -> DataFrame:
+    """Sale rows per (order, day) beside the order's status and delivery day, as three violation counts."""
+    per_day = sales.groupBy("orderId", F.to_date("saleDate").alias("_sold")).agg(F.count(F.lit(1)).alias("_n"))
+    joined = per_day.join(orders.select("orderId", "orderStatus", F.to_date("deliveryDate").alias("_due")), "orderId")
+    status, n = F.col("orderStatus"), F.col("_n")
+    return joined.agg(
+        F.sum(F.when(status != "DELIVERED", n)).alias("open"),
+        F.sum(F.when(status == "CANCELLED", n)).alias("cancelled"),
+        F.sum(F.when(F.col("_sold") != F.col("_due"), n)).alias("misdated"),
+    )
+
+
+_SALE_STATUS_RULES = [("sale_of_undelivered_order", "sales", "open"), ("sale_of_cancelled_order", "sales", "cancelled")]
 
 
 def check_sales_status(sales: DataFrame, orders: DataFrame) -> DataFrame:
     """Sales of orders that are not DELIVERED, and of CANCELLED ones."""
-    per_order = sales.groupBy("orderId").agg(F.count(F.lit(1)).alias("_n"))
-    joined = per_order.join(orders.select("orderId", "orderStatus"), "orderId")
-    status = F.col("orderStatus")
-    counted = joined.agg(
-        F.sum(F.when(status != "DELIVERED", F.col("_n"))).alias("open"), F.sum(F.when(status == "CANCELLED", F.col("_n"))).alias("cancelled")
-    )
-    return _verdict(counted, "sale_of_undelivered_order", "sales", "open").unionByName(
-        _verdict(counted, "sale_of_cancelled_order", "sales", "cancelled")
-    )
+    return _verdicts(_sales_against_orders(sales, orders), _SALE_STATUS_RULES)
 
 
 def check_dates(orders: DataFrame, sales: DataFrame) -> DataFrame:
     """Delivery not before order; sale on the delivery date."""
     early = orders.agg(F.count_if(F.col("deliveryDate") < F.col("orderDate")).alias("violations"))
-    per_day = sales.groupBy("orderId", F.to_date("saleDate").alias("_sold")).agg(F.count(F.lit(1)).alias("_n"))
-    off = (
-        per_day.join(orders.select("orderId", F.to_date("deliveryDate").alias("_due")), "orderId")
-        .agg(F.sum(F.when(F.col("_sold") != F.col("_due"), F.col("_n"))).alias("violations"))
+    return _verdict(early, "delivery_before_order", "orders").unionByName(
+        _verdict(_sales_against_orders(sales, orders), "sale_date", "sales", "misdated")
+    )
+
+
+def _check_order_rows(orders: DataFrame) -> DataFrame:
+    counted = orders.agg(
+        F.count_if(~F.col("orderStatus").isin(ORDER_STATUSES)).alias("domain"),
+        F.count_if(F.col("deliveryDate") < F.col("orderDate")).alias("early"),
     )
-    return _verdict(early, "delivery_before_order", "orders").unionByName(_verdict(off, "sale_date", "sales"))
+    return _verdicts(counted, [("domain", "orders.orderStatus", "domain"), ("delivery_before_order", "orders", "early")])
 
 
 def duplicate_lines(items: DataFrame) -> DataFrame:
@@ -260,7 +314,7 @@ def supply_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def integrity_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All rules over the core tables as one relation."""
+    """All rules over the core tables as one relation; rules on the same rows share one pass."""
     t = tables
     return union_all(
         [
@@ -269,9 +323,8 @@ def integrity_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
             check_price(t["products"]),
             check_line_total(t["order_items"]),
             check_order_total(t["orders"], t["order_items"]),
-            check_domain(t["orders"], "orders", "orderStatus", ORDER_STATUSES),
-            check_sales_status(t["sales"], t["orders"]),
-            check_dates(t["orders"], t["sales"]),
+            _check_order_rows(t["orders"]),
+            _verdicts(_sales_against_orders(t["sales"], t["orders"]), [*_SALE_STATUS_RULES, ("sale_date", "sales", "misdated")]),
         ]
     )
 

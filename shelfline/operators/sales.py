@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.classify import customer_segment
-from shelfline.functions.dates import anchor, month_start, months_before, quarter_label, week_start, weekday_name
+from shelfline.functions.dates import anchor, in_days, month_start, months_before, quarter_label, week_start, weekday_name
 from shelfline.functions.numbers import (
     half_up, line_pence, mean_int, money_avg, money_sum, pence, percent, pounds, ratio, revenue,
 )
@@ -583,10 +583,9 @@ def delivered_revenue(orders: DataFrame) -> DataFrame:
 
 
 def orders_by_day_status(orders: DataFrame, first: date, last: date) -> DataFrame:
-    day = _day("orderDate")
     return (
-        orders.filter(day.between(F.lit(first), F.lit(last)))
-        .groupBy(day.alias("order_date"), "orderStatus")
+        orders.filter(in_days("orderDate", first, last))
+        .groupBy(_day("orderDate").alias("order_date"), "orderStatus")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy("order_date", "orderStatus")
     )
@@ -610,8 +609,8 @@ def status_date_ranges(orders: DataFrame) -> DataFrame:
 def top_products_share(sales: DataFrame, products: DataFrame, as_of: date, days: int = 30, k: int = 10) -> DataFrame:
     """Best sellers with their share of all units sold in the window."""
     recent = _last_days(sales, as_of, days)
-    total = recent.agg(F.sum("quantity")).scalar()
     collapsed = recent.groupBy("productId", "saleDate").agg(F.sum("quantity").alias("_u"), F.sum(_line()).alias("_v"))
+    total = collapsed.agg(F.sum("_u")).scalar()  # from the collapsed rows: their shuffle is shared, sales are read once
     return (
         collapsed.join(products.select("productId", "name"), "productId")
         .groupBy("name")
@@ -636,7 +635,7 @@ def sales_coverage(sales: DataFrame) -> DataFrame:
 
 def recent_sales_by_day(sales: DataFrame, since: date) -> DataFrame:
     return (
-        sales.filter(_day("saleDate") >= F.lit(since))
+        sales.filter(in_days("saleDate", since))
         .groupBy(_day("saleDate").alias("sale_date"))
         .agg(
             F.count(F.lit(1)).alias("sales_count"),

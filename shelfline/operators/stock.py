@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.classify import temperature_zone
-from shelfline.functions.dates import anchor, compact_date
+from shelfline.functions.dates import anchor, compact_date, in_days
 from shelfline.functions.numbers import half_up, mean_int, percent, pence, pounds, ratio
 from shelfline.operators import views
 from shelfline.plans.ordering import with_rank
@@ -49,11 +49,8 @@ def _forecast_total(forecasts: DataFrame, as_of: date, days: int) -> DataFrame:
 
 def daily_demand(sales: DataFrame, first: date | Column, before: date | None = None) -> DataFrame:
     """Units per product and sale day from ``first`` on, optionally up to (not including) ``before``."""
-    sold = F.to_date("saleDate")
-    rows = sales.filter(sold >= (first if isinstance(first, Column) else F.lit(first)))
-    if before is not None:
-        rows = rows.filter(sold < F.lit(before))
-    return rows.groupBy("productId", sold.alias("sale_day")).agg(F.sum("quantity").alias("daily_quantity"))
+    rows = sales.filter(in_days("saleDate", first, None if before is None else before - timedelta(days=1)))
+    return rows.groupBy("productId", F.to_date("saleDate").alias("sale_day")).agg(F.sum("quantity").alias("daily_quantity"))
 
 
 def average_daily_demand(sales: DataFrame, first: date, before: date) -> DataFrame:
@@ -92,7 +89,11 @@ def split_into_batches(capacity: DataFrame, skus: DataFrame, as_of: date, max_ba
     counts = skus.groupBy("productId").agg(F.least(F.count(F.lit(1)), F.lit(max_batches)).alias("_batches"))
     order = Window.partitionBy("productId").orderBy("sku")
     # the rank filter becomes a map-side group limit: at most max_batches SKUs of a product are shuffled per task
-    placed = skus.select("productId", "sku", (F.row_number().over(order) - 1).alias("_i")).filter(F.col("_i") < max_batches)
+    placed = (
+        skus.select("productId", "sku", F.row_number().over(order).alias("_n"))
+        .filter(F.col("_n") <= max_batches)
+        .select("productId", "sku", (F.col("_n") - 1).alias("_i"))
+    )
     rows = capacity.join(counts, "productId").join(placed, "productId")
     shelf = F.coalesce("shelf_life_days", F.lit(30))
     age = ((F.col("_batches") - F.col("_i") - 1) * F.floor(shelf / F.col("_batches"))).cast("int")

@@ -104,19 +104,14 @@ def pending_deliveries(inbound: DataFrame, products: DataFrame, as_of: date) ->
 
 def product_catalog(products: DataFrame, skus: DataFrame) -> DataFrame:
     """Product with its primary SKU and SKU count; several primary SKUs give several rows."""
-    per_product = skus.groupBy("productId").agg(
-        F.countDistinct("sku").alias("total_skus"),
-        F.collect_set(F.when(F.col("is_primary"), F.col("sku"))).alias("_primary"),
-    )
+    counted = skus.groupBy("productId").agg(F.countDistinct("sku").alias("total_skus"))
+    primary = skus.filter("is_primary").select("productId", F.col("sku").alias("primary_sku")).distinct()
     columns = ["productId", "name", "brandName", "sellingSize", "category", "subcategory", "price_gbp"]
     return (
         products.select(*columns)
-        .join(per_product, "productId", "left")
-        .select(
-            *columns,
-            F.explode_outer("_primary").alias("primary_sku"),
-            F.coalesce("total_skus", F.lit(0).cast("long")).alias("total_skus"),
-        )
+        .join(counted, "productId", "left")
+        .join(primary, "productId", "left")
+        .select(*columns, "primary_sku", F.coalesce("total_skus", F.lit(0).cast("long")).alias("total_skus"))
     )
 
 
