@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import reference as ref
 from shelfline.functions.classify import PRICE_TIERS, price_tier
 from shelfline.functions.numbers import half_up, mean_int, pence, percent
-from shelfline.plans.ordering import cut_lineage, number_rows, percentiles, with_rank
+from shelfline.plans.ordering import cut_lineage, number_rows, percentiles, profile, value_counts, with_rank
 from shelfline.plans.reports import beside
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -293,13 +293,8 @@ def map_items_to_products(
 
 
 def numeric_profile(df: DataFrame, column: str) -> DataFrame:
-    """count, mean, std, min, quartiles, max of one column; quartiles exact without a one-task sort."""
-    x = F.col(column).cast("double")
-    moments = df.agg(
-        F.count(column).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"),
-    )
-    return beside(moments, percentiles(df, column, QUARTILES))
+    """count, mean, std, min, quartiles, max of one column; one pass, exact quartiles, no one-task sort."""
+    return profile(value_counts(df, column), QUARTILES)
 
 
 def mapping_quality(mapping: DataFrame, products: DataFrame) -> DataFrame:
@@ -317,7 +312,7 @@ def mapping_quality(mapping: DataFrame, products: DataFrame) -> DataFrame:
     )
     p, n = pence(F.col("price_gbp")), F.col("n")
     total, s, q = F.sum(n).cast("double"), F.sum(n * p).cast("double"), F.sum(n * p * p).cast("double")
-    profile = used.agg(
+    prices = used.agg(
         F.sum(n).alias("count"),
         (s / total / 100).alias("mean"),
         (F.sqrt((q * total - s * s) / (total * (total - 1))) / 100).alias("std"),  # exact whole-pence moments
@@ -325,7 +320,7 @@ def mapping_quality(mapping: DataFrame, products: DataFrame) -> DataFrame:
         (F.max(p) / 100).alias("max"),
     )
     available = products.agg(F.count(F.lit(1)).alias("products_available"))
-    return beside(profile, percentiles(used, "price_gbp", QUARTILES, weight="n"), reuse, available)
+    return beside(prices, percentiles(used, "price_gbp", QUARTILES, weight="n"), reuse, available)
 
 
 # --- reference series -------------------------------------------------------

@@ -13,7 +13,7 @@ from shelfline.functions.dates import anchor, compact_date
 from shelfline.functions.numbers import half_up, ratio
 from shelfline.operators import views
 from shelfline.operators.stock import daily_demand
-from shelfline.plans.reports import beside
+from shelfline.plans.ordering import cut_lineage
 
 MODEL_NAME = "HistoricalPattern"
 Z_95 = 1.96
@@ -225,7 +225,7 @@ def error_histogram(detail: DataFrame, bins: int = 50) -> DataFrame:
     """Prediction errors in equal-width bins from the smallest to the largest error."""
     # counted per distinct error first: range and bins both come from those rows
     error = (F.col("predicted_quantity") - F.col("actual_quantity")).alias("e")
-    errors = detail.groupBy(error).agg(F.count(F.lit(1)).alias("n"))
+    errors = cut_lineage(detail.groupBy(error).agg(F.count(F.lit(1)).alias("n")))
     low, high = errors.agg(F.min("e")).scalar(), errors.agg(F.max("e")).scalar()
     slot = F.coalesce(F.floor(F.try_divide((F.col("e") - low) * bins, high - low)), F.lit(0).cast("long"))
     return (
@@ -307,8 +307,23 @@ def product_forecast(forecasts: DataFrame, product_id: str, first: date, last: d
 
 
 def accuracy_report(detail: DataFrame) -> DataFrame:
-    """Overall metrics with the per-category metrics as a nested array, in one row."""
-    by_category = accuracy_by(detail, "category").agg(
-        F.array_sort(F.collect_list(F.struct("category", "mae", "mape", "confidence_accuracy"))).alias("category_metrics")
+    """Overall metrics with the per-category metrics as a nested array, in one row and one pass."""
+    error = F.col("predicted_quantity") - F.col("actual_quantity")
+    sums = detail.groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("absolute_error").alias("a"), F.sum("relative_error").alias("r"), F.count("relative_error").alias("rn"),
+        F.sum("within_confidence").alias("w"), F.sum(error * error).alias("q"), F.min("target_date").alias("lo"), F.max("target_date").alias("hi"),
+    )
+    own = F.struct(
+        "category", half_up(ratio(F.col("a"), F.col("n")), 6).alias("mae"), half_up(ratio(F.col("r"), F.col("rn")) * 100, 6).alias("mape"),
+        half_up(ratio(F.col("w"), F.col("n")) * 100, 6).alias("confidence_accuracy"),
+    )
+    return sums.agg(
+        half_up(ratio(F.sum("a"), F.sum("n")), 6).alias("mae"),
+        half_up(ratio(F.sum("r"), F.sum("rn")) * 100, 6).alias("mape"),
+        half_up(ratio(F.sum("w"), F.sum("n")) * 100, 6).alias("confidence_accuracy"),
+        F.sum("n").alias("predictions"),
+        half_up(F.sqrt(ratio(F.sum("q"), F.sum("n"))), 6).alias("rmse"),
+        F.min("lo").alias("first_date"),
+        F.max("hi").alias("last_date"),
+        F.array_sort(F.collect_list(own)).alias("category_metrics"),  # one entry per category
     )
-    return beside(accuracy_overall(detail), by_category)

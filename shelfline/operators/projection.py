@@ -14,6 +14,7 @@ from shelfline.functions.dates import anchor
 from shelfline.functions.numbers import half_up
 from shelfline.operators.basket import basket_daily
 from shelfline.operators.views import latest_forecasts
+from shelfline.plans.ordering import cut_lineage
 
 
 def total_demand(forecasts: DataFrame, basket: DataFrame) -> DataFrame:
@@ -196,6 +197,7 @@ def stock_projection(
     flows = projection_flows(products, stock, inbound, forecasts, basket, as_of, days)
     purges = None
     if rule == "fefo":
+        flows = cut_lineage(flows)  # a row per product and day, used by the closed form and by the day loop
         batches = fefo_batches(stock, inbound, as_of, days)
         purges = fefo_exact_purges(flows, batches, expiry_order_breakers(batches), as_of)
     projected = project(flows, opening_stock(stock, as_of), rule, purges)

@@ -13,7 +13,7 @@ from shelfline.functions.classify import minimum_order, order_multiple, size_bou
 from shelfline.functions.dates import anchor, business_days, compact_date
 from shelfline.functions.numbers import ceil_to_multiple, half_up, mean_int, pence, percent, pounds
 from shelfline.operators import views
-from shelfline.plans.ordering import number_rows
+from shelfline.plans.ordering import cut_lineage, number_rows
 
 _LOOKBACK_DAYS = 21  # enough calendar days for five business days over any holiday period
 
@@ -263,7 +263,7 @@ def purchase_orders(opportunities: DataFrame, cost_factor: str = "0.70", start:
     without gathering them: see ``plans.ordering.number_rows``.
     """
     factor = F.lit(Decimal(cost_factor))
-    sized = with_order_quantity(opportunities)
+    sized = cut_lineage(with_order_quantity(opportunities))  # for the headers and for the lines
     heads = number_rows(
         sized.groupBy("order_date", "supplier_id").agg(F.min(F.struct("productId", "atp_delivery_date")).alias("_first")),
         ["order_date", "supplier_id"], "_po", start=start,

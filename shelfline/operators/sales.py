@@ -14,7 +14,7 @@ from shelfline.functions.dates import anchor, in_days, month_start, months_befor
 from shelfline.functions.numbers import (
     half_up, line_pence, mean_int, money_avg, money_sum, pence, percent, pounds, ratio, revenue,
 )
-from shelfline.plans.ordering import percentiles, with_rank
+from shelfline.plans.ordering import cut_lineage, profile, value_counts, with_rank
 from shelfline.plans.reports import beside
 
 COMPLETED = ["DELIVERED", "PICKED"]
@@ -435,18 +435,15 @@ def items_per_order(items: DataFrame) -> DataFrame:
 
 
 def order_value_profile(orders: DataFrame, low: float = 20, high: float = 100) -> DataFrame:
-    """Distribution of order values excluding cancelled orders."""
-    live = _not_cancelled(orders).select("totalAmount")
-    amount = F.col("totalAmount")
-    moments = live.agg(
-        F.count(amount).alias("count"),
-        money_avg(amount).alias("mean"),
-        half_up(F.stddev_pop(amount.cast("double")), 4).alias("std"),
-        F.min(amount).alias("min"),
-        F.max(amount).alias("max"),
-        F.count_if((amount < low) | (amount > high)).alias("out_of_range"),
+    """Distribution of order values excluding cancelled orders, from one pass over them."""
+    counts = value_counts(_not_cancelled(orders), "totalAmount")
+    amount = F.col("value")
+    facts = counts.agg(
+        (ratio(F.sum(pence(amount) * F.col("n")), F.sum("n")) / 100).alias("mean"),
+        F.sum(F.when((amount < low) | (amount > high), F.col("n")).otherwise(0)).alias("out_of_range"),
     )
-    return beside(moments, percentiles(live, "totalAmount", {"q1": 0.25, "median": 0.5, "q3": 0.75}))
+    shape = profile(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, sample=False).drop("mean")
+    return beside(shape.withColumn("std", half_up(F.col("std"), 4)), facts)
 
 
 # --- orders -----------------------------------------------------------------
@@ -610,8 +607,7 @@ def top_products_share(sales: DataFrame, products: DataFrame, as_of: date, days:
     """Best sellers with their share of all units sold in the window."""
     recent = _last_days(sales, as_of, days)
     collapsed = recent.groupBy("productId", "saleDate").agg(F.sum("quantity").alias("_u"), F.sum(_line()).alias("_v"))
-    total = collapsed.agg(F.sum("_u")).scalar()  # from the collapsed rows: their shuffle is shared, sales are read once
-    return (
+    named = cut_lineage(  # one row per name, for the total and the top k
         collapsed.join(products.select("productId", "name"), "productId")
         .groupBy("name")
         .agg(
@@ -619,7 +615,10 @@ def top_products_share(sales: DataFrame, products: DataFrame, as_of: date, days:
             F.sum("_u").alias("total_quantity"),
             pounds(F.sum("_v")).alias("total_revenue"),
         )
-        .orderBy(F.desc("total_quantity"), "name")
+    )
+    total = named.agg(F.sum("total_quantity")).scalar()
+    return (
+        named.orderBy(F.desc("total_quantity"), "name")
         .limit(k)
         .withColumn("pct_of_sales", half_up(percent(F.col("total_quantity"), total), 4))
     )

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.plans.reports import beside
 from shelfline.session import ensure_checkpoint_dir
 
 _STEPS_PER_OCTAVE = 64
@@ -26,6 +27,12 @@ def magnitude_bucket(value: Column) -> Column:
     return F.coalesce(F.when(x < 0, -1 - steps).otherwise(steps), F.lit(_NULL_BUCKET))
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a reduced intermediate that several consumers share."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def _value_counts(df: DataFrame, value: str, keys: Sequence[str], weight: str | None = None) -> DataFrame:
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
@@ -57,7 +64,13 @@ def _with_offsets(counts: DataFrame, keys: Sequence[str], descending: bool) -> D
 
 
 def with_rank(df: DataFrame, value: str, name: str = "rank", total: str | None = None) -> DataFrame:
-    """SQL RANK by ``value`` descending, nulls last; optionally the row total beside it."""
+    """SQL RANK by ``value`` descending, nulls last; optionally the row total beside it.
+
+    Rows are counted and then joined with their rank, so they are materialised
+    once: column pruning would otherwise make the two uses different plans and
+    compute whatever is behind ``df`` twice.
+    """
+    df = cut_lineage(df)
     placed = _with_offsets(_value_counts(df, value, []), [], descending=True).select(
         F.col("_v"), (F.col("_before") + 1).alias(name), *([F.col("_total").alias(total)] if total else [])
     )
@@ -97,12 +110,6 @@ def percentiles(
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a small shared intermediate, so its consumers do not recompute it."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start: int | Column = 1) -> DataFrame:
     """Consecutive numbers in a total order, one range-partitioned sort and no single task.
 
@@ -130,3 +137,21 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start:
         .withColumn(name, first + F.col("_offset") + local)
         .drop("_slot", "_part", "_offset")
     )
+
+
+def value_counts(df: DataFrame, value: str) -> DataFrame:
+    """Rows per distinct non-null value as ``value`` and ``n``: one pass over ``df``, kept for several uses."""
+    rows = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value"))
+    return cut_lineage(rows.agg(F.count(F.lit(1)).alias("n")))
+
+
+def profile(counts: DataFrame, points: dict[str, float], sample: bool = True) -> DataFrame:
+    """Count, mean, deviation, min, max and percentiles from ``value_counts``, in one row."""
+    x, n = F.col("value").cast("double"), F.col("n")
+    total = F.sum(n).cast("double")
+    mean = counts.agg(F.sum(x * n) / total).scalar()
+    spread = F.sqrt(F.try_divide(F.sum(n * (x - mean) * (x - mean)), total - (1 if sample else 0)))
+    moments = counts.agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"), F.max(mean).alias("mean"), spread.alias("std"), F.min(x).alias("min"), F.max(x).alias("max")
+    )
+    return beside(moments, percentiles(counts, "value", points, weight="n"))

@@ -94,6 +94,12 @@ def register(s: Suite) -> None:
         lambda m: f.accuracy_overall(_detail(m)),
         f"SELECT {_METRICS}, {r('sqrt(AVG((predicted_quantity - actual_quantity) * (predicted_quantity - actual_quantity)))', 6)} AS rmse, MIN(target_date) AS first_date, MAX(target_date) AS last_date FROM ({_DETAIL})",
     )
+    s.add(
+        "accuracy_report",
+        lambda m: f.accuracy_report(_detail(m)).withColumn("category_metrics", F.array_join(F.transform("category_metrics", lambda x: F.concat(x["category"], F.lit("="), F.round(x["mae"], 2).cast("decimal(10,2)").cast("string"))), "; ")),
+        f"""SELECT *, (SELECT string_agg(category || '=' || v::VARCHAR, '; ' ORDER BY category) FROM (SELECT category, ROUND(CAST(AVG(absolute_error) AS DECIMAL(28,6)), 2)::DECIMAL(10,2) AS v FROM ({_DETAIL}) GROUP BY category)) AS category_metrics
+            FROM (SELECT {_METRICS}, {r('sqrt(AVG((predicted_quantity - actual_quantity) * (predicted_quantity - actual_quantity)))', 6)} AS rmse, MIN(target_date) AS first_date, MAX(target_date) AS last_date FROM ({_DETAIL}))""",
+    )
     s.add("accuracy_by_category", lambda m: f.accuracy_by(_detail(m), "category"), f"SELECT category, {_METRICS} FROM ({_DETAIL}) GROUP BY category")
     s.add("accuracy_by_target_date", lambda m: f.accuracy_by(_detail(m), "target_date"), f"SELECT target_date, {_METRICS} FROM ({_DETAIL}) GROUP BY target_date")
     s.add(

@@ -325,5 +325,5 @@ def _rounded_profile(m):
     from shelfline.functions.numbers import half_up
     from shelfline.operators.catalog import numeric_profile
 
-    profile = numeric_profile(q.customer_activity(m.orders), "orders_per_week")
-    return profile.select("count", "min", "max", *[half_up(F.col(c), 4).alias(c) for c in ("mean", "std", "p25", "p50", "p75")])
+    shape = numeric_profile(q.customer_activity(m.orders), "orders_per_week")
+    return shape.select("count", "min", "max", *[half_up(F.col(c), 4).alias(c) for c in ("mean", "std", "p25", "p50", "p75")])
