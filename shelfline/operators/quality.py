@@ -128,16 +128,19 @@ def check_all_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     Values are counted before the anti join, so a value that a third of the
     rows share is shuffled as one row.
     """
-    relations = [(c, cc, p, pc, f"{c}.{cc} -> {p}.{pc}") for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
+    relations = [(c, cc, f"{p}.{pc}", f"{c}.{cc} -> {p}.{pc}") for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
     children: dict[str, list[Column]] = {}
-    for child, column, _, _, entity in relations:
-        children.setdefault(child, []).append(F.struct(F.lit(entity).alias("entity"), F.col(column).cast("string").alias("value")))
-    stacked = union_all([tables[c].select(F.explode(F.array(*refs)).alias("r")).select("r.entity", "r.value") for c, refs in children.items()])
-    counted = stacked.filter(F.col("value").isNotNull()).groupBy("entity", "value").agg(F.count(F.lit(1)).alias("n"))
-    parents = union_all([tables[p].select(F.lit(entity).alias("entity"), F.col(pc).cast("string").alias("value")) for _, _, p, pc, entity in relations])
-    spark = stacked.sparkSession
-    missing = counted.join(parents, ["entity", "value"], "left_anti").select("entity", "n")
-    totals = missing.unionByName(_named(spark, [r[4] for r in relations]).select("entity", F.lit(0).cast("long").alias("n")))
+    for child, column, parent, entity in relations:
+        reference = F.struct(F.lit(entity).alias("entity"), F.lit(parent).alias("parent"), F.col(column).cast("string").alias("value"))
+        children.setdefault(child, []).append(reference)
+    stacked = union_all([tables[c].select(F.inline(F.array(*refs))) for c, refs in children.items()])
+    counted = stacked.filter(F.col("value").isNotNull()).groupBy("entity", "parent", "value").agg(F.count(F.lit(1)).alias("n"))
+    # a parent that several relations point to is read once
+    keys = {f"{p}.{pc}": tables[p].select(F.lit(f"{p}.{pc}").alias("parent"), F.col(pc).cast("string").alias("value")) for _, _, p, pc in FOREIGN_KEYS if p in tables}
+    parents = union_all([keys[name] for name in dict.fromkeys(r[2] for r in relations)])
+    missing = counted.join(parents, ["parent", "value"], "left_anti").select("entity", "n")
+    named = _named(stacked.sparkSession, [r[3] for r in relations])
+    totals = missing.unionByName(named.select("entity", F.lit(0).cast("long").alias("n")))
     totals = totals.groupBy("entity").agg(F.sum("n").alias("violations"))
     return totals.select(F.lit("foreign_key").alias("check"), "entity", "violations", (F.col("violations") == 0).alias("passed"))
 
