@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import sys
 from importlib import import_module
 from pkgutil import iter_modules
 
+from pyspark import cloudpickle
+
 from suite.registry import Suite
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the sample forecast model runs in executors
+
 
 def build_suite() -> Suite:
     suite = Suite()
