@@ -5,19 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import langid, mixing, packing, sharding
+from shelfline.llm import ann, jaccard, langid, linededup, lmscore, mixing, neardup, packing, sharding, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return lmscore.score(docs, lmscore.learn(docs))
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_read(spark, sf_dir, "documents"), shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
     )
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_read(spark, sf_dir, "documents"), with_text=False)
+
+
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_read(spark, sf_dir, "documents")))
 
@@ -26,12 +44,27 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(_read(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     return langid.identify(docs, langid.learn(docs), spans=False).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_sharding, op6_packing, op7_mixing, op9_language_id)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.remove_repeats(_read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_lm_scoring, op2_embedding_near_dedup, op3_sharding, op4_substring_dedup, op5_nearest_neighbours,
+        op6_packing, op7_mixing, op8_ngram_jaccard, op9_language_id, op10_line_dedup,
+    )
+}
 
 SQL = {
     "op7_mixing": r"""
