@@ -1,7 +1,7 @@
 """Language ID: script ranges narrow the candidates, then Viterbi over per-word scores labels spans.
 
-The model is fitted on a bounded sample of labelled documents (``PER_LANG`` texts a
-language, the ones of lowest hash; at most ``MOST_LANGS`` languages): smoothed
+The model is fitted on a bounded sample of labelled documents (about ``PER_LANG`` texts a
+language, drawn by hash; at most ``MOST_LANGS`` languages): smoothed
 log-probabilities of byte trigrams, word edges included, and the scripts a language uses.
 Every document is then labelled whole, inside its scan: no shuffle.
 """
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import textops
@@ -90,20 +90,18 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 
 
 def learn(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
-    """Fit on the ``per_lang`` learning documents of lowest hash of each language (bounded: texts are cut in the sample only)."""
-    labelled = docs.filter(~held_out()).filter("text is not null and lang is not null").select("doc_id", "lang")
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    first = (
-        labelled.withColumn("_h", order)
-        .withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id")))  # Spark keeps per_lang a task and language
-        .filter(F.col("_k") <= per_lang)
-        .groupBy("lang").agg(F.max("_h").alias("_most"), F.count("*").alias("_n"))
-        .orderBy("lang").limit(MOST_LANGS)
-    ).collect()  # a row per language
+    """Fit on about ``per_lang`` learning documents of each of the ``MOST_LANGS`` most frequent languages.
+
+    A language's documents are drawn by their ids' hash at the rate that gives that number
+    (all of them where there are fewer). Texts are cut for this sample only.
+    """
+    labelled = docs.filter(~held_out()).filter("text is not null and lang is not null")
+    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     wanted = F.lit(False)
-    for row in first:
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (order <= row["_most"]))
-    sample = docs.filter(~held_out()).filter("text is not null").filter(wanted).select("lang", F.substring("text", 1, MOST_CHARS)).limit(2 * per_lang * MOST_LANGS).collect()
+    for row in counts:
+        wanted = wanted | ((F.col("lang") == row["lang"]) & (place < per_lang / row["count"]))
+    sample = labelled.filter(wanted).select("lang", F.substring("text", 1, MOST_CHARS)).limit(2 * per_lang * max(1, len(counts))).collect()
     return fit([tuple(r) for r in sample])
 
 
