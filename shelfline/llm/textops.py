@@ -1,6 +1,6 @@
 """Vectorised word work on whole Arrow text columns, used inside Spark tasks.
 
-Words are ``[^\\x20\\x09-\\x0D]+``. Texts are handled in slices of a few megabytes,
+Words are ``[^\\x20\\x09-\\x0D]+``. Texts are handled in slices of about a megabyte,
 cut between documents, so that memory follows the slice and not the batch.
 """
 
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
