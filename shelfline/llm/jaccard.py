@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,7 @@ from shelfline.llm.scratch import table
 ELEMENT_BITS = 52  # of a shingle's hash; the rest of a sort key is the document's place in its run
 MOST_DOCS = 1 << (64 - ELEMENT_BITS)
 SPARE = 0.06  # blocks beyond D + 1, as a part of D: what may be empty without being looked at
+BLOCK, TASK_ROWS = 2048, 20_000  # members of a bucket compared at once; rows of small buckets a task takes
 KEY_SHIFT = np.uint64(16)  # 48-bit bucket keys: a chance collision only adds a candidate
 _U = np.uint64
 
@@ -224,6 +226,43 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((least * 100 >= most * percent) & (hamming * (100 + percent) <= (least + most) * (100 - percent))).select("a", "b")
 
 
+def _apart(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b) pairs that share a bucket, lie in different components and are not ruled out by sizes and sketches.
+
+    A bucket may hold many documents that share a passage and little else. Its members are
+    compared by arrays, in blocks of ``BLOCK`` a side, and only plausible pairs become rows.
+    """
+    sizes = table(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    placed = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    # block pairs (i, j), i <= j, that a member's own block is part of
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    tasks = max(1, -(-members.count() // TASK_ROWS))
+    placed = placed.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(tasks))).otherwise(F.xxhash64("bucket", "i", "j")))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "i", "j"], kind="stable")
+        key = rows[["bucket", "i", "j"]].to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(rows)]])
+        node, group, size, own = (rows[c].to_numpy() for c in ("node", "component", "n_shingles", "own"))
+        words = rows[["p0", "p1", "p2", "p3"]].to_numpy().view(_U)
+        found_a, found_b = [], []
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            here = np.arange(lo, hi)
+            left, right = here[own[lo:hi] == key[lo, 1]], here[own[lo:hi] == key[lo, 2]]
+            for at in range(0, len(left), 256):
+                x = left[at:at + 256]
+                least, most = np.minimum(size[x][:, None], size[right]), np.maximum(size[x][:, None], size[right])
+                hamming = sum(np.bitwise_count(words[x, k][:, None] ^ words[right, k][None, :]).astype(np.int64) for k in range(4))
+                good = (group[x][:, None] != group[right]) & (least * 100 >= most * percent) & (hamming * (100 + percent) <= (least + most) * (100 - percent))
+                i, j = np.nonzero(good)
+                found_a.append(np.minimum(node[x[i]], node[right[j]]))
+                found_b.append(np.maximum(node[x[i]], node[right[j]]))
+        pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], 1), axis=0) if found_a else np.zeros((0, 2), np.int64)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return placed.groupBy("task").applyInPandas(run, "a long, b long")
+
+
 def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest id reachable by links of 100 x intersection >= ``percent`` x union.
 
@@ -262,7 +301,7 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
             apart = table(members.join(label, "node"))
             open_ = apart.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
             apart = table(apart.join(open_, "bucket"))
-            pairs = apart.select("bucket", F.col("node").alias("a")).join(apart.select("bucket", F.col("node").alias("b")), "bucket").filter("a < b").select("a", "b").distinct()
+            pairs = _apart(apart.join(sketches, "node"), percent).distinct()
         for side in ("a", "b"):
             pairs = pairs.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of")), side)
         pairs = table(_plausible(pairs.filter("a_of <> b_of").select("a", "b").join(tried, ["a", "b"], "left_anti"), sketches, percent))
