@@ -23,7 +23,7 @@ from shelfline.llm.scratch import table
 
 SAMPLE = 8192
 NEIGHBOURS, SLACK, MOVES = 10, 1.1, 15
-PART_ROWS, MOST_PARTS = 512, 256
+PARTS_PER_ROOT, MOST_PARTS = 1 / 8, 256  # parts follow the root of the rows: routing and ranking then grow alike
 HIDDEN, EPOCHS, BATCH, RATE = 64, 40, 128, 0.01
 RECALL = 0.97  # aimed at in the sample; what the whole table reaches is measured in tests
 BLOCK, QUERY_BLOCK = 4096, 8192
@@ -183,13 +183,13 @@ def _best(index: Index, top: int):
     return run
 
 
-def search(frame: DataFrame, queries: DataFrame, top: int = TOP, sample: int = SAMPLE, part_rows: int = PART_ROWS, recall: float = RECALL) -> DataFrame:
+def search(frame: DataFrame, queries: DataFrame, top: int = TOP, sample: int = SAMPLE, parts_per_root: float = PARTS_PER_ROOT, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``top`` best of the rows its partitions hold, by inner product in double precision.
 
     ``queries`` has vec_id and embedding; its own id is no candidate. Vectors that are
     null, empty, zero or hold null or non-finite components, those without an id, and those not of the
     usual length take no part, neither as query nor as candidate. Ties go to the smaller
-    id. Tables of fewer than two partitions' rows are searched whole.
+    id. Tables too small for two partitions are searched whole.
     """
     def clean(df: DataFrame) -> DataFrame:
         df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
@@ -198,7 +198,7 @@ def search(frame: DataFrame, queries: DataFrame, top: int = TOP, sample: int = S
     rows = clean(frame)
     dims, n = vectors.usual_dims(rows), rows.count()
     rows, asked = rows.filter(F.size("embedding") == dims), clean(queries).filter(F.size("embedding") == dims)
-    index = fit(vectors.sample(rows, sample, dims), max(1, min(MOST_PARTS, n // part_rows)), recall, top)
+    index = fit(vectors.sample(rows, sample, dims), max(1, min(MOST_PARTS, int(parts_per_root * math.sqrt(n)))), recall, top)
 
     def place(first: int):
         def run(frames):
