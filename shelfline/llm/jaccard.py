@@ -195,15 +195,45 @@ def _elements(docs: DataFrame, words: int) -> DataFrame:
                 ids = batch.column("doc_id")[part.first:part.first + len(part)]
                 ends = np.cumsum(s.size)
                 packed = [s.element[e - n:e].tobytes() for e, n in zip(ends, s.size, strict=True)]
-                yield pa.RecordBatch.from_arrays([ids, pa.array(packed, pa.binary())], ["node", "elements"])
+                wide = [_wide(s.hash[e - n:e]) for e, n in zip(ends, s.size, strict=True)]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(s.size), pa.array(packed, pa.binary()), pa.array(wide, pa.binary())], ["node", "size", "elements", "wide"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, elements binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "node long, size long, elements binary, wide binary")
+
+
+def _wide(h: np.ndarray) -> bytes:
+    """A parity sketch of some four bits a shingle (a power of two, 256 at least). Halving it by XOR gives the next narrower one."""
+    bits = 1 << max(8, (4 * max(1, len(h)) - 1).bit_length())
+    odd = (np.bincount((h & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def _narrowed(sketch: bytes, words: int) -> np.ndarray:
+    """A wide sketch as ``words`` 64-bit words."""
+    x = np.frombuffer(sketch, _U)
+    while len(x) > words:
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return x
+
+
+def _fetched(pairs: DataFrame, elements: DataFrame, column: str) -> DataFrame:
+    left = pairs.join(elements.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col(column).alias("x")), "a")
+    return left.join(elements.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col(column).alias("y")), "b").select("a", "b", "n", "m", "x", "y")
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    """The similar ones of (a, b) pairs."""
+    """The similar ones of (a, b) pairs: wide sketches first (a sixteenth of the sets), then the sets."""
 
-    def run(batches):
+    def near(batches):
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+                words = min(len(x), len(y)) // 8
+                hamming = int(np.bitwise_count(_narrowed(x, words) ^ _narrowed(y, words)).sum())
+                keep.append(hamming * (100 + percent) <= (n + m) * (100 - percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def exact(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
@@ -212,8 +242,8 @@ def _verified(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = pairs.join(elements.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
-    return left.join(elements.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    likely = table(_fetched(pairs, elements, "wide").mapInArrow(near, "a long, b long"))
+    return _fetched(likely, elements, "elements").mapInArrow(exact, "a long, b long")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -244,16 +274,22 @@ def _apart(members: DataFrame, percent: int) -> DataFrame:
         key = rows[["bucket", "i", "j"]].to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(rows)]])
         node, group, size, own = (rows[c].to_numpy() for c in ("node", "component", "n_shingles", "own"))
-        words = rows[["p0", "p1", "p2", "p3"]].to_numpy().view(_U)
+        words, sketch = rows[["p0", "p1", "p2", "p3"]].to_numpy().view(_U), rows["wide"].to_numpy()
         found_a, found_b = [], []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             here = np.arange(lo, hi)
+            least_words = min(len(w) for w in sketch[lo:hi]) // 8
+            wide = np.stack([_narrowed(w, least_words) for w in sketch[lo:hi]])
             left, right = here[own[lo:hi] == key[lo, 1]], here[own[lo:hi] == key[lo, 2]]
             for at in range(0, len(left), 256):
                 x = left[at:at + 256]
                 least, most = np.minimum(size[x][:, None], size[right]), np.maximum(size[x][:, None], size[right])
                 hamming = sum(np.bitwise_count(words[x, k][:, None] ^ words[right, k][None, :]).astype(np.int64) for k in range(4))
                 good = (group[x][:, None] != group[right]) & (least * 100 >= most * percent) & (hamming * (100 + percent) <= (least + most) * (100 - percent))
+                for k in np.flatnonzero(good.any(1)):  # what is left: by the wide sketch
+                    j = np.flatnonzero(good[k])
+                    apart = np.bitwise_count(wide[right[j] - lo] ^ wide[x[k] - lo]).astype(np.int64).sum(1)
+                    good[k, j] = apart * (100 + percent) <= (size[x[k]] + size[right[j]]) * (100 - percent)
                 i, j = np.nonzero(good)
                 found_a.append(np.minimum(node[x[i]], node[right[j]]))
                 found_b.append(np.maximum(node[x[i]], node[right[j]]))
@@ -301,7 +337,7 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
             apart = table(members.join(label, "node"))
             open_ = apart.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
             apart = table(apart.join(open_, "bucket"))
-            pairs = _apart(apart.join(sketches, "node"), percent).distinct()
+            pairs = _apart(apart.join(sketches, "node").join(elements.select("node", "wide"), "node"), percent).distinct()
         for side in ("a", "b"):
             pairs = pairs.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of")), side)
         pairs = table(_plausible(pairs.filter("a_of <> b_of").select("a", "b").join(tried, ["a", "b"], "left_anti"), sketches, percent))
