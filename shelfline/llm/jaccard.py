@@ -31,7 +31,7 @@ from shelfline.llm.scratch import table
 ELEMENT_BITS = 52  # of a shingle's hash; the rest of a sort key is the document's place in its run
 MOST_DOCS = 1 << (64 - ELEMENT_BITS)
 SPARE = 0.06  # blocks beyond D + 1, as a part of D: what may be empty without being looked at
-BLOCK, TASK_ROWS = 2048, 20_000  # members of a bucket compared at once; rows of small buckets a task takes
+BLOCK, TASK_ROWS = 2048, 100_000  # members of a bucket compared at once; rows of small buckets a task takes
 KEY_SHIFT = np.uint64(16)  # 48-bit bucket keys: a chance collision only adds a candidate
 _U = np.uint64
 
@@ -202,8 +202,8 @@ def _elements(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _wide(h: np.ndarray) -> bytes:
-    """A parity sketch of some four bits a shingle (a power of two, 256 at least). Halving it by XOR gives the next narrower one."""
-    bits = 1 << max(8, (4 * max(1, len(h)) - 1).bit_length())
+    """A parity sketch of one to two bits a shingle (a power of two, 256 at least). Halving it by XOR gives the next narrower one."""
+    bits = 1 << max(8, (max(1, len(h)) - 1).bit_length())
     odd = (np.bincount((h & _U(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
 
@@ -222,7 +222,7 @@ def _fetched(pairs: DataFrame, elements: DataFrame, column: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
-    """The similar ones of (a, b) pairs: wide sketches first (a sixteenth of the sets), then the sets."""
+    """The similar ones of (a, b) pairs: wide sketches first (a fortieth of the sets), then the sets."""
 
     def near(batches):
         for batch in batches:
@@ -256,28 +256,35 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.filter((least * 100 >= most * percent) & (hamming * (100 + percent) <= (least + most) * (100 - percent))).select("a", "b")
 
 
-def _apart(members: DataFrame, percent: int) -> DataFrame:
+def _apart(members: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
     """(a, b) pairs that share a bucket, lie in different components and are not ruled out by sizes and sketches.
 
     A bucket may hold many documents that share a passage and little else. Its members are
     compared by arrays, in blocks of ``BLOCK`` a side, and only plausible pairs become rows.
+    Buckets of one first member, such as those a passage fills, share a task, so that a
+    node's wide sketch is sent once for all of them.
     """
-    sizes = table(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
+    sizes = table(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("node").alias("lo")))
     placed = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     # block pairs (i, j), i <= j, that a member's own block is part of
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     tasks = max(1, -(-members.count() // TASK_ROWS))
-    placed = placed.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("bucket"), F.lit(tasks))).otherwise(F.xxhash64("bucket", "i", "j")))
+    placed = placed.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("lo"), F.lit(tasks))).otherwise(F.xxhash64("bucket", "i", "j")))
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    placed = table(placed)
+
+    def run(rows: pd.DataFrame, sketches: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "i", "j"], kind="stable")
+        named = dict(zip(sketches["node"], sketches["wide"], strict=True))
         key = rows[["bucket", "i", "j"]].to_numpy()
         cuts = np.concatenate([[0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [len(rows)]])
         node, group, size, own = (rows[c].to_numpy() for c in ("node", "component", "n_shingles", "own"))
-        words, sketch = rows[["p0", "p1", "p2", "p3"]].to_numpy().view(_U), rows["wide"].to_numpy()
+        words, sketch = rows[["p0", "p1", "p2", "p3"]].to_numpy().view(_U), [named[x] for x in rows["node"]]
         found_a, found_b = [], []
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             here = np.arange(lo, hi)
+            if (group[lo:hi] == group[lo]).all():
+                continue
             least_words = min(len(w) for w in sketch[lo:hi]) // 8
             wide = np.stack([_narrowed(w, least_words) for w in sketch[lo:hi]])
             left, right = here[own[lo:hi] == key[lo, 1]], here[own[lo:hi] == key[lo, 2]]
@@ -296,7 +303,8 @@ def _apart(members: DataFrame, percent: int) -> DataFrame:
         pairs = np.unique(np.stack([np.concatenate(found_a), np.concatenate(found_b)], 1), axis=0) if found_a else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return placed.groupBy("task").applyInPandas(run, "a long, b long")
+    wide = placed.select("task", "node").distinct().join(elements.select("node", "wide"), "node")
+    return placed.groupBy("task").cogroup(wide.select(*[F.col(c).alias(c) for c in ("task", "node", "wide")]).groupBy("task")).applyInPandas(run, "a long, b long")
 
 
 def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -337,7 +345,7 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
             apart = table(members.join(label, "node"))
             open_ = apart.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("bucket")
             apart = table(apart.join(open_, "bucket"))
-            pairs = _apart(apart.join(sketches, "node").join(elements.select("node", "wide"), "node"), percent).distinct()
+            pairs = _apart(apart.join(sketches, "node"), elements, percent).distinct()
         for side in ("a", "b"):
             pairs = pairs.join(label.select(F.col("node").alias(side), F.col("component").alias(f"{side}_of")), side)
         pairs = table(_plausible(pairs.filter("a_of <> b_of").select("a", "b").join(tried, ["a", "b"], "left_anti"), sketches, percent))
