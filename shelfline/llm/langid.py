@@ -71,6 +71,8 @@ def _trigrams(run: textops.Words) -> tuple[np.ndarray, np.ndarray]:
 def fit(rows: list[tuple[str, str]]) -> Model:
     """A model from (lang, text) rows: the bounded sample, on the driver."""
     langs = sorted({lang for lang, _ in rows})
+    if not langs:
+        return Model([], np.zeros((1 << BITS, 0), np.float32), np.ones((SCRIPTS, 0), bool))
     counts = np.zeros((1 << BITS, len(langs)))
     scripts = np.zeros((SCRIPTS, len(langs)))
     for k, lang in enumerate(langs):

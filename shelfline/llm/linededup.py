@@ -15,14 +15,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm.mixing import n_words
-from shelfline.llm.scratch import table
+from shelfline.llm.scratch import free, table
 
 MIN_WORDS = 20
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with _d (id, null last), _t (text hash) and _k (both in one): rows alike in id and text are one document."""
-    return docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1))).withColumn("_t", F.xxhash64("text")).withColumn("_k", F.xxhash64("_d", "_t", F.length("text")))
+def _place():
+    """A document's place in the order of copies: its id (null last) and its text's hash. Rows alike in both are one document."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64("text")
+
+
+def _key():
+    """The place and the text's length in one hash, to join by."""
+    return F.xxhash64(*_place(), F.length("text"))
 
 
 def _level(places: DataFrame, *name: str) -> DataFrame:
@@ -39,9 +44,10 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     A repeated run of any length is the union of two such runs, so its lines are all named
     if it has twice ``min_words`` words; none is if it has fewer than ``min_words``.
     """
-    lines = _keyed(docs.select("doc_id", "text")).select("_k", "_d", "_t", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    d, t = _place()
+    lines = docs.select(_key().alias("k"), d.alias("d"), t.alias("t"), F.posexplode(F.split("text", "\n")).alias("i", "line"))
     lines = lines.select(
-        F.col("_k").alias("k"), F.col("_d").alias("d"), F.col("_t").alias("t"), "i",
+        "k", "d", "t", "i",
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), F.col("line")).alias("h2"), n_words("line").alias("w"),
     )
     columns = ["k", "d", "t", "i", "name", "w", "early"]
@@ -65,26 +71,29 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     Lines are cut at line feeds and compared whole. The first of all copies, by document
     id and place, stays; null ids come last; rows alike in id and text are one document and
     are treated alike. Null text stays null and has no lines; an empty text is one empty line.
-    Every other column passes unchanged.
+    Every other column passes unchanged (columns named like the added ones are replaced).
     """
+    own = [c for c in docs.columns if c not in ("n_lines", "n_removed", "removed")]
+    docs = docs.select(*own)
+    key, other, cut = free(docs, "key", "other", "cut")
     spans = repeated_runs(docs, min_words).groupBy("k", "n").agg(F.collect_list("i").alias("starts"))  # of one document: bounded by its lines
-    spans = spans.groupBy("k").agg(F.collect_list(F.struct("n", "starts")).alias("_spans"))
-    joined = _keyed(docs).join(spans, F.col("_k") == F.col("k"), "left").select(*docs.columns, "_spans")
+    spans = spans.groupBy(F.col("k").alias(other)).agg(F.collect_list(F.struct("n", "starts")).alias(cut))
+    joined = docs.withColumn(key, _key()).join(spans, F.col(key) == F.col(other), "left").select(*own, cut)
     fields = docs.schema.fields
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", n_lines long, n_removed long, removed array<int>"
 
     def run(batches):
         for batch in batches:
             texts, counts, gone = [], [], []
-            for text, spans in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, spans in zip(batch.column("text").to_pylist(), batch.column(cut).to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []
-                cut = sorted({j for s in spans or () for i in s["starts"] for j in range(i, i + s["n"])})
-                if cut:
-                    out = set(cut)
+                lost = sorted({j for s in spans or () for i in s["starts"] for j in range(i, i + s["n"])})
+                if lost:
+                    out = set(lost)
                     text = "\n".join(x for j, x in enumerate(lines) if j not in out)
                 texts.append(text)
                 counts.append(len(lines))
-                gone.append(cut)
+                gone.append(lost)
             columns = [pa.array(texts, pa.string()) if f.name == "text" else batch.column(f.name) for f in fields]
             columns += [pa.array(counts, pa.int64()), pa.array([len(x) for x in gone], pa.int64()), pa.array(gone, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(columns, [*[f.name for f in fields], "n_lines", "n_removed", "removed"])

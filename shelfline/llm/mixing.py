@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.scratch import table
+from shelfline.llm.scratch import free, table
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -74,13 +74,14 @@ def plan(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[i
 def mix(docs: DataFrame, share: float = 1.5, cap: float = 2.0, weights: tuple[int, ...] = WEIGHTS, seed: int = 7) -> DataFrame:
     """The mixed corpus: every document as often as the plan says, with all its columns."""
     sizes = table(docs.groupBy("source").agg(F.sum(n_words()).alias("source_size")))
-    aims = table(targets(sizes, share, cap, weights).select(F.col("source").alias("_source"), F.coalesce(F.expr("try_divide(target, source_size)"), F.lit(0.0)).alias("_rate")))
+    other, rate, n, copy = free(docs, "source", "rate", "n", "copy")
+    aims = table(targets(sizes, share, cap, weights).select(F.col("source").alias(other), F.coalesce(F.expr("try_divide(target, source_size)"), F.lit(0.0)).alias(rate)))
     aims = F.broadcast(aims) if aims.count() <= SOURCES_BROADCAST else aims
-    copies = F.floor("_rate") + F.when(draw(seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    copies = F.floor(rate) + F.when(draw(seed) < F.col(rate) - F.floor(rate), 1).otherwise(0)
     return (
-        docs.join(aims, F.col("source").eqNullSafe(F.col("_source")))
-        .withColumn("_n", copies.cast("int"))
-        .filter("_n > 0")
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_n"))))
+        docs.join(aims, F.col("source").eqNullSafe(F.col(other)))
+        .withColumn(n, copies.cast("int"))
+        .filter(F.col(n) > 0)
+        .withColumn(copy, F.explode(F.array_repeat(F.lit(0), F.col(n))))
         .select(*docs.columns)
     )

@@ -24,3 +24,15 @@ def table(df: DataFrame) -> DataFrame:
 def clean_documents(docs: DataFrame) -> DataFrame:
     """The columns of ``documents`` an operator may rely on; whatever else is there is left out."""
     return docs.select(*[c for c in ("doc_id", "text", "lang", "source", "n_chars") if c in docs.columns])
+
+
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as no column of ``docs`` has."""
+    out, taken = [], {c.lower() for c in docs.columns}
+    for name in names:
+        name = f"_{name}"
+        while name in taken:
+            name = f"_{name}"
+        taken.add(name)
+        out.append(name)
+    return out
