@@ -106,7 +106,7 @@ def basket_by_category(basket: DataFrame, products: DataFrame, k: int = 10) -> D
 def recent_baskets(basket: DataFrame, customers: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
     """Newest active basket rows with customer and product names."""
     known = _active(basket).join(customers.select("customerId", "first_name", "last_name"), "customerId")
-    newest = known.orderBy(F.desc("added_at"), "basket_id").limit(k)
+    newest = known.join(products.select("productId"), "productId", "left_semi").orderBy(F.desc("added_at"), "basket_id").limit(k)
     return newest.join(products.select("productId", F.col("name").alias("product_name")), "productId").select(
         "basket_id", "session_id",
         F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),

@@ -275,6 +275,7 @@ def top_forecasts(forecasts: DataFrame, products: DataFrame, k: int = 10, horizo
     newest = forecasts.agg(F.max("forecast_date")).scalar()
     best = (
         forecasts.filter((F.col("forecast_date") == newest) & (F.col("forecast_horizon") <= horizon))
+        .join(products.select("productId"), "productId", "left_semi")
         .orderBy(F.desc("predicted_quantity"), "target_date", "productId")
         .limit(k)
     )

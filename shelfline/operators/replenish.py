@@ -144,8 +144,11 @@ def calendar_stats(calendar: DataFrame) -> DataFrame:
 
 
 def next_opportunities(calendar: DataFrame, products: DataFrame, suppliers: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` earliest active slots of known products and suppliers."""
     first = (
         calendar.filter("is_active")
+        .join(products.select("productId"), "productId", "left_semi")
+        .join(suppliers.select("supplier_id"), "supplier_id", "left_semi")
         .orderBy("order_date", "atp_delivery_date", "productId")
         .limit(k)
     )

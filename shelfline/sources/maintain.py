@@ -53,9 +53,13 @@ def update_from(base: DataFrame, source: DataFrame, on: Sequence[str], columns:
     return joined.select(*order)
 
 
-def update_status(base: DataFrame, events: DataFrame, key: str, column: str = "status") -> DataFrame:
-    """Set the status by key from an event frame of (key, status); last event by name order wins ties."""
-    latest = events.groupBy(key).agg(F.max(column).alias(column))
+def update_status(base: DataFrame, events: DataFrame, key: str, column: str = "status", order: str | None = None) -> DataFrame:
+    """Set the status by key from an event frame of (key, status).
+
+    With several events of a key the latest by ``order`` wins, ties by name order; without
+    an order column the last by name order does.
+    """
+    latest = events.groupBy(key).agg((F.max_by(column, F.struct(order, column)) if order else F.max(column)).alias(column))
     return update_from(base, latest, [key], [column])
 
 

@@ -15,15 +15,14 @@ from shelfline.sources.conform import conform_types
 def write_parquet(tables: Mapping[str, DataFrame], folder: str, partition_by: Mapping[str, Sequence[str]] | None = None) -> None:
     """One SNAPPY parquet data set per table.
 
-    Partitioned tables are first split by their partition columns and a hash
-    of the row, so a very large day is written by several tasks while a small
-    one still lands in few files.
+    Partitioned tables are rebalanced on their partition columns first: Spark splits a
+    very large day by its size, while a small one still lands in few files.
     """
     for name, df in tables.items():
         keys = list((partition_by or {}).get(name, []))
         writer = df
         if keys:
-            writer = df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(8)))
+            writer = df.hint("rebalance", *[F.col(k) for k in keys])
         out = writer.write.mode("overwrite").option("compression", "snappy")
         (out.partitionBy(*keys) if keys else out).parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
@@ -76,7 +75,7 @@ def load_all(spark: SparkSession, read: Callable[[str], DataFrame], order: Seque
             save_table(conform_types(read(name), table_schema(name)), target)
             results.append((name, spark.table(target).count(), "Success"))
         except Exception as error:  # the report goes on with the next table
-            results.append((name, 0, f"Error: {str(error)[:100]}"))
+            results.append((name, 0, f"Error: {error}"))
     return spark.createDataFrame(results, "table_name string, row_count long, status string")
 
 

@@ -13,21 +13,30 @@ BASKET_NOW = "TIMESTAMP '2001-08-01 12:00:00'"
 _UNIT = "((2 * CAST(ROUND(l_extendedprice) AS BIGINT) + CAST(l_quantity AS BIGINT)) // (2 * CAST(l_quantity AS BIGINT)))"
 _PART18 = "LPAD(CAST(l_partkey AS VARCHAR), 18, '0')"
 
-_SHELF = {
-    "Fresh Food": (7, "Vegetables:7|Fruit:7|Herbs & Spices:10|Salad:5|Fresh Soup:3"),
-    "Chilled Food": (10, "Milk & Cream:14|Cheese:21|Beef:5"),
-    "Bakery": (3, "Bread & Rolls:3|Cakes & Treats:5"),
-    "Food Cupboard": (365, "Tins, Cans & Packets:730|Chocolate & Sweets:365|Herbs & Spices:730"),
-}
+# Shelf life in days by category and subcategory (None: any other) of the sample tables.
+_SHELF = [
+    ("Fresh Food", "Vegetables", 7),
+    ("Fresh Food", "Fruit", 7),
+    ("Fresh Food", "Herbs & Spices", 10),
+    ("Fresh Food", "Salad", 5),
+    ("Fresh Food", "Fresh Soup", 3),
+    ("Fresh Food", None, 7),
+    ("Chilled Food", "Milk & Cream", 14),
+    ("Chilled Food", "Cheese", 21),
+    ("Chilled Food", "Beef", 5),
+    ("Chilled Food", None, 10),
+    ("Bakery", "Bread & Rolls", 3),
+    ("Bakery", "Cakes & Treats", 5),
+    ("Bakery", None, 3),
+    ("Food Cupboard", "Tins, Cans & Packets", 730),
+    ("Food Cupboard", "Chocolate & Sweets", 365),
+    ("Food Cupboard", "Herbs & Spices", 730),
+    ("Food Cupboard", None, 365),
+]
 
 
 def _shelf_case() -> str:
-    lines = []
-    for category, (default, subs) in _SHELF.items():
-        for pair in subs.split("|"):
-            sub, days = pair.rsplit(":", 1)
-            lines.append(f"WHEN category = '{category}' AND subcategory = '{sub}' THEN {days}")
-        lines.append(f"WHEN category = '{category}' THEN {default}")
+    lines = [f"WHEN category = '{category}'" + (f" AND subcategory = '{sub}'" if sub else "") + f" THEN {days}" for category, sub, days in _SHELF]
     return "CASE " + " ".join(lines) + " ELSE 30 END"
 
 

@@ -130,3 +130,21 @@ def test_hot_forecast_product(spark):
 def test_dedup_keeps_the_first_page(spark):
     df = spark.createDataFrame([("s", 2, 0, "late"), ("s", 1, 5, "first"), ("t", 1, 0, "only")], "sku string, page int, position int, name string")
     assert rows(catalog.dedup_products(df, ["page", "position"]), "sku", "name", "duplicates") == [("s", "first", 1), ("t", "only", 0)]
+
+
+def test_limits_count_known_products_only(spark):
+    """A top row whose product or supplier is unknown takes nobody's place."""
+    from shelfline.operators import replenish
+
+    calendar = spark.sql("""SELECT * FROM VALUES ('p1', 1, true, DATE'2025-01-01', DATE'2025-01-03', 5), ('p2', 1, true, DATE'2025-01-02', DATE'2025-01-04', 5), ('p2', 9, true, DATE'2025-01-01', DATE'2025-01-02', 5)
+        AS t(productId, supplier_id, is_active, order_date, atp_delivery_date, min_order_quantity)""")
+    out = replenish.next_opportunities(calendar, spark.sql("SELECT 'p2' AS productId, 'two' AS name"), spark.sql("SELECT 1 AS supplier_id, 's' AS supplier_name"), k=1)
+    assert [r["productId"] for r in out.collect()] == ["p2"]
+
+
+def test_latest_event_sets_the_status(spark):
+    from shelfline.sources import maintain
+
+    base = spark.sql("SELECT 1 AS k, 'PENDING' AS status")
+    events = spark.sql("SELECT * FROM VALUES (1, 'SHIPPED', 1), (1, 'RECEIVED', 2) AS t(k, status, at)")
+    assert maintain.update_status(base, events, "k", order="at").first()["status"] == "RECEIVED"
