@@ -52,8 +52,8 @@ def compact_date(column: Column) -> Column:
     return F.date_format(column, "yyyyMMdd")
 
 
-def business_days(first: date, last: date, holidays: list[date]) -> Column:
-    """Sorted array of weekdays that are not holidays; Catalyst folds it to one literal."""
-    days = F.sequence(F.lit(first), F.lit(last))
+def business_days(first: date | Column, last: date, holidays: list[date]) -> Column:
+    """Sorted array of weekdays that are not holidays; between two fixed dates Catalyst folds it to one literal."""
+    days = F.sequence(first if isinstance(first, Column) else F.lit(first), F.lit(last))
     closed = F.array(*[F.lit(h) for h in holidays]) if holidays else F.array().cast("array<date>")
     return F.filter(days, lambda d: (F.weekday(d) < 5) & ~F.array_contains(closed, d))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,8 +15,6 @@ from shelfline.functions.numbers import ceil_to_multiple, half_up, mean_int, pen
 from shelfline.operators import views
 from shelfline.plans.ordering import cut_lineage, number_rows
 
-_LOOKBACK_DAYS = 21  # enough calendar days for five business days over any holiday period
-
 
 # --- calendars --------------------------------------------------------------
 
@@ -46,10 +44,13 @@ def supplier_schedule(
     """Every supplier's deliveries on business days, with the order cut-off a lead time earlier.
 
     The calendar is one small array expression, so the whole schedule is a
-    map over suppliers: no calendar join, no day-by-day walk.
+    map over suppliers: no calendar join, no day-by-day walk. It starts early
+    enough for each supplier's own lead time: two calendar days for each of
+    its business days, and one for each holiday.
     """
     lead = default_lead_time(F.col("supplier_id")) if lead_time is None else lead_time
-    calendar = business_days(first - timedelta(days=_LOOKBACK_DAYS), last, holidays)
+    earlier = F.greatest(F.coalesce(lead, F.lit(0)), F.lit(0)).cast("int") * 2 + (len(holidays) + 7)
+    calendar = business_days(F.date_sub(F.lit(first), earlier), last, holidays)
     slots = F.transform(
         F.col("_days"),
         lambda d, i: F.struct(d.alias("delivery_date"), F.get(F.col("_days"), i - F.col("lead_time_days")).alias("po_cutoff_date")),

@@ -293,14 +293,15 @@ def city_distribution(analytics: DataFrame, k: int = 10) -> DataFrame:
     )
 
 
-def customer_report_summary(analytics: DataFrame, k: int = 20) -> DataFrame:
-    """Customer totals, value of the top ``k``, and the segments as a nested array."""
+def customer_report_summary(analytics: DataFrame, k: int | None = None) -> DataFrame:
+    """Customer totals, value of the buying customers (with ``k``: of the top ``k``), and the segments as a nested array."""
     segments = customer_segments(analytics)
     nested = segments.agg(
         F.sum("customer_count").alias("total_customers"),
         F.array_sort(F.collect_list(F.struct("segment", "customer_count", "avg_lifetime_value", "avg_orders"))).alias("segments"),
     )
-    best = top_customers(analytics, k).agg(
+    buying = analytics.filter(F.col("lifetime_value") > 0) if k is None else top_customers(analytics, k)
+    best = buying.agg(
         money_sum(F.col("lifetime_value")).alias("total_lifetime_value"),
         money_avg(F.col("lifetime_value")).alias("avg_customer_value"),
     )

@@ -259,8 +259,8 @@ def expiring_batches(stock: DataFrame, products: DataFrame, as_of: date, days: i
     return rows if k is None else rows.orderBy("expiration_date", "stock_id", "batch_number").limit(k)
 
 
-def inventory_report_summary(products: DataFrame, stock: DataFrame, forecasts: DataFrame, as_of: date, k: int = 20) -> DataFrame:
-    """One row of report totals; the two product counts are those of the report's top-``k`` lists."""
+def inventory_report_summary(products: DataFrame, stock: DataFrame, forecasts: DataFrame, as_of: date, k: int | None = None) -> DataFrame:
+    """One row of report totals; with ``k`` the two product counts are those of the report's top-``k`` lists."""
     from shelfline.plans.reports import beside
 
     totals = inventory_by_category(stock, products, as_of).agg(

@@ -17,14 +17,12 @@ from pyspark.sql import functions as F
 from shelfline.functions.classify import temperature_zone
 from shelfline.functions.dates import compact_date
 from shelfline.operators import catalog, replenish
-from shelfline.sources.readers import spread_small_file
 
 AS_OF = date(2001, 8, 1)
 BASKET_NOW = datetime(2001, 8, 1, 12, 0)
 HOLIDAYS = [date(2001, 8, 27)]
 BASKET_SHIFT_DAYS = 8204
-STOCK_DAYS = 120
-INBOUND_DAYS = 180
+SOLD_AFTER_DAYS = 120
 FORECAST_AGES = [0, 7, 28]
 SCHEDULE_DAYS = 30
 
@@ -71,8 +69,7 @@ class Bridge:
     def raw(self, name: str) -> DataFrame:
         """A sample table with its known schema, so that no footer is read to plan a query."""
         if name not in self._raw:
-            df = self.spark.read.schema(SAMPLE_DDL[name]).parquet(f"{self.folder}/{name}.parquet")
-            self._raw[name] = spread_small_file(df, df.columns[0])
+            self._raw[name] = self.spark.read.schema(SAMPLE_DDL[name]).parquet(f"{self.folder}/{name}.parquet")
         return self._raw[name]
 
     @cached_property
@@ -178,11 +175,13 @@ class Bridge:
     @cached_property
     def stock(self) -> DataFrame:
         received = F.to_date("l_shipdate")
-        lots = self.raw("lineitem").filter(
-            (F.col("l_shipdate") > F.lit(AS_OF - timedelta(days=STOCK_DAYS)).cast("timestamp_ntz"))
-            & (F.col("l_shipdate") <= F.lit(AS_OF).cast("timestamp_ntz"))
-        )
+        lots = self.raw("lineitem").filter(F.col("l_shipdate") <= F.lit(AS_OF).cast("timestamp_ntz"))  # what has arrived
         expiry = F.date_add(received, (F.col("l_orderkey") % 150).cast("int"))
+        old = received <= F.lit(AS_OF - timedelta(days=SOLD_AFTER_DAYS))
+        status = (
+            F.when(old & (expiry < F.lit(AS_OF)), "EXPIRED").when(old, "SOLD")
+            .when(F.col("l_returnflag") == "R", "RESERVED").otherwise("AVAILABLE")
+        )
         lots = lots.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("stock_id"),
             _id18("l_partkey").alias("productId"),
@@ -193,7 +192,7 @@ class Bridge:
             F.col("l_quantity").cast("int").alias("quantity_in_stock"),
             expiry.alias("expiration_date"),
             received.alias("received_date"),
-            F.when(F.col("l_returnflag") == "R", "RESERVED").otherwise("AVAILABLE").alias("stock_status"),
+            status.alias("stock_status"),
             _money(F.floor(self._unit_pence() * 7 / 10).cast("long")).alias("purchase_price"),
         ).withColumn("batch_number", F.concat_ws("-", F.lit("BATCH"), F.substring("productId", 1, 8), compact_date(F.col("expiration_date"))))
         about = self.products.select(
@@ -205,11 +204,9 @@ class Bridge:
     def inbound_deliveries(self) -> DataFrame:
         shipped = F.to_date("l_shipdate")
         expected = F.date_sub(shipped, F.when(F.col("l_orderkey") % 10 == 0, 1).otherwise(0))
-        due = self.raw("lineitem").filter(
-            F.col("l_shipdate") > F.lit(AS_OF - timedelta(days=INBOUND_DAYS)).cast("timestamp_ntz")
-        )
         return (
-            due.withColumn("expected_delivery_date", expected)
+            self.raw("lineitem")
+            .withColumn("expected_delivery_date", expected)
             .withColumn("_stamp", compact_date(F.col("expected_delivery_date")))
             .withColumn("_arrived", shipped <= F.lit(AS_OF))
             .select(

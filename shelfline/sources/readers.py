@@ -25,21 +25,6 @@ _PRODUCT = (
 PAGE_DDL = f"meta struct<pagination:struct<offset:int,limit:int,totalCount:int>>, data array<{_PRODUCT}>"
 
 
-# A file of this size is worth spreading, yet small enough that moving it costs nothing.
-SMALL_FILE_BYTES = (2 << 20, 256 << 20)
-
-
-def spread_small_file(df: DataFrame, key: str) -> DataFrame:
-    """Spread a small scan over the cores, by a hash of ``key``.
-
-    A parquet file of one row group is read by one task however many cores
-    are free. Data above the size bound has row groups enough and is left alone.
-    """
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    low, high = SMALL_FILE_BYTES
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key) if low <= size <= high else df
-
-
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Header CSV. Give a schema in production: inference reads the files twice."""
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"')

@@ -90,12 +90,13 @@ CTES = {
                CAST(l_quantity AS INTEGER) AS quantity_in_stock,
                CAST(l_shipdate AS DATE) + CAST(l_orderkey % 150 AS INTEGER) AS expiration_date, CAST(l_shipdate AS DATE) AS received_date,
                'BATCH-' || substr(p.productId, 1, 8) || '-' || strftime(CAST(l_shipdate AS DATE) + CAST(l_orderkey % 150 AS INTEGER), '%Y%m%d') AS batch_number,
-               CASE WHEN l_returnflag = 'R' THEN 'RESERVED' ELSE 'AVAILABLE' END AS stock_status, {_UNIT} * 7 // 10 AS cost_pence, p.supplier_id,
+               CASE WHEN CAST(l_shipdate AS DATE) > {AS_OF} - 120 THEN CASE WHEN l_returnflag = 'R' THEN 'RESERVED' ELSE 'AVAILABLE' END
+                    WHEN CAST(l_shipdate AS DATE) + CAST(l_orderkey % 150 AS INTEGER) < {AS_OF} THEN 'EXPIRED' ELSE 'SOLD' END AS stock_status, {_UNIT} * 7 // 10 AS cost_pence, p.supplier_id,
                CASE WHEN p.category IN ('Chilled Food', 'Dairy') OR COALESCE(p.subcategory IN ('Milk', 'Cheese', 'Yoghurt', 'Chilled Meats', 'Ready Meals'), FALSE) THEN 'CHILLED'
                     WHEN p.category IN ('Frozen Food') OR COALESCE(p.subcategory IN ('Ice Cream', 'Frozen Desserts', 'Frozen Meat', 'Frozen Fish'), FALSE) THEN 'FROZEN'
                     ELSE 'AMBIENT' END AS temperature_zone
         FROM lineitem JOIN m_products p ON p.productId = {_PART18}
-        WHERE l_shipdate > {AS_OF} - 120 AND l_shipdate <= {AS_OF}""",
+        WHERE l_shipdate <= {AS_OF}""",
     "m_inbound": f"""
         SELECT concat_ws('_', 'DEL', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS delivery_id,
                'PO_' || strftime(expected, '%Y%m%d') || '_' || l_suppkey AS po_id, {_PART18} AS productId,
@@ -105,7 +106,7 @@ CTES = {
                'BATCH_' || strftime(expected, '%Y%m%d') || '_001' AS batch_number,
                CASE WHEN shipped <= {AS_OF} THEN 'DELIVERED' ELSE 'PENDING' END AS status, l_suppkey AS supplier_id, expected - 3 AS order_date
         FROM (SELECT *, CAST(l_shipdate AS DATE) AS shipped, CAST(l_shipdate AS DATE) - CASE WHEN l_orderkey % 10 = 0 THEN 1 ELSE 0 END AS expected
-              FROM lineitem WHERE l_shipdate > {AS_OF} - 180)""",
+              FROM lineitem)""",
     "m_po": """
         SELECT po_id, MIN(supplier_id) AS supplier_id, MIN(order_date) AS order_date, MIN(expected_delivery_date) AS expected_delivery_date,
                CASE WHEN COUNT(*) FILTER (status = 'PENDING') > 0 THEN 'PENDING' ELSE 'DELIVERED' END AS po_status,

@@ -110,7 +110,13 @@ def register(s: Suite) -> None:
                    SUM(ROUND(lifetime_value * 100)::BIGINT)::DOUBLE / COUNT(*) / 100 AS avg_customer_value,
                    (SELECT string_agg(g || '=' || n, '; ' ORDER BY g) FROM (SELECT CASE WHEN lifetime_value = 0 THEN 'New' WHEN lifetime_value < 500 THEN 'Low Value'
                         WHEN lifetime_value < 2000 THEN 'Medium Value' ELSE 'High Value' END AS g, COUNT(*) AS n FROM v_customer GROUP BY 1)) AS segments
-            FROM ({best})""",
+            FROM v_customer WHERE lifetime_value > 0""",
+    )
+    s.add(
+        "customer_report_summary_of_list",
+        lambda m: q.customer_report_summary(_va(m), k=20).drop("segments"),
+        f"""SELECT (SELECT COUNT(*) FROM v_customer) AS total_customers, SUM(ROUND(lifetime_value * 100)::BIGINT)::DOUBLE / 100 AS total_lifetime_value,
+                   SUM(ROUND(lifetime_value * 100)::BIGINT)::DOUBLE / COUNT(*) / 100 AS avg_customer_value FROM ({best})""",
     )
     month = "SELECT date_trunc('month', sale_day)::DATE AS month, COUNT(*) AS sales_count, SUM(quantity)::BIGINT AS units_sold, SUM(line_pence)::DOUBLE / 100 AS revenue FROM m_sales GROUP BY 1"
     s.add("sales_by_month", lambda m: q.sales_by_month(m.sales), month)

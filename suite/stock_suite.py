@@ -116,6 +116,13 @@ def register(s: Suite) -> None:
     s.add(
         "inventory_report_summary",
         lambda m: k.inventory_report_summary(m.products, m.stock, m.forecasts, AS_OF),
+        f"""SELECT (SELECT SUM(quantity_in_stock * cost_pence) FROM m_stock WHERE stock_status = 'AVAILABLE')::DOUBLE / 100 AS total_inventory_value,
+                   (SELECT SUM(total_units) FROM ({_BY_CATEGORY}))::BIGINT AS total_units_in_stock, (SELECT SUM(expiring_soon) FROM ({_BY_CATEGORY}))::BIGINT AS units_expiring_soon,
+                   (SELECT COUNT(*) FROM ({_LOW})) AS products_with_low_stock, (SELECT COUNT(*) FROM ({_EXPIRING})) AS products_expiring_soon""",
+    )
+    s.add(
+        "inventory_report_summary_of_lists",
+        lambda m: k.inventory_report_summary(m.products, m.stock, m.forecasts, AS_OF, k=20),
         f"""SELECT (SELECT SUM(quantity_in_stock * cost_pence) FROM m_stock WHERE stock_status = 'AVAILABLE')::DOUBLE / 100 AS total_inventory_value,
                    (SELECT SUM(total_units) FROM ({_BY_CATEGORY}))::BIGINT AS total_units_in_stock, (SELECT SUM(expiring_soon) FROM ({_BY_CATEGORY}))::BIGINT AS units_expiring_soon,
                    LEAST((SELECT COUNT(*) FROM ({_LOW})), 20) AS products_with_low_stock, LEAST((SELECT COUNT(*) FROM ({_EXPIRING})), 20) AS products_expiring_soon""",

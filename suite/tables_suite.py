@@ -139,7 +139,7 @@ def register(s: Suite) -> None:
     s.add(
         "update_status",
         lambda m: maintain.update_status(m.inbound_deliveries, m.inbound_deliveries.filter(F.col("quantity") > 25).select("delivery_id", F.lit("RECEIVED").alias("status")), "delivery_id").select("delivery_id", "status"),
-        "SELECT delivery_id, CASE WHEN quantity > 25 THEN 'RECEIVED' ELSE status END AS status FROM m_inbound",
+        "SELECT delivery_id, CASE WHEN delivery_id IN (SELECT delivery_id FROM m_inbound WHERE quantity > 25) THEN 'RECEIVED' ELSE status END AS status FROM m_inbound",
     )
     s.add(
         "close_parents",

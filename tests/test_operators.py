@@ -148,3 +148,13 @@ def test_latest_event_sets_the_status(spark):
     base = spark.sql("SELECT 1 AS k, 'PENDING' AS status")
     events = spark.sql("SELECT * FROM VALUES (1, 'SHIPPED', 1), (1, 'RECEIVED', 2) AS t(k, status, at)")
     assert maintain.update_status(base, events, "k", order="at").first()["status"] == "RECEIVED"
+
+
+def test_long_lead_times_keep_their_cut_off(spark):
+    suppliers = spark.createDataFrame([(1, 30), (2, 1), (3, None)], "supplier_id int, lead int")
+    rows = replenish.supplier_schedule(suppliers, date(2025, 7, 14), date(2025, 7, 18), UK_HOLIDAYS_2025, lead_time=F.col("lead")).collect()
+    cut_off = {(r["supplier_id"], r["delivery_date"]): r["po_cutoff_date"] for r in rows}
+    assert len(rows) == 15
+    assert cut_off[1, date(2025, 7, 14)] == date(2025, 6, 2)
+    assert cut_off[2, date(2025, 7, 14)] == date(2025, 7, 11)
+    assert cut_off[3, date(2025, 7, 14)] is None
