@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from hashlib import sha256
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,16 +21,20 @@ def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str
     the watermark closes days and drops rows that come later than ``late``.
     Sessions are counted by sketch, as an exact distinct count would have to
     keep every session in state.
+
+    A day is the calendar day of the session's time zone, as in the batch views: the
+    clock reading is taken as if it were UTC, where Spark cuts its windows.
     """
-    added = F.col("added_at").cast("timestamp")
     live = F.col("status") == "ACTIVE"
     if now is not None:
         live = live & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(now)))
+    zone = F.current_timezone()
     return (
         basket.filter(live)
-        .withColumn("added_at", added)
-        .withWatermark("added_at", late)
-        .groupBy(F.window("added_at", "1 day").alias("_w"), "productId")
+        .withColumn("added_at", F.col("added_at").cast("timestamp"))
+        .withColumn("_clock", F.from_utc_timestamp("added_at", zone))
+        .withWatermark("_clock", late)
+        .groupBy(F.window("_clock", "1 day").alias("_w"), "productId")
         .agg(
             F.approx_count_distinct("session_id", 0.02).alias("active_sessions"),
             F.sum("quantity").alias("total_quantity"),
@@ -37,7 +42,7 @@ def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str
             F.min("added_at").alias("earliest_add"),
             F.max("added_at").alias("latest_add"),
         )
-        .select(F.to_date("_w.start").alias("basket_day"), "productId", "active_sessions", "total_quantity", "basket_rows", "earliest_add", "latest_add")
+        .select(F.date_from_unix_date(F.floor(F.unix_seconds("_w.start") / 86400).cast("int")).alias("basket_day"), "productId", "active_sessions", "total_quantity", "basket_rows", "earliest_add", "latest_add")
     )
 
 
@@ -45,13 +50,13 @@ def run_available(summary: DataFrame, sink: str, checkpoint: str | None = None)
     """Process what is available, keeping the latest totals per product and day in parquet batches.
 
     Update mode emits a product-day again whenever it changes; ``batch_id``
-    tells a reader which version is newest.
+    tells a reader which version is newest. Each sink has a checkpoint of its own.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    where = checkpoint or f"{ensure_checkpoint_dir(summary.sparkSession)}/itb-summary"
+    where = checkpoint or f"{ensure_checkpoint_dir(summary.sparkSession)}/itb-summary-{sha256(sink.rstrip('/').encode()).hexdigest()[:16]}"
     return (
         summary.writeStream.outputMode("update")
         .foreachBatch(write)
