@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import date
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +12,6 @@ from shelfline.functions.dates import anchor
 from shelfline.functions.numbers import half_up
 from shelfline.operators.basket import basket_daily
 from shelfline.operators.views import latest_forecasts
-from shelfline.plans.ordering import cut_lineage
 
 
 def total_demand(forecasts: DataFrame, basket: DataFrame) -> DataFrame:
@@ -29,178 +26,123 @@ def total_demand(forecasts: DataFrame, basket: DataFrame) -> DataFrame:
     )
 
 
-_FLOWS = ["forecast_demand", "itb_demand", "inbound_deliveries", "expiring"]
+_FLOWS = ["forecast_demand", "itb_demand", "inbound_deliveries", "expiring", "opening"]
 
 
-def _flow(df: DataFrame, day: str | Column, name: str, value: str) -> DataFrame:
-    """Rows of one kind of movement, with the other kinds at zero."""
-    at = F.col(day) if isinstance(day, str) else day
-    return df.select(
-        "productId", at.alias("projection_date"),
-        *[(F.col(value).cast("double") if f == name else F.lit(0.0)).alias(f) for f in _FLOWS],
+def _movement(day: Column, ends: Column | None = None, **kinds: Column) -> Column:
+    """A movement on ``day`` of the kinds given, the others at zero; ``ends`` is the day offset its units expire on."""
+    zero = F.lit(0.0)
+    expires = F.lit(None).cast("int") if ends is None else ends
+    return F.struct(
+        day.alias("projection_date"), expires.alias("_ends"),
+        *[(kinds[f].cast("double") if f in kinds else zero).alias(f) for f in _FLOWS],
     )
 
 
+def _moves(df: DataFrame, *movements: Column) -> DataFrame:
+    return df.select("productId", F.inline(F.array(*movements)))
+
+
 def projection_flows(
-    products: DataFrame, stock: DataFrame, inbound: DataFrame, forecasts: DataFrame, basket: DataFrame, as_of: date, days: int
+    products: DataFrame, stock: DataFrame, inbound: DataFrame, forecasts: DataFrame, basket: DataFrame, as_of: date, days: int, lots: bool = False
 ) -> DataFrame:
-    """One row per product and projection day with demand, arrivals and what expires.
+    """One row per product and projection day with demand, arrivals and what expires; opening stock stands on the first day.
 
-    All movements are stacked and summed once: one shuffle with map-side
-    combine, where a join per kind of movement would take four.
+    Each source is read once and emits all its movements, which are stacked and
+    summed once: one shuffle with map-side combine. With ``lots`` the row also
+    holds, in ``_lots``, the units that arrive on the day and expire by day 0, 1, …
+    ``days`` (what expires later or never counts as ``days``); ``expiring`` stays zero.
     """
     first, last = anchor(as_of), anchor(as_of, days - 1)
     inside = lambda c: F.col(c).between(first, last)
-    spine = products.select("productId", F.explode(F.sequence(first, last)).alias("projection_date")).select(
-        "*", *[F.lit(0.0).alias(f) for f in _FLOWS]
-    )
-    held = stock.filter(F.col("stock_status") == "AVAILABLE")
+    ends = F.least(F.datediff("expiration_date", first), F.lit(days))
+    expires, held_units, due_units = F.col("expiration_date"), F.col("quantity_in_stock"), F.col("quantity")
+    held = stock.filter((F.col("stock_status") == "AVAILABLE") & (expires >= first))
     due = inbound.filter((F.col("status") == "PENDING") & inside("expected_delivery_date"))
-    active = basket.filter(F.col("status") == "ACTIVE").withColumn("_d", F.to_date("added_at"))
+    active = basket.filter(F.col("status") == "ACTIVE").withColumn("_d", F.to_date("added_at")).filter(inside("_d"))
+    predicted = latest_forecasts(forecasts).filter(inside("target_date"))
+    spine = products.select("productId", F.explode(F.sequence(first, last)).alias("_d"))
+    spoils = lambda units: [] if lots else [_movement(expires, expiring=units)]
     flows = (
-        spine.unionByName(_flow(latest_forecasts(forecasts).filter(inside("target_date")), "target_date", "forecast_demand", "predicted_quantity"))
-        .unionByName(_flow(active.filter(inside("_d")), "_d", "itb_demand", "quantity"))
-        .unionByName(_flow(due, "expected_delivery_date", "inbound_deliveries", "quantity"))
-        .unionByName(_flow(held.filter(inside("expiration_date")), "expiration_date", "expiring", "quantity_in_stock"))
-        .unionByName(_flow(due.filter(inside("expiration_date")), "expiration_date", "expiring", "quantity"))
+        _moves(spine, _movement(F.col("_d")))
+        .unionByName(_moves(predicted, _movement(F.col("target_date"), forecast_demand=F.col("predicted_quantity"))))
+        .unionByName(_moves(active, _movement(F.col("_d"), itb_demand=F.col("quantity"))))
+        .unionByName(_moves(held, _movement(first, ends, opening=held_units), *spoils(held_units)))
+        .unionByName(_moves(due, _movement(F.col("expected_delivery_date"), ends, inbound_deliveries=due_units), *spoils(due_units)))
     )
-    return flows.groupBy("productId", "projection_date").agg(*[F.sum(f).alias(f) for f in _FLOWS])
+    sums = [F.sum(f).alias(f) for f in _FLOWS]
+    if lots:
+        units = F.col("opening") + F.col("inbound_deliveries")
+        by_end = [F.sum(F.when(F.col("_ends") <= day, units).otherwise(F.lit(0.0))) for day in range(days + 1)]
+        sums.append(F.array(*by_end).alias("_lots"))
+    return flows.filter(inside("projection_date")).groupBy("productId", "projection_date").agg(*sums)
 
 
-def opening_stock(stock: DataFrame, as_of: date) -> DataFrame:
-    """Available units that have not expired before the projection starts."""
-    return (
-        stock.filter((F.col("stock_status") == "AVAILABLE") & (F.col("expiration_date") >= anchor(as_of)))
-        .groupBy("productId")
-        .agg(F.sum("quantity_in_stock").cast("double").alias("opening"))
-    )
+def netted_purges(flows: DataFrame) -> DataFrame:
+    """A day purges what expires beyond that day's demand."""
+    spare = F.col("expiring") - F.col("forecast_demand") - F.col("itb_demand")
+    return flows.withColumn("purge_quantity", F.greatest(spare, F.lit(0.0)))
 
 
-def project(flows: DataFrame, opening: DataFrame, rule: str = "netted", purges: DataFrame | None = None) -> DataFrame:
-    """Running stock per product from daily flows.
+def fefo_purges(flows: DataFrame, as_of: date, days: int) -> DataFrame:
+    """Lots sell earliest expiry first, unmet demand waits for the next lot, and what is left at the end of its last day is purged.
 
-    ``netted``: a day purges what expires beyond that day's demand.
-    ``fefo``: batches sell earliest expiry first, so what has been purged by a
-    day is the running maximum of cumulative expiry over cumulative demand.
-    ``purges`` replaces the fefo purge of the products it lists.
-
-    The windows see one row per product and projection day, a group of the
-    length of the horizon for every product, hot or not.
+    ``left`` holds the units that expire by each day. Selling takes ``wanted`` units
+    off all of these running totals, a purge then takes off what the day's own total
+    still holds; both together are the larger of the two. A product is one row
+    of ``days`` structs of ``days + 1`` numbers, however many lots are behind it.
     """
-    upto = Window.partitionBy("productId").orderBy("projection_date").rowsBetween(Window.unboundedPreceding, 0)
-    by_day = Window.partitionBy("productId").orderBy("projection_date")
-    demand = F.col("forecast_demand") + F.col("itb_demand")
-    rows = (
-        flows.join(opening, "productId", "left")
-        .withColumn("opening", F.coalesce("opening", F.lit(0.0)))
-        .withColumn("total_demand", demand)
-        .withColumn("_in", F.sum("inbound_deliveries").over(upto))
-        .withColumn("_out", F.sum("total_demand").over(upto))
-    )
-    if rule == "netted":
-        rows = rows.withColumn("purge_quantity", F.greatest(F.col("expiring") - F.col("total_demand"), F.lit(0.0)))
-        rows = rows.withColumn("_purged", F.sum("purge_quantity").over(upto))
-    elif rule == "fefo":
-        rows = rows.withColumn("_gap", F.sum("expiring").over(upto) - F.col("_out"))
-        rows = rows.withColumn("_purged", F.greatest(F.max("_gap").over(upto), F.lit(0.0)))
-        rows = rows.withColumn("purge_quantity", F.col("_purged") - F.coalesce(F.lag("_purged").over(by_day), F.lit(0.0)))
-        if purges is not None:
-            listed = purges.select("productId", "projection_date", F.col("purge_quantity").alias("_exact"))
-            rows = rows.join(listed, ["productId", "projection_date"], "left")
-            rows = rows.withColumn("purge_quantity", F.coalesce("_exact", "purge_quantity")).drop("_exact")
-            rows = rows.withColumn("_purged", F.sum("purge_quantity").over(upto))
-    else:
-        raise ValueError(f"unknown rule {rule!r}")
-    ending = F.col("opening") + F.col("_in") - F.col("_out") - F.col("_purged")
-    return (
-        rows.withColumn("projected_ending_stock", ending)
-        .withColumn("beginning_stock", F.coalesce(F.lag("projected_ending_stock").over(by_day), F.col("opening")))
-        .select(
-            "productId", "projection_date", "beginning_stock", "inbound_deliveries", "forecast_demand", "itb_demand",
-            "total_demand", "purge_quantity", "projected_ending_stock",
+    first, zero = anchor(as_of), F.lit(0.0)
+
+    def step(state: Column, day: Column) -> Column:
+        today = F.datediff(day["projection_date"], first)
+        wanted = state["owed"] + (day["forecast_demand"] + day["itb_demand"])
+        by = lambda i: F.get(state["left"], i) + F.get(day["_lots"], i)
+        taken = F.greatest(wanted, by(today))
+        return F.struct(
+            F.zip_with(state["left"], day["_lots"], lambda x, y: F.greatest(x + y - taken, zero)).alias("left"),
+            F.greatest(wanted - by(F.lit(days)), zero).alias("owed"),
+            F.concat(state["purged"], F.array(F.greatest(by(today) - wanted, zero))).alias("purged"),
         )
+
+    start = F.struct(F.array_repeat(zero, days + 1).alias("left"), zero.alias("owed"), F.array().cast("array<double>").alias("purged"))
+    per_product = flows.groupBy("productId").agg(F.array_sort(F.collect_list(F.struct("projection_date", *_FLOWS, "_lots"))).alias("_days"))
+    purged = per_product.withColumn("_purged", F.aggregate("_days", start, step, lambda state: state["purged"]))
+    return purged.select("productId", F.inline(F.arrays_zip("_days", "_purged"))).select(
+        "productId", "_days.projection_date", *[f"_days.{f}" for f in _FLOWS], F.col("_purged").alias("purge_quantity")
     )
 
 
-def fefo_batches(stock: DataFrame, inbound: DataFrame, as_of: date, days: int) -> DataFrame:
-    """Units per product, arrival day and expiry day, as day offsets clipped to just past the horizon."""
-    offset = lambda c: F.least(F.datediff(c, anchor(as_of)), F.lit(days)).cast("int")
-    held = stock.filter((F.col("stock_status") == "AVAILABLE") & (F.col("expiration_date") >= anchor(as_of)))
-    due = inbound.filter(
-        (F.col("status") == "PENDING") & F.col("expected_delivery_date").between(anchor(as_of), anchor(as_of, days - 1))
-    )
-    rows = held.select("productId", F.lit(-1).alias("arrives"), offset("expiration_date").alias("expires"), F.col("quantity_in_stock").alias("q"))
-    rows = rows.unionByName(
-        due.select("productId", offset("expected_delivery_date").alias("arrives"), offset("expiration_date").alias("expires"), F.col("quantity").alias("q"))
-    )
-    return rows.groupBy("productId", "arrives", "expires").agg(F.sum("q").cast("double").alias("q"))
-
-
-def expiry_order_breakers(batches: DataFrame) -> DataFrame:
-    """Products where something arrives that expires before stock already held."""
-    per_day = batches.groupBy("productId", "arrives").agg(F.min("expires").alias("lo"), F.max("expires").alias("hi"))
-    earlier = Window.partitionBy("productId").orderBy("arrives").rowsBetween(Window.unboundedPreceding, -1)
-    return per_day.withColumn("_held", F.max("hi").over(earlier)).filter(F.col("lo") < F.col("_held")).select("productId").distinct()
-
-
-def fefo_day_loop(demand: list[float], batches: list[tuple[int, int, float]]) -> list[float]:
-    """Units purged on each day: receive, sell earliest expiry first with backlog, purge at day end."""
-    left: dict[int, float] = {}
-    backlog, purged = 0.0, []
-    for day, wanted in enumerate(demand):
-        for arrives, expires, q in batches:
-            if arrives == day or (day == 0 and arrives < 0):
-                left[expires] = left.get(expires, 0.0) + q
-        backlog += wanted
-        for expires in sorted(left):
-            sold = min(left[expires], backlog)
-            left[expires] -= sold
-            backlog -= sold
-        purged.append(sum(left.pop(e) for e in [e for e in left if e <= day]))
-    return purged
-
-
-def fefo_exact_purges(flows: DataFrame, batches: DataFrame, products: DataFrame, as_of: date) -> DataFrame:
-    """The batch loop for the listed products, one row of arrays per product.
-
-    Both arrays are bounded by the horizon (days, and day pairs), so rows stay
-    small whatever the number of batches behind them.
+def project(flows: DataFrame) -> DataFrame:
+    """Running stock per product from daily flows and purges.
+
+    The windows see one row per product and projection day, a group of the
+    length of the horizon for every product, hot or not.
     """
-    wanted = flows.join(products, "productId", "left_semi").groupBy("productId").agg(
-        F.array_sort(F.collect_list(F.struct("projection_date", (F.col("forecast_demand") + F.col("itb_demand")).alias("d")))).alias("_days")
-    )
-    lots = batches.join(products, "productId", "left_semi").groupBy("productId").agg(
-        F.collect_list(F.struct("arrives", "expires", "q")).alias("_lots")
-    )
-    packed = wanted.join(lots, "productId").select(
-        "productId", F.col("_days.d").alias("demand"), F.col("_lots.arrives").alias("arrives"),
-        F.col("_lots.expires").alias("expires"), F.col("_lots.q").alias("q"),
+    upto = Window.partitionBy("productId").orderBy("projection_date").rowsBetween(Window.unboundedPreceding, 0)
+    by_day = Window.partitionBy("productId").orderBy("projection_date")
+    rows = flows.withColumn("total_demand", F.col("forecast_demand") + F.col("itb_demand"))
+    so_far = lambda c: F.sum(c).over(upto)
+    ending = so_far("opening") + so_far("inbound_deliveries") - so_far("total_demand") - so_far("purge_quantity")
+    rows = rows.withColumn("projected_ending_stock", ending).withColumn("_opening", so_far("opening"))
+    return rows.withColumn("beginning_stock", F.coalesce(F.lag("projected_ending_stock").over(by_day), F.col("_opening"))).select(
+        "productId", "projection_date", "beginning_stock", "inbound_deliveries", "forecast_demand", "itb_demand",
+        "total_demand", "purge_quantity", "projected_ending_stock",
     )
 
-    def run(pages: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for page in pages:
-            rows = []
-            for row in page.itertuples(index=False):
-                lots = list(zip(row.arrives, row.expires, row.q))
-                rows += [(row.productId, day, p) for day, p in enumerate(fefo_day_loop(list(row.demand), lots))]
-            yield pd.DataFrame(rows, columns=["productId", "day", "purge_quantity"])
-
-    made = packed.mapInPandas(run, "productId string, day int, purge_quantity double")
-    return made.select("productId", F.date_add(F.lit(as_of), F.col("day")).alias("projection_date"), "purge_quantity")
-
 
 def stock_projection(
     products: DataFrame, stock: DataFrame, inbound: DataFrame, forecasts: DataFrame, basket: DataFrame,
     as_of: date, days: int = 14, rule: str = "netted",
 ) -> DataFrame:
-    """Start, inbound, demand, purge and ending stock per product and day; stock may go negative."""
-    flows = projection_flows(products, stock, inbound, forecasts, basket, as_of, days)
-    purges = None
-    if rule == "fefo":
-        flows = cut_lineage(flows)  # a row per product and day, used by the closed form and by the day loop
-        batches = fefo_batches(stock, inbound, as_of, days)
-        purges = fefo_exact_purges(flows, batches, expiry_order_breakers(batches), as_of)
-    projected = project(flows, opening_stock(stock, as_of), rule, purges)
+    """Start, inbound, demand, purge and ending stock per product and day; stock may go negative.
+
+    ``rule`` names the purge: ``netted`` or ``fefo``.
+    """
+    if rule not in ("netted", "fefo"):
+        raise ValueError(f"unknown rule {rule!r}")
+    flows = projection_flows(products, stock, inbound, forecasts, basket, as_of, days, lots=rule == "fefo")
+    projected = project(netted_purges(flows) if rule == "netted" else fefo_purges(flows, as_of, days))
     whole = Window.partitionBy("productId")
     ending, demand = F.col("projected_ending_stock"), F.col("total_demand")
     mean = F.avg("total_demand").over(whole)

@@ -14,16 +14,15 @@ def day(i):
 
 def flows(spark, data):
     return spark.createDataFrame(
-        [(pid, day(i), float(d), 0.0, float(n), float(e)) for pid, i, d, n, e in data],
-        "productId string, projection_date date, forecast_demand double, itb_demand double, inbound_deliveries double, expiring double",
+        [(pid, day(i), float(d), 0.0, float(n), float(e), float(o)) for pid, i, d, n, e, o in data],
+        "productId string, projection_date date, forecast_demand double, itb_demand double, inbound_deliveries double, expiring double, opening double",
     )
 
 
 def test_netted_worked_example(spark):
     demand, inbound, expiring = [18, 20, 22, 19, 23], [0, 0, 15, 0, 0], [0, 0, 0, 25, 0]
-    f = flows(spark, [("A", i, demand[i], inbound[i], expiring[i]) for i in range(5)])
-    opening = spark.createDataFrame([("A", 75.0)], "productId string, opening double")
-    got = [r["projected_ending_stock"] for r in p.project(f, opening, "netted").orderBy("projection_date").collect()]
+    f = flows(spark, [("A", i, demand[i], inbound[i], expiring[i], 0 if i else 75) for i in range(5)])
+    got = [r["projected_ending_stock"] for r in p.project(p.netted_purges(f)).orderBy("projection_date").collect()]
     assert got == [57, 37, 30, 5, -18]
 
 
@@ -91,9 +90,8 @@ def test_fefo_against_day_loop(spark):
     inbound_df = spark.createDataFrame(inbound, "productId string, quantity int, expected_delivery_date date, expiration_date date, status string")
     forecasts = spark.createDataFrame(demand, "productId string, forecast_date date, target_date date, predicted_quantity double")
     basket = spark.createDataFrame([], "productId string, quantity int, added_at timestamp, status string")
-    batches = p.fefo_batches(stock_df, inbound_df, D0, days)
-    breakers = p.expiry_order_breakers(batches).count()
-    assert 0 < breakers < len(cases)  # both the closed form and the loop are exercised
+    breakers = sum(any(e < h for a, e, _ in coming for h in [h for h, _ in held] + [f for b, f, _ in coming if b < a]) for held, _, coming in cases.values())
+    assert 0 < breakers < len(cases)  # arrivals in and out of expiry order
     got = {}
     for r in p.stock_projection(products, stock_df, inbound_df, forecasts, basket, D0, days, "fefo").orderBy("projection_date").collect():
         got.setdefault(r["productId"], []).append((r["purge_quantity"], r["projected_ending_stock"]))
@@ -110,8 +108,10 @@ def test_hot_product_is_projected_like_any_other(spark):
         F.date_add(F.lit(D0), (F.col("id") % 5).cast("int")).alias("expiration_date"),
         F.lit("AVAILABLE").alias("stock_status"),
     )
-    opening = p.opening_stock(stock, D0)
-    assert opening.filter("productId = 'HOT'").first()["opening"] == n / 3
-    empty = spark.createDataFrame([], "productId string, quantity int, expected_delivery_date date, expiration_date date, status string")
-    batches = p.fefo_batches(stock, empty, D0, 5)
-    assert batches.filter("productId = 'HOT'").count() == 5  # packed by day before any per-product work
+    products = spark.createDataFrame([("HOT",)], "productId string")
+    inbound = spark.createDataFrame([], "productId string, quantity int, expected_delivery_date date, expiration_date date, status string")
+    forecasts = spark.createDataFrame([], "productId string, forecast_date date, target_date date, predicted_quantity double")
+    basket = spark.createDataFrame([], "productId string, quantity int, added_at timestamp, status string")
+    rows = p.projection_flows(products, stock, inbound, forecasts, basket, D0, 5, lots=True).filter("productId = 'HOT'").orderBy("projection_date").collect()
+    assert [r["opening"] for r in rows] == [n / 3, 0, 0, 0, 0]  # a row per day before any per-product work
+    assert rows[0]["_lots"] == [n / 15, 2 * n / 15, 3 * n / 15, 4 * n / 15, n / 3, n / 3]
