@@ -232,10 +232,14 @@ class Bridge:
 
     @cached_property
     def live_basket(self) -> DataFrame:
+        return self.basket_rows(self.raw("events"))
+
+    def basket_rows(self, events: DataFrame) -> DataFrame:
+        """Basket rows of ``events``, a table or a stream."""
         products = self.raw("part").agg(F.count(F.lit(1))).scalar()
         added = F.col("ts") - F.make_dt_interval(days=F.lit(BASKET_SHIFT_DAYS))
         return (
-            self.raw("events")
+            events
             .withColumn("added_at", added)
             .select(
                 F.col("event_id").alias("basket_id"),

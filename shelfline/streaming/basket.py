@@ -14,13 +14,13 @@ from shelfline.session import ensure_checkpoint_dir
 LATE = "4 hours"
 
 
-def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str = LATE) -> DataFrame:
+def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str = LATE, exact_sessions: bool = False) -> DataFrame:
     """Product totals per day of ``added_at`` from a stream of basket rows.
 
     Works on a batch frame too. State is one row per product and open day:
     the watermark closes days and drops rows that come later than ``late``.
-    Sessions are counted by sketch, as an exact distinct count would have to
-    keep every session in state.
+    Sessions are counted by sketch, as an exact distinct count has to keep every
+    session of an open product-day in state; ``exact_sessions`` does that.
 
     A day is the calendar day of the session's time zone, as in the batch views: the
     clock reading is taken as if it were UTC, where Spark cuts its windows.
@@ -29,6 +29,7 @@ def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str
     if now is not None:
         live = live & (F.col("expires_at").isNull() | (F.col("expires_at") > F.lit(now)))
     zone = F.current_timezone()
+    sessions = F.size(F.collect_set("session_id")).cast("long") if exact_sessions else F.approx_count_distinct("session_id", 0.02)
     return (
         basket.filter(live)
         .withColumn("added_at", F.col("added_at").cast("timestamp"))
@@ -36,7 +37,7 @@ def stream_itb_summary(basket: DataFrame, now: datetime | None = None, late: str
         .withWatermark("_clock", late)
         .groupBy(F.window("_clock", "1 day").alias("_w"), "productId")
         .agg(
-            F.approx_count_distinct("session_id", 0.02).alias("active_sessions"),
+            sessions.alias("active_sessions"),
             F.sum("quantity").alias("total_quantity"),
             F.count(F.lit(1)).alias("basket_rows"),
             F.min("added_at").alias("earliest_add"),

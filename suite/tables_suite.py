@@ -11,11 +11,12 @@ from shelfline.plans.reports import as_json
 from shelfline.schema import table_schema
 from shelfline.session import ensure_checkpoint_dir
 from shelfline.sources import maintain, readers, writers
-from shelfline.sources.bridge import AS_OF
+from shelfline.sources.bridge import AS_OF, BASKET_NOW
 from shelfline.sources.conform import conform_types
 from shelfline.streaming import basket as stream
 from suite.catalog_suite import pages
 from suite.model_sql import AS_OF as A
+from suite.model_sql import BASKET_NOW as NOW
 from suite.quality_suite import core
 from suite.registry import Suite
 
@@ -37,7 +38,19 @@ def _csv_round_trip(m):
 def _parquet_round_trip(m):
     folder = scratch(m, "parquet")
     writers.write_parquet({"order_items": m.order_items}, folder)
-    return readers.read_parquet(m.spark, f"{folder}/order_items.parquet", ["orderId", "productId", "quantity"])
+    return readers.read_parquet(m.spark, f"{folder}/order_items.parquet", ["orderItemId", "orderId", "productId", "quantity"])
+
+
+def _partitioned_round_trip(m):
+    folder = scratch(m, "partitioned")
+    writers.write_parquet({"orders": m.orders}, folder, {"orders": ["orderStatus"]})
+    return m.spark.read.parquet(f"{folder}/orders.parquet").select("orderId", "customerId", "orderStatus", "itemCount")
+
+
+def _clustered_round_trip(m):
+    folder = scratch(m, "clustered")
+    writers.write_clustered(m.order_items, folder, "productId", "orderItemId")
+    return m.spark.read.parquet(folder).select("orderItemId", "orderId", "productId", "quantity")
 
 
 def _json_round_trip(m):
@@ -56,19 +69,11 @@ def _views(m):
 def _stream(m):
     """The events file as a stream of basket rows, run to its end."""
     events = m.spark.readStream.schema(m.raw("events").schema).option("pathGlobFilter", "events.parquet").parquet(m.folder)
-    rows = events.select(
-        F.lpad((F.col("event_id") % 100).cast("string"), 18, "0").alias("productId"),
-        F.col("user_id").cast("string").alias("session_id"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
-        F.col("ts").alias("added_at"),
-        F.lit(None).cast("timestamp_ntz").alias("expires_at"),
-        F.when(F.col("event_type") == "error", "EXPIRED").otherwise("ACTIVE").alias("status"),
-    )
     folder = scratch(m, "stream")
-    run = stream.run_available(stream.stream_itb_summary(rows), f"{folder}/out", f"{folder}/checkpoint")
-    run.awaitTermination()
+    summary = stream.stream_itb_summary(m.basket_rows(events), BASKET_NOW, exact_sessions=True)
+    stream.run_available(summary, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
     totals = stream.latest_totals(m.spark.read.parquet(f"{folder}/out"))
-    return totals.select("basket_day", "productId", "total_quantity", "basket_rows", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("earliest_add", "latest_add")])
+    return totals.select("basket_day", "productId", "active_sessions", "total_quantity", "basket_rows", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("earliest_add", "latest_add")])
 
 
 def register(s: Suite) -> None:
@@ -84,7 +89,9 @@ def register(s: Suite) -> None:
            UNION ALL SELECT 'TOTAL', (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM customer) + (SELECT COUNT(*) FROM part)""",
     )
     s.add("write_and_read_csv", _csv_round_trip, "SELECT orderId, customerId, orderDate, deliveryDate, orderStatus, total_pence::DOUBLE / 100 AS totalAmount, itemCount::BIGINT AS itemCount FROM m_orders")
-    s.add("write_and_read_parquet", _parquet_round_trip, "SELECT orderId, productId, quantity::BIGINT AS quantity FROM m_items")
+    s.add("write_and_read_parquet", _parquet_round_trip, "SELECT orderItemId, orderId, productId, quantity::BIGINT AS quantity FROM m_items")
+    s.add("write_and_read_partitioned", _partitioned_round_trip, "SELECT orderId, customerId, orderStatus, itemCount::BIGINT AS itemCount FROM m_orders")
+    s.add("write_and_read_clustered", _clustered_round_trip, "SELECT orderItemId, orderId, productId, quantity::BIGINT AS quantity FROM m_items")
     s.add(
         "write_and_read_product_json",
         _json_round_trip,
@@ -95,8 +102,8 @@ def register(s: Suite) -> None:
     s.add("table_counts", lambda m: q.table_counts(core(m)), f"SELECT * FROM ({_COUNTS}) UNION ALL SELECT 'TOTAL', SUM(rows)::BIGINT FROM ({_COUNTS})")
     s.add(
         "export_manifest",
-        lambda m: writers.export_manifest(core(m)).filter("table_name <> 'TOTAL'").select("table_name", "row_count", (F.size("columns") == F.col("column_count")).alias("columns_listed")),
-        f"SELECT table_name, rows AS row_count, TRUE AS columns_listed FROM ({_COUNTS})",
+        lambda m: writers.export_manifest(core(m)).select("table_name", "row_count", F.coalesce(F.size("columns") == F.col("column_count"), F.col("table_name") == "TOTAL").alias("columns_listed")),
+        f"SELECT table_name, rows AS row_count, TRUE AS columns_listed FROM ({_COUNTS}) UNION ALL SELECT 'TOTAL', SUM(rows)::BIGINT, TRUE FROM ({_COUNTS})",
     )
     s.add(
         "describe_table",
@@ -108,8 +115,8 @@ def register(s: Suite) -> None:
     )
     s.add(
         "report_json",
-        lambda m: as_json(sales_ops.sales_coverage(m.sales).select("days_with_sales", "total_sales")),
-        """SELECT '{"days_with_sales":' || COUNT(DISTINCT sale_day) || ',"total_sales":' || COUNT(*) || '}' AS report FROM m_sales""",
+        lambda m: as_json(sales_ops.sales_coverage(m.sales)),
+        """SELECT '{"first_sale":"' || MIN(sale_day)::VARCHAR || '","last_sale":"' || MAX(sale_day)::VARCHAR || '","days_with_sales":' || COUNT(DISTINCT sale_day) || ',"total_sales":' || COUNT(*) || '}' AS report FROM m_sales""",
     )
     s.add(
         "conform_types",
@@ -154,6 +161,7 @@ def register(s: Suite) -> None:
     s.add(
         "stream_itb_summary",
         _stream,
-        """SELECT ts::DATE AS basket_day, LPAD((event_id % 100)::VARCHAR, 18, '0') AS productId, SUM(event_id % 5 + 1)::BIGINT AS total_quantity, COUNT(*) AS basket_rows, MIN(ts) AS earliest_add, MAX(ts) AS latest_add
-           FROM events WHERE event_type <> 'error' GROUP BY 1, 2""",
+        f"""SELECT added_at::DATE AS basket_day, productId, COUNT(DISTINCT session_id) AS active_sessions, SUM(quantity)::BIGINT AS total_quantity, COUNT(*) AS basket_rows,
+                   MIN(added_at) AS earliest_add, MAX(added_at) AS latest_add
+            FROM m_basket WHERE status = 'ACTIVE' AND (expires_at IS NULL OR expires_at > {NOW}) GROUP BY 1, 2""",
     )
