@@ -66,11 +66,10 @@ def _with_offsets(counts: DataFrame, keys: Sequence[str], descending: bool) -> D
 def with_rank(df: DataFrame, value: str, name: str = "rank", total: str | None = None) -> DataFrame:
     """SQL RANK by ``value`` descending, nulls last; optionally the row total beside it.
 
-    Rows are counted and then joined with their rank, so they are materialised
-    once: column pruning would otherwise make the two uses different plans and
-    compute whatever is behind ``df`` twice.
+    Lazy: nothing runs before the result is used, so a view built on it follows its
+    tables. ``df`` stands twice in the plan, once pruned to ``value``; hand in a
+    reduced frame, one row per product or supplier.
     """
-    df = cut_lineage(df)
     placed = _with_offsets(_value_counts(df, value, []), [], descending=True).select(
         F.col("_v"), (F.col("_before") + 1).alias(name), *([F.col("_total").alias(total)] if total else [])
     )

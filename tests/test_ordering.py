@@ -25,6 +25,11 @@ def test_rank_with_ties_and_nulls(spark):
     assert got == {i: 1 + sum(key(w) > key(v) for w in values) for i, v in enumerate(values)}
 
 
+def test_rank_runs_nothing_before_it_is_used(spark):
+    df = spark.range(3).select(F.raise_error(F.lit("ran")).cast("int").alias("v"))
+    assert with_rank(df, "v").columns == ["v", "rank"]
+
+
 @settings(max_examples=8, deadline=None)
 @given(st.lists(st.integers(-10_000, 10_000), min_size=1, max_size=60))
 def test_percentiles_match_numpy(spark, values):
