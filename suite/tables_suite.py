@@ -47,6 +47,15 @@ def _partitioned_round_trip(m):
     return m.spark.read.parquet(f"{folder}/orders.parquet").select("orderId", "customerId", "orderStatus", "itemCount")
 
 
+def _overwritten_partitions(m):
+    folder = f"{scratch(m, 'overwrite')}/orders"
+    orders = m.orders.select("orderId", "orderStatus", "itemCount")
+    maintain.overwrite_partitions(orders, folder, "orderStatus")
+    delivered = orders.filter("orderStatus = 'DELIVERED'").withColumn("itemCount", F.col("itemCount") + 100)
+    maintain.overwrite_partitions(delivered, folder, "orderStatus")
+    return m.spark.read.parquet(folder)
+
+
 def _clustered_round_trip(m):
     folder = scratch(m, "clustered")
     writers.write_clustered(m.order_items, folder, "productId", "orderItemId")
@@ -91,6 +100,11 @@ def register(s: Suite) -> None:
     s.add("write_and_read_csv", _csv_round_trip, "SELECT orderId, customerId, orderDate, deliveryDate, orderStatus, total_pence::DOUBLE / 100 AS totalAmount, itemCount::BIGINT AS itemCount FROM m_orders")
     s.add("write_and_read_parquet", _parquet_round_trip, "SELECT orderItemId, orderId, productId, quantity::BIGINT AS quantity FROM m_items")
     s.add("write_and_read_partitioned", _partitioned_round_trip, "SELECT orderId, customerId, orderStatus, itemCount::BIGINT AS itemCount FROM m_orders")
+    s.add(
+        "overwrite_partitions",
+        _overwritten_partitions,
+        "SELECT orderId, orderStatus, (itemCount + CASE WHEN orderStatus = 'DELIVERED' THEN 100 ELSE 0 END)::BIGINT AS itemCount FROM m_orders",
+    )
     s.add("write_and_read_clustered", _clustered_round_trip, "SELECT orderItemId, orderId, productId, quantity::BIGINT AS quantity FROM m_items")
     s.add(
         "write_and_read_product_json",
@@ -108,10 +122,10 @@ def register(s: Suite) -> None:
     s.add(
         "describe_table",
         lambda m: writers.describe_table(m.sales, "sales")
-        .filter(F.col("column_name").isin("orderId", "quantity", "saleId"))
         .withColumn("rows", m.sales.agg(F.count(F.lit(1))).scalar()),
         """SELECT 'sales' AS table_name, position, column_name, data_type, (SELECT COUNT(*) FROM m_sales) AS rows
-           FROM (VALUES (0::BIGINT, 'saleId', 'string'), (1, 'orderId', 'string'), (7, 'quantity', 'int')) t(position, column_name, data_type)""",
+           FROM (VALUES (0::BIGINT, 'saleId', 'string'), (1, 'orderId', 'string'), (2, 'orderItemId', 'string'), (3, 'customerId', 'bigint'), (4, 'productId', 'string'),
+                        (5, 'saleDate', 'timestamp_ntz'), (6, 'unitPrice', 'decimal(10,2)'), (7, 'quantity', 'int')) t(position, column_name, data_type)""",
     )
     s.add(
         "report_json",
