@@ -1,6 +1,7 @@
 """The operators on documents against brute force, over real rows and every awkward one."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -213,6 +214,42 @@ def test_line_dedup(docs, rows):
             assert r["text"] == "\n".join(x for k, x in enumerate(lines[missing, i]) if k not in cut)
 
 
+def lines_to_go(lines):
+    """Lines of each document in runs of any length that start earlier too."""
+    gone = {k: set() for k in lines}
+    for n in range(1, max(map(len, lines.values())) + 1):
+        seen = set()
+        for key in sorted(lines):
+            own = lines[key]
+            for k in range(len(own) - n + 1):
+                run = tuple(own[k:k + n])
+                if run in seen and sum(len(words(x)) for x in run) >= linededup.MIN_WORDS:
+                    gone[key].update(range(k, k + n))
+                seen.add(run)
+    return gone
+
+
+def test_line_dedup_tries_every_length(spark):
+    size = {c: n for c, n in zip("abcdefghij", (8, 8, 8, 25, 15, 4, 0, 1, 19, 3), strict=True)}
+    line = {c: " ".join(f"{c}{k}" for k in range(n)) for c, n in size.items()}
+    rng = random.Random(7)
+    orders = ["abcx", "yabcz", "defx", "zdef", "gghgigg", "xgghgiggz"]
+    orders += ["".join(rng.choices("abcefghijabcefghijxyz", k=rng.randrange(4, 30))) for _ in range(40)]
+    texts = ["\n".join(line.get(c, f"{c}{k}") for c in order) for k, order in enumerate(orders)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r for r in linededup.remove_repeats(docs).collect()}
+    gone = lines_to_go({k: x.split("\n") for k, x in enumerate(texts)})
+    assert gone[1] == {1, 2, 3} and gone[3] == {1, 2, 3}
+    for d, cut in gone.items():
+        assert out[d]["removed"] == sorted(cut), orders[d]
+
+
+def test_line_dedup_of_real_rows_at_every_length(docs, rows):
+    out = {r["doc_id"]: r for r in linededup.remove_repeats(docs).collect()}
+    for (missing, i), cut in lines_to_go({(i is None, i or 0): t.split("\n") for i, t, _ in rows if t is not None}).items():
+        assert out[None if missing else i]["removed"] == sorted(cut), i
+
+
 def test_lm_scoring(docs):
     model = lmscore.learn(docs.filter("coalesce(doc_id, 0) % 5 <> 0"), rounds=2)
     out = {r["doc_id"]: r for r in lmscore.score(docs, model).collect()}
