@@ -10,8 +10,10 @@ passages, edited copies): their first spans, word by word, are the reference sha
 A shard's automaton is built from its spans in corpus order, the spans are streamed past
 it, and a window goes where the match of that length ends first at an earlier place.
 
-Anchors with very many surroundings are cut into blocks; each block's automaton sees all
-of the anchor's spans. Texts are shuffled twice: to cut out words, and to lose them.
+An anchor with more surroundings than a shard holds meets no automaton: each window of its
+spans is hashed, and a map-side combined group per hash finds where it starts first. Its
+rows grow with its windows, and no task holds the anchor. Texts are shuffled twice: to cut
+out words, and to lose them.
 """
 
 from __future__ import annotations
@@ -148,19 +150,36 @@ def _stream(window: int):
     return run
 
 
+def _by_hash(worded: DataFrame, window: int) -> DataFrame:
+    """(d, p, mask) like the automata's, by the hash of every window: one row a window, whatever shares its anchor."""
+
+    def run(batches):
+        for batch in batches:
+            for part in textops.words(batch.column("words").cast(pa.string())):
+                g, doc = textops.grams(part.hashes(), window), part.doc_of_word()
+                start = np.flatnonzero(doc[:len(g)] == doc[window - 1:]) if len(g) else np.zeros(0, np.int64)
+                own = doc[start]
+                rows = pa.array(part.first + own)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(textops.signed(g[start])), batch.column("d").take(rows), batch.column("p").take(rows), pa.array((start - part.bounds[own]).astype(np.int32))],
+                    ["g", "d", "p", "j"],
+                )
+
+    windows = table(worded.select("d", "p", "words").mapInArrow(run, "g long, d long, p long, j int"))
+    at = F.struct("d", (F.col("p") + F.col("j")).alias("at"))
+    first = windows.groupBy("g").agg(F.count("*").alias("n_places"), F.min(at).alias("first")).filter("n_places > 1")
+    return windows.join(first, "g").filter(F.col("first") < at).groupBy("d", "p").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
+
+
 def _earlier_windows(docs: DataFrame, found: DataFrame, window: int, shard_spans: int) -> DataFrame:
     """(d, p, mask): windows of the anchors' first spans that start earlier in another span."""
-    counts = found.groupBy("a").agg(F.ceil(F.count("*") / shard_spans).cast("int").alias("blocks"))
-    hot = table(counts.filter("blocks > 1"))
+    hot = table(found.groupBy("a").agg(F.count("*").alias("n_spans")).filter(F.col("n_spans") > shard_spans).select("a"))
     # anchors share shards until a shard is full; the number of shards follows the number of spans
     shards = max(1, -(-found.count() // shard_spans))
-    worded = table(_with_words(docs, found, window)).join(hot, "a", "left")
-    own = F.pmod(F.xxhash64("s"), "blocks").cast("int")
-    dealt = worded.withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("blocks") - 1, F.lit(0))))).select(
-        F.when(F.col("blocks").isNull(), F.pmod("a", F.lit(shards))).otherwise(F.xxhash64("a", "block")).alias("shard"),
-        (F.coalesce(own, F.lit(0)) == F.col("block")).alias("reference"), "d", "p", "words",
-    )
-    return dealt.groupBy("shard").applyInPandas(_stream(window), "d long, p long, mask long")
+    worded = table(_with_words(docs, found, window))
+    dealt = worded.join(hot, "a", "left_anti").select(F.pmod("a", F.lit(shards)).alias("shard"), F.lit(True).alias("reference"), "d", "p", "words")
+    judged = dealt.groupBy("shard").applyInPandas(_stream(window), "d long, p long, mask long")
+    return judged.unionByName(_by_hash(worded.join(hot, "a", "left_semi"), window))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_spans: int = SHARD_SPANS) -> DataFrame:

@@ -147,6 +147,28 @@ def test_substring_dedup(docs, rows):
     assert out[1008]["n_removed"] == 60 and out[1006]["n_removed"] == 30_000
 
 
+def test_substring_dedup_of_a_hot_anchor_stays_small(spark, monkeypatch):
+    judge, most = substring._stream, 40
+
+    def guarded(window):
+        run = judge(window)
+
+        def checked(rows):
+            if len(rows) > most:
+                raise ValueError(f"{len(rows)} spans in one group")
+            return run(rows)
+
+        return checked
+
+    monkeypatch.setattr(substring, "_stream", guarded)
+    shared = " ".join(f"s{k}" for k in range(24))
+    before, after = ([" ".join(f"{c}{d % m}x{k}" for k in range(15)) for d in range(150)] for c, m in (("b", 150), ("e", 50)))
+    texts = [f"{x} {shared} {y}" for x, y in zip(before, after, strict=True)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    out = {r["doc_id"]: r["n_removed"] for r in substring.remove_repeats(docs, shard_spans=8).collect()}
+    assert out == {d: 0 if d == 0 else 24 if d < 50 else 39 for d in range(150)}
+
+
 @pytest.mark.parametrize(("n", "percent"), [(4, 85), (5, 80)])
 def test_jaccard(docs, rows, n, percent):
     out = jaccard.similar_components(docs, n, percent).collect()
