@@ -1,16 +1,18 @@
 """LM scoring by masked pseudo-likelihood: every token is predicted from the words on both sides.
 
-A token is (class, cell): the ``TOP`` most frequent word buckets of the corpus are
-classes of their own, all other words fall into classes by their last two bytes; the
-cell is a bucket of the word's hash. A small network sees the classes of ``SIDE`` words
-left and right of the masked one and gives the class's probability; the cell's
-probability inside its class is the corpus's own count, smoothed. The sum of both log
-probabilities over all tokens is the document's score.
-
-Both parts are learned from every text. Bucket counts and cell counts are map-side
-combined sums. The network is trained in numpy where the data lies: each task runs one
-pass of mini-batches over its texts from the same start, and the tasks' weights are
-averaged by their numbers of tokens, round after round.
+A token is (class, word): the ``TOP`` most frequent word buckets of the corpus are
+classes of their own, all other words fall into classes by their last two bytes. A
+small network sees the classes of ``SIDE`` words left and right of the masked one and
+gives the class's probability; the word's probability inside its class is the corpus's
+own count of that very word, smoothed. The sum of both log probabilities over all tokens
+is the document's score.
+
+Both parts are learned from every text. Word counts are a table as long as the
+vocabulary, by 64-bit hash. Words of at least a ``SHARE``-th of all tokens, so at most
+``SHARE`` of them, go to every task; the rest of a text's words are joined to the table.
+The network is trained in numpy where the data lies: each task runs one pass of
+mini-batches over its texts from the same start, and the tasks' weights are averaged by
+their numbers of tokens, round after round.
 """
 
 from __future__ import annotations
@@ -19,17 +21,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.llm import textops
+from shelfline.llm.scratch import table
 
 TOP, ENDINGS = 24, 40
 CLASSES = TOP + ENDINGS
-BUCKETS, CELLS = 1 << 16, 2048
+BUCKETS, SHARE = 1 << 16, 100_000
 SIDE, HIDDEN = 2, 32
 BATCH, RATE, DECAY = 4096, 0.05, 1e-8
 SMOOTH = 0.5
+FIXED = float(1 << 32)  # sums of log-probabilities are whole numbers of this part: the same in any order
 _U = np.uint64
 
 
@@ -99,6 +104,13 @@ def train(net: Network, context: np.ndarray, target: np.ndarray, squares: list[n
             p -= RATE * g / np.sqrt(s + DECAY)
 
 
+def endings(run: textops.Words) -> np.ndarray:
+    """Class of every word by its last two bytes."""
+    last = run.data[run.end - 1].astype(np.uint32)
+    before = np.where(run.end - run.start > 1, run.data[np.maximum(run.end - 2, 0)], 0).astype(np.uint32)
+    return TOP + (((last * np.uint32(257) + before) * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(ENDINGS)).astype(np.int64)
+
+
 @dataclass
 class Classes:
     """Class of each word bucket (-1: by ending)."""
@@ -106,13 +118,10 @@ class Classes:
     of_bucket: np.ndarray
 
     def tokens(self, run: textops.Words) -> tuple[np.ndarray, np.ndarray]:
-        """(class, cell) of every word of a run."""
+        """(class, word hash) of every word of a run."""
         h = run.hashes()
-        last = run.data[run.end - 1].astype(np.uint32)
-        before = np.where(run.end - run.start > 1, run.data[np.maximum(run.end - 2, 0)], 0).astype(np.uint32)
-        ending = ((last * np.uint32(257) + before) * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(ENDINGS)
         own = self.of_bucket[(h & _U(BUCKETS - 1)).astype(np.int64)]
-        return np.where(own >= 0, own, TOP + ending.astype(np.int64)).astype(np.int64), ((h >> _U(20)) % _U(CELLS)).astype(np.int64)
+        return np.where(own >= 0, own, endings(run)), h
 
 
 def contexts(classes: np.ndarray, run: textops.Words) -> np.ndarray:
@@ -126,78 +135,98 @@ def contexts(classes: np.ndarray, run: textops.Words) -> np.ndarray:
     return out
 
 
-def bucket_counts(docs: DataFrame) -> np.ndarray:
-    """Occurrences of each word bucket in all texts: ``BUCKETS`` numbers, whatever the corpus."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, ending, n): occurrences of each distinct word in all texts, by hash."""
 
     def run(batches):
         for batch in batches:
-            total = np.zeros(BUCKETS, np.int64)
             for part in textops.words(batch.column("text")):
-                total += np.bincount((part.hashes() & _U(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-            found = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])], ["bucket", "n"])
+                word, at, n = np.unique(part.hashes(), return_index=True, return_counts=True)
+                if len(word):
+                    yield pa.RecordBatch.from_arrays([pa.array(textops.signed(word)), pa.array(endings(part)[at].astype(np.int32)), pa.array(n)], ["word", "ending", "n"])
 
-    counts = np.zeros(BUCKETS, np.int64)
-    for bucket, n in docs.select("text").mapInArrow(run, "bucket int, n long").groupBy("bucket").agg(F.sum("n")).collect():
-        counts[bucket] = n
-    return counts
+    found = docs.select("text").mapInArrow(run, "word long, ending int, n long")
+    return table(found.groupBy("word").agg(F.min("ending").alias("ending"), F.sum("n").alias("n")))
+
+
+@dataclass
+class Words:
+    """What is known of words inside their classes: a token's log-probability is its class's ``unseen`` and the word's ``gain``."""
+
+    unseen: np.ndarray  # of each class
+    frequent: np.ndarray  # hashes, rising
+    frequent_gain: np.ndarray
+    rest: DataFrame  # (word, gain): all others; gain in parts of FIXED
 
 
 @dataclass
 class Model:
     classes: Classes
     network: Network
-    cells: np.ndarray  # (CLASSES, CELLS): log-probability of a cell in its class
+    cells: Words
+
+
+def _words(counts: DataFrame, of_bucket: np.ndarray) -> Words:
+    bucket = F.col("word").bitwiseAND(BUCKETS - 1)
+    own = F.col("ending")
+    for b in np.flatnonzero(of_bucket >= 0):
+        own = F.when(bucket == int(b), int(of_bucket[b])).otherwise(own)
+    n, distinct = np.zeros(CLASSES), np.zeros(CLASSES)
+    for c, total, different in counts.groupBy(own.alias("c")).agg(F.sum("n"), F.count("*")).collect():
+        n[c], distinct[c] = total, different
+    unseen = np.log(SMOOTH / (n + SMOOTH * (distinct + 1)))
+    often = F.col("n") >= max(1.0, n.sum() / SHARE)
+    gain = F.round((F.log(F.col("n") + SMOOTH) - F.log(F.lit(SMOOTH))) * FIXED).cast("long").alias("gain")
+    top = counts.filter(often).select("word", gain).toArrow()
+    word = top.column("word").to_numpy().view(_U)
+    order = np.argsort(word)
+    return Words(unseen, word[order], top.column("gain").to_numpy()[order].astype(np.int64), counts.filter(~often).select("word", gain))
 
 
 def learn(docs: DataFrame, rounds: int = 1, seed: int = 3) -> Model:
     """Counts and network weights from every text of ``docs``.
 
-    The driver gets a table of bucket counts, of cell counts and the averaged weights,
-    each of fixed size; what the tasks send to be summed follows the number of tasks.
+    The driver gets a table of bucket counts, the most frequent words and the averaged
+    weights, each of bounded size; the counts of all words stay a table.
     """
-    counts = bucket_counts(docs)
+    words = word_counts(docs)
+    counts = np.zeros(BUCKETS, np.int64)
+    for bucket, n in words.groupBy(F.col("word").bitwiseAND(BUCKETS - 1)).agg(F.sum("n")).collect():
+        counts[bucket] = n
     of_bucket = np.full(BUCKETS, -1, np.int64)
     frequent = [b for b in np.lexsort((np.arange(BUCKETS), -counts))[:TOP] if counts[b]]
     of_bucket[frequent] = np.arange(len(frequent))
     classes = Classes(of_bucket)
     net = Network.start(seed)
     size = len(net.flat())
-    totals = np.zeros(CLASSES * CELLS)
-    for number in range(rounds):
-        start, with_cells = net.flat(), number == 0
+    for _ in range(rounds):
+        start = net.flat()
 
-        def run(batches, start=start, with_cells=with_cells):
+        def run(batches, start=start):
             own = Network.from_flat(start)
             squares = [np.zeros_like(a) for a in own.arrays()]
-            cells, tokens = np.zeros(CLASSES * CELLS, np.int64), 0
+            tokens = 0
             for batch in batches:
                 for part in textops.words(batch.column("text")):
                     if not len(part.start):
                         continue
-                    target, cell = classes.tokens(part)
+                    target, _ = classes.tokens(part)
                     tokens += len(target)
-                    if with_cells:
-                        cells += np.bincount(target * CELLS + cell, minlength=len(cells))
                     train(own, contexts(target, part), target, squares)
             if tokens:
-                found = np.flatnonzero(cells)
-                place = np.concatenate([np.arange(size), size + found, [-1]])
-                value = np.concatenate([own.flat().astype(np.float64) * tokens, cells[found], [tokens]])
+                place = np.concatenate([np.arange(size), [-1]])
+                value = np.concatenate([own.flat().astype(np.float64) * tokens, [tokens]])
                 yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(value)], ["place", "value"])
 
         weights, tokens = np.zeros(size), 0.0
         for place, value in docs.select("text").mapInArrow(run, "place int, value double").groupBy("place").agg(F.sum("value")).collect():
             if place < 0:
                 tokens = value
-            elif place < size:
-                weights[place] = value
             else:
-                totals[place - size] = value
+                weights[place] = value
         if tokens:
             net = Network.from_flat(weights / tokens)
-    cells = totals.reshape(CLASSES, CELLS) + SMOOTH
-    return Model(classes, net, np.log(cells / cells.sum(1, keepdims=True)).astype(np.float32))
+    return Model(classes, net, _words(words, of_bucket))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -207,20 +236,42 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     alike; other columns are ignored.
     """
 
+    classes, network = model.classes, model.network
+    unseen, frequent, gain = model.cells.unseen, model.cells.frequent, model.cells.frequent_gain
+
     def run(batches):
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            sums, counts = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            sums, counts = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+            rare, rares = [np.zeros(0, np.int64)], np.zeros(batch.num_rows, np.int64)
             for part in textops.words(batch.column("text"), textops.SLICE_BYTES // 2):
                 if not len(part.start):
                     continue
-                target, cell = model.classes.tokens(part)
+                target, word = classes.tokens(part)
                 context = contexts(target, part)
-                logs = model.cells[target, cell].astype(np.float64)
+                logs = unseen[target]
                 for at in range(0, len(target), BATCH):
-                    logs[at:at + BATCH] += model.network.log_probabilities(context[at:at + BATCH], target[at:at + BATCH])
-                sums[part.first:part.first + len(part)] = np.bincount(part.doc_of_word(), weights=logs, minlength=len(part))
-                counts[part.first:part.first + len(part)] = part.counts
-            mean = pa.array(sums / np.maximum(counts, 1), mask=counts == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(counts), pa.array(sums), mean], ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_likelihood double, mean_log_likelihood double")
+                    logs[at:at + BATCH] += network.log_probabilities(context[at:at + BATCH], target[at:at + BATCH])
+                fixed = np.round(logs * FIXED).astype(np.int64)
+                known = np.zeros(len(word), bool)
+                if len(frequent):
+                    at = np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)
+                    known = frequent[at] == word
+                    fixed += np.where(known, gain[at], 0)
+                here = slice(part.first, part.first + len(part))
+                total = np.concatenate([[0], np.cumsum(fixed)])
+                sums[here] = total[part.bounds[1:]] - total[part.bounds[:-1]]
+                counts[here] = part.counts
+                rare.append(textops.signed(word[~known]))
+                rares[here] = np.bincount(part.doc_of_word()[~known], minlength=len(part))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(rares)]).astype(np.int32)), pa.array(np.concatenate(rare)))
+            keys = pa.array(np.arange(row, row + batch.num_rows))
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([keys, batch.column("doc_id"), pa.array(counts), pa.array(sums), lists], ["row", "doc_id", "n_tokens", "part", "words"])
+
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    seen = table(ids.mapInArrow(run, "row long, doc_id long, n_tokens long, part long, words array<long>"))
+    rest = seen.select("row", F.explode("words").alias("word")).join(model.cells.rest, "word").groupBy("row").agg(F.sum("gain").alias("gain"))
+    total = ((F.col("part") + F.coalesce("gain", F.lit(0))) / FIXED).alias("log_likelihood")
+    scored = seen.drop("words").join(rest, "row", "left").select("doc_id", "n_tokens", total)
+    return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

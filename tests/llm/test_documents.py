@@ -283,6 +283,20 @@ def test_lm_scoring(docs):
     assert mean > sum(plain[i]["log_likelihood"] for i in range(0, 200, 5)) / sum(r["n_tokens"] for r in held) + 0.2
 
 
+def test_lm_scoring_counts_every_word(spark):
+    # 20,000 words of one ending: a rare one must not score like the frequent one of its hash cell
+    rare = [f"r{k}en" for k in range(20_000)]
+    texts = ["often " * 2000 + "seen " * 2000] * 5 + [" ".join(rare[k:k + 100]) for k in range(0, 20_000, 100)] + rare[:300] + ["often", "seen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = lmscore.learn(docs)
+    flat = lmscore.Model(model.classes, lmscore.Network.from_flat(0 * model.network.flat()), model.cells)
+    out = {r["doc_id"]: r["log_likelihood"] for r in lmscore.score(docs, flat).collect()}
+    assert sum(1 for _ in lmscore.word_counts(docs).collect()) == 20_002
+    by_ending = [out[k] for k in range(205, 505)]
+    usual = Counter(round(x, 6) for x in by_ending).most_common(1)[0][1]
+    assert usual > 280  # words of count 2 in the class of their ending
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     for out in (
