@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, jaccard, langid, linededup, lmscore, mixing, neardup, packing, sharding, substring
+from shelfline.llm import ann, bpe, jaccard, langid, linededup, lmscore, mixing, neardup, packing, sharding, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +58,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    return bpe.decode(encoded).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scoring, op2_embedding_near_dedup, op3_sharding, op4_substring_dedup, op5_nearest_neighbours,
         op6_packing, op7_mixing, op8_ngram_jaccard, op9_language_id, op10_line_dedup,
+        op13_byte_bpe,
     )
 }
 
