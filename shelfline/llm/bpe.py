@@ -268,7 +268,7 @@ def edit(encoded: DataFrame, start: str, stop: str, new: str, tokenizer: str = T
             edited = pa.StructArray.from_arrays([pa.array(texts, pa.string()), pa.array(olds, pa.binary())], ["text", "ids"])
             yield pa.RecordBatch.from_arrays([*batch.columns, edited], [*batch.schema.names, out])
 
-    moved = encoded.mapInArrow(run, _with(encoded, out, "struct<text: string, ids: binary>")).withColumn("text", F.col(out)["text"]).withColumn("ids", F.col(out)["ids"]).drop(out)
+    moved = encoded.mapInArrow(run, _with(encoded, out, StructType().add("text", "string").add("ids", "binary"))).withColumn("text", F.col(out)["text"]).withColumn("ids", F.col(out)["ids"]).drop(out)
     return moved.withColumn("n_tokens", F.expr("cast(octet_length(ids) div 4 as long)"))
 
 
@@ -287,5 +287,5 @@ def _mapped(df: DataFrame, source: str, target: str, load, missing) -> DataFrame
     return df.mapInArrow(run, _with(df, target, "binary"))
 
 
-def _with(df: DataFrame, name: str, kind: str) -> StructType:
+def _with(df: DataFrame, name: str, kind: str | StructType) -> StructType:
     return StructType(list(df.schema.fields)).add(name, kind)
