@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, bpe, jaccard, langid, linededup, lmscore, mixing, neardup, packing, sharding, substring
+from shelfline.llm import ann, bpe, jaccard, langid, linededup, lmscore, mixing, neardup, packing, runs, sharding, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +62,39 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document (by the checksum h of its id) repeats one word run from some place to its end; null ids do not."""
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                rows = batch.slice(first, 512)
+                texts = rows.column("text").to_pylist()
+                for k, doc in enumerate(rows.column("doc_id").to_pylist()):
+                    h = 1 if doc is None else zlib.crc32(str(doc).encode())
+                    if h % 10 == 0 and (own := _WORD.findall(texts[k] or "")):
+                        n, g = len(own), h // 10
+                        a = g % n
+                        p = 1 + (n - a) // (3 + g % 8)
+                        texts[k] = " ".join(own[:a] + (own[a:a + p] * ((n - a) // p + 1))[:n - a])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id", "text").schema)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(_with_repeated_tails(_read(spark, sf_dir, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.concat_ws("", F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.shorter")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("1000 * -longest.shorter div longest.period").alias("exponent_milli"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     return bpe.decode(encoded).select(
@@ -70,7 +107,7 @@ QUERIES = {
     for f in (
         op1_lm_scoring, op2_embedding_near_dedup, op3_sharding, op4_substring_dedup, op5_nearest_neighbours,
         op6_packing, op7_mixing, op8_ngram_jaccard, op9_language_id, op10_line_dedup,
-        op13_byte_bpe,
+        op12_periodic_runs, op13_byte_bpe,
     )
 }
 
