@@ -16,6 +16,7 @@ itself a token is that token, merges or not. Nothing is shuffled: documents are
 from __future__ import annotations
 
 import base64
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +28,8 @@ from pyspark.sql.types import StructType
 from shelfline.llm.scratch import free
 
 TOKENIZER = "byte_bpe_multi_50k"
-CACHE = 400_000  # pieces a Python worker remembers
-LONG = 64  # bytes; longer pieces are not remembered
+CACHE = 700_000  # pieces a Python worker remembers
+LONG = 64  # letters; longer pieces are not remembered
 _ROWS = 512  # documents of one outgoing batch
 _loaded: dict[tuple[str, str | None], "Vocabulary"] = {}
 
@@ -50,10 +51,13 @@ class Vocabulary:
                 self.halves[rank] = parts
         self.made = {self.bytes_of[rank]: rank for rank in self.halves}  # tokens that merges can make
         self.longest = max(map(len, self.made), default=1)
-        ends: dict[bytes, set[int]] = {}
-        for token in self.made:
-            ends.setdefault(token[-2:], set()).add(len(token))
-        self.lengths = {end: sorted(found, reverse=True) for end, found in ends.items()}
+        self.endings: list = [-1, {}]  # the tokens by their bytes from the last on: [token or -1, {byte before: node}]
+        for token, rank in self.made.items():
+            node = self.endings
+            for byte in reversed(token):
+                node = node[1].setdefault(byte, [-1, {}])
+            node[0] = rank
+        self.sizes = [len(token) for token in self.bytes_of]
         self._fits: dict[int, bool] = {}
         self._known: dict[str, bytes] = {}
 
@@ -101,24 +105,33 @@ class Vocabulary:
     def prefixes(self, data: bytes) -> "Prefixes":
         return Prefixes(self, data)
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        whole = self.ranks.get(piece)
-        return [whole] if whole is not None else self.prefixes(piece).tokens()
-
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        known, out = self._known, []
-        for piece in self.pattern.findall(text):
-            ids = known.get(piece)
-            if ids is None:
-                raw = piece.encode()
-                ids = np.array(self.encode_piece(raw), "<u4").tobytes()
-                if len(raw) <= LONG:
-                    if len(known) >= CACHE:
-                        known.clear()
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Each text's ids. Pieces not met before are taken in order, so that each goes on from the prefix it shares with the last."""
+        cut, known = [self.pattern.findall(text) for text in texts], self._known
+        new = {piece for pieces in cut for piece in pieces if piece not in known}
+        if len(known) + len(new) > CACHE:
+            known.clear()
+            new = {piece for pieces in cut for piece in pieces}
+        table = self.prefixes(b"")
+        for raw in sorted(piece.encode() for piece in new):
+            whole = self.ranks.get(raw)
+            if whole is None:
+                table.become(raw)
+                tokens = table.tokens()
+            else:
+                tokens = [whole]
+            known[raw.decode()] = struct.pack(f"<{len(tokens)}I", *tokens)
+        out = [b"".join([known[piece] for piece in pieces]) for pieces in cut]
+        for piece in [piece for piece in new if len(piece) > LONG]:
+            del known[piece]
+        return out
+
+    def decode_all(self, ids: list[bytes]) -> list[bytes]:
+        return [self.decode(x) for x in ids]
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes of little-endian unsigned 32-bit ids; an id the vocabulary lacks is an error."""
@@ -137,21 +150,39 @@ class Prefixes:
         self.data += more
         self._extend(len(self.data))
 
+    def become(self, data: bytes) -> None:
+        """The table of ``data``; entries of the prefix that it shares with the bytes so far stand."""
+        same = 0
+        for x, y in zip(self.data, data, strict=False):
+            if x != y:
+                break
+            same += 1
+        del self.last[same:]
+        self.data = bytearray(data)
+        self._extend(len(data))
+
     def _extend(self, stop: int, settled=None) -> None:
         """Entries up to ``stop``; ends early where ``settled(i)`` says that the rest is known."""
-        made, lengths, fits = self.vocabulary.made, self.vocabulary.lengths, self.vocabulary.fits
+        fits, known, endings = self.vocabulary.fits, self.vocabulary._fits.get, self.vocabulary.endings
         data, last = bytes(self.data), self.last
-        for i in range(len(last) + 1, stop + 1):
-            for n in (*lengths.get(data[i - 2:i], ()), 1) if i > 1 else (1,):
-                if n > i:
-                    continue
-                token = made.get(data[i - n:i])
-                if token is not None and (n == i or fits(last[i - n - 1], token)):
-                    last.append(token)
-                    break
-            else:
-                raise ValueError("the vocabulary lacks single bytes")
-            if settled is not None and settled(i):
+        for i in range(len(last), stop):
+            node, j = endings, i
+            while True:  # the tokens that end with byte i, each longer than the one before
+                node = node[1].get(data[j])
+                if node is None:
+                    raise ValueError("the vocabulary lacks single bytes")
+                token = node[0]
+                if token >= 0:
+                    if not j:
+                        break
+                    fit = known(last[j - 1] << 32 | token)
+                    if fit or (fit is None and fits(last[j - 1], token)):
+                        break
+                elif not j:
+                    raise ValueError("the vocabulary lacks single bytes")
+                j -= 1
+            last.append(token)
+            if settled is not None and settled(i + 1):
                 return
 
     def replace(self, start: int, stop: int, new: bytes) -> int:
@@ -179,11 +210,11 @@ class Prefixes:
         return worked
 
     def tokens(self) -> list[int]:
-        out, at, names = [], len(self.last), self.vocabulary.bytes_of
+        out, at, last, sizes = [], len(self.last), self.last, self.vocabulary.sizes
         while at:
-            token = self.last[at - 1]
+            token = last[at - 1]
             out.append(token)
-            at -= len(names[token])
+            at -= sizes[token]
         return out[::-1]
 
 
@@ -236,14 +267,14 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, folder: str | None = Non
 
     A null text counts as empty: no ids, 0 tokens. Repeated rows and ids stay; every other column is kept
     as it is, but for one called ``ids`` or ``n_tokens``, which is replaced. Texts are never cut; a piece longer
-    than 64 bytes is worked out each time it occurs. An empty table gives an empty one.
+    than 64 letters is worked out each time it occurs. An empty table gives an empty one.
     """
-    return _mapped(docs, "text", "ids", lambda: vocabulary(tokenizer, folder).encode, "").withColumn("n_tokens", F.expr("cast(octet_length(ids) div 4 as long)"))
+    return _mapped(docs, "text", "ids", lambda: vocabulary(tokenizer, folder).encode_all, "").withColumn("n_tokens", F.expr("cast(octet_length(ids) div 4 as long)"))
 
 
 def decode(encoded: DataFrame, tokenizer: str = TOKENIZER, folder: str | None = None) -> DataFrame:
     """``encoded`` with ``decoded``, the bytes of its ``ids``; null ids count as none. A column ``decoded`` is replaced."""
-    return _mapped(encoded, "ids", "decoded", lambda: vocabulary(tokenizer, folder).decode, b"")
+    return _mapped(encoded, "ids", "decoded", lambda: vocabulary(tokenizer, folder).decode_all, b"")
 
 
 def edit(encoded: DataFrame, start: str, stop: str, new: str, tokenizer: str = TOKENIZER, folder: str | None = None) -> DataFrame:
@@ -273,7 +304,7 @@ def edit(encoded: DataFrame, start: str, stop: str, new: str, tokenizer: str = T
 
 
 def _mapped(df: DataFrame, source: str, target: str, load, missing) -> DataFrame:
-    """``df`` with ``target``: the loaded function of each value of ``source``, in batches of few rows."""
+    """``df`` with ``target``: the loaded function of the values of ``source``, some hundred rows at a time."""
     df = df.drop(target)
 
     def run(batches):
@@ -281,7 +312,7 @@ def _mapped(df: DataFrame, source: str, target: str, load, missing) -> DataFrame
         for batch in batches:
             for first in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(first, _ROWS)
-                made = pa.array([function(missing if x is None else x) for x in part.column(source).to_pylist()], pa.binary())
+                made = pa.array(function([missing if x is None else x for x in part.column(source).to_pylist()]), pa.binary())
                 yield pa.RecordBatch.from_arrays([*part.columns, made], [*part.schema.names, target])
 
     return df.mapInArrow(run, _with(df, target, "binary"))
