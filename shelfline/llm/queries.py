@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import ann, bpe, jaccard, langid, linededup, lmscore, mixing, neardup, packing, runs, sharding, substring
+from shelfline.llm import alignment, ann, bpe, jaccard, langid, linededup, lmscore, mixing, neardup, packing, runs, sharding, substring
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_read(spark, sf_dir, "documents"), with_groups=False).drop("groups")
+
+
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -107,7 +111,7 @@ QUERIES = {
     for f in (
         op1_lm_scoring, op2_embedding_near_dedup, op3_sharding, op4_substring_dedup, op5_nearest_neighbours,
         op6_packing, op7_mixing, op8_ngram_jaccard, op9_language_id, op10_line_dedup,
-        op12_periodic_runs, op13_byte_bpe,
+        op11_token_alignment, op12_periodic_runs, op13_byte_bpe,
     )
 }
 
