@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.numbers import line_pence, mean_int, money_avg, pence, percent, ratio
 from shelfline.operators import sales as sales_ops
+from shelfline.plans.constraints import Constraints, no_key
 from shelfline.plans.reports import beside
 from shelfline.schema import FOREIGN_KEYS, ORDER_STATUSES, PRIMARY_KEYS
 
@@ -64,41 +65,13 @@ def duplicate_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("cnt")).filter(F.col("cnt") > 1)
 
 
-def _key_verdicts(keyed: DataFrame, entities: Sequence[str]) -> DataFrame:
-    """Repeated and null keys from rows of (entity, key, missing), in one aggregation for all tables."""
-    named = _named(keyed.sparkSession, entities)
-    per_key = keyed.groupBy("entity", "key", "missing").agg(F.count(F.lit(1)).alias("n"))
-    totals = (
-        per_key.groupBy("entity")
-        .agg(F.count_if(F.col("n") > 1).alias("repeated"), F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("nulls"))
-        .unionByName(named.select("entity", F.lit(0).cast("long").alias("repeated"), F.lit(0).cast("long").alias("nulls")))
-        .groupBy("entity")
-        .agg(F.sum("repeated").alias("repeated"), F.sum("nulls").alias("nulls"))
-    )
-    kinds = F.array(
-        F.struct(F.lit("duplicate_key").alias("check"), F.col("repeated").alias("violations")),
-        F.struct(F.lit("null_key").alias("check"), F.col("nulls").alias("violations")),
-    )
-    return totals.select("entity", F.explode(kinds).alias("k")).select(
-        "k.check", "entity", "k.violations", (F.col("k.violations") == 0).alias("passed")
-    )
-
-
-def _named(spark: SparkSession, entities: Sequence[str]) -> DataFrame:
-    """One row per entity, so that a clean entity still gets its verdict."""
-    return spark.range(1).select(F.explode(F.array(*[F.lit(e) for e in entities])).alias("entity"))
-
-
-def _keyed(df: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
-    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    key = F.array(*[F.col(c).cast("string") for c in columns])
-    return df.select(F.lit(entity).alias("entity"), key.alias("key"), missing.alias("missing"))
-
-
 def check_key(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """Distinct key values that repeat, and rows with a null key part; one pass over the table."""
     entity = f"{table}.{','.join(columns)}"
-    return _key_verdicts(_keyed(df, entity, columns), [entity])
+    per_key = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    counted = per_key.agg(F.count_if(F.col("_n") > 1).alias("repeated"), F.sum(F.when(missing, F.col("_n"))).alias("nulls"))
+    return _verdicts(counted, [("duplicate_key", entity, "repeated"), ("null_key", entity, "nulls")])
 
 
 def orphans(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
@@ -118,44 +91,51 @@ def check_fk(child: DataFrame, child_table: str, child_column: str, parent: Data
 
 def check_all_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every primary key: each table is read once and all keys share one shuffle."""
-    keys = {f"{t}.{c}": _keyed(tables[t], f"{t}.{c}", [c]) for t, c in PRIMARY_KEYS.items() if t in tables}
-    return _key_verdicts(union_all(list(keys.values())), list(keys))
+    c = Constraints(tables)
+    _unique(c)
+    return c.verdicts()
 
 
 def check_all_references(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every foreign key: each child is read once, its references stacked as (relation, value) rows.
+    """Every foreign key: each table is read once, whether it points, is pointed to, or both; no join.
 
-    Values are counted before the anti join, so a value that a third of the
-    rows share is shuffled as one row.
+    A value that a third of the rows share is counted before it is shuffled.
     """
-    relations = [(c, cc, f"{p}.{pc}", f"{c}.{cc} -> {p}.{pc}") for c, cc, p, pc in FOREIGN_KEYS if c in tables and p in tables]
-    children: dict[str, list[Column]] = {}
-    for child, column, parent, entity in relations:
-        reference = F.struct(F.lit(entity).alias("entity"), F.lit(parent).alias("parent"), F.col(column).cast("string").alias("value"))
-        children.setdefault(child, []).append(reference)
-    stacked = union_all([tables[c].select(F.inline(F.array(*refs))) for c, refs in children.items()])
-    counted = stacked.filter(F.col("value").isNotNull()).groupBy("entity", "parent", "value").agg(F.count(F.lit(1)).alias("n"))
-    # a parent that several relations point to is read once
-    keys = {f"{p}.{pc}": tables[p].select(F.lit(f"{p}.{pc}").alias("parent"), F.col(pc).cast("string").alias("value")) for _, _, p, pc in FOREIGN_KEYS if p in tables}
-    parents = union_all([keys[name] for name in dict.fromkeys(r[2] for r in relations)])
-    missing = counted.join(parents, ["parent", "value"], "left_anti").select("entity", "n")
-    named = _named(stacked.sparkSession, [r[3] for r in relations])
-    totals = missing.unionByName(named.select("entity", F.lit(0).cast("long").alias("n")))
-    totals = totals.groupBy("entity").agg(F.sum("n").alias("violations"))
-    return totals.select(F.lit("foreign_key").alias("check"), "entity", "violations", (F.col("violations") == 0).alias("passed"))
+    c = Constraints(tables)
+    _references(c)
+    return c.verdicts()
+
+
+def _unique(c: Constraints) -> None:
+    for table, column in PRIMARY_KEYS.items():
+        if table in c.tables:
+            c.unique(table, column)
+
+
+def _references(c: Constraints, done: Sequence[tuple[str, str]] = ()) -> None:
+    relations = [r for r in FOREIGN_KEYS if r[0] in c.tables and r[2] in c.tables]
+    for child, column, parent, key in relations:
+        if (child, column) not in done:
+            c.reference(child, column, parent, key, [(a, b) for a, b, p, _ in relations if p == parent])
 
 
 # --- row rules --------------------------------------------------------------
 
 
+def _price_off() -> Column:
+    return F.abs(F.col("price_gbp").cast("double") - F.col("price_pence") / 100) > 0.01
+
+
 def check_price(products: DataFrame) -> DataFrame:
-    gap = F.abs(F.col("price_gbp").cast("double") - F.col("price_pence") / 100)
-    return _count(products.filter(gap > 0.01), "price_consistency", "products")
+    return _count(products.filter(_price_off()), "price_consistency", "products")
+
+
+def _line_off() -> Column:
+    return F.abs(pence(F.col("totalPrice")) - line_pence(F.col("quantity"), F.col("unitPrice"))) > 1
 
 
 def check_line_total(items: DataFrame) -> DataFrame:
-    gap = F.abs(pence(F.col("totalPrice")) - line_pence(F.col("quantity"), F.col("unitPrice")))
-    return _count(items.filter(gap > 1), "line_total", "order_items")
+    return _count(items.filter(_line_off()), "line_total", "order_items")
 
 
 def check_order_total(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -207,14 +187,6 @@ def check_dates(orders: DataFrame, sales: DataFrame) -> DataFrame:
     )
 
 
-def _check_order_rows(orders: DataFrame) -> DataFrame:
-    counted = orders.agg(
-        F.count_if(~F.col("orderStatus").isin(ORDER_STATUSES)).alias("domain"),
-        F.count_if(F.col("deliveryDate") < F.col("orderDate")).alias("early"),
-    )
-    return _verdicts(counted, [("domain", "orders.orderStatus", "domain"), ("delivery_before_order", "orders", "early")])
-
-
 def duplicate_lines(items: DataFrame) -> DataFrame:
     """The same product twice in an order; may be intended."""
     return duplicate_keys(items, ["orderId", "productId"])
@@ -318,19 +290,46 @@ def supply_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def integrity_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All rules over the core tables as one relation; rules on the same rows share one pass."""
-    t = tables
-    return union_all(
-        [
-            check_all_keys(t),
-            check_all_references({k: v for k, v in t.items() if k in PRIMARY_KEYS}),
-            check_price(t["products"]),
-            check_line_total(t["order_items"]),
-            check_order_total(t["orders"], t["order_items"]),
-            _check_order_rows(t["orders"]),
-            _verdicts(_sales_against_orders(t["sales"], t["orders"]), [*_SALE_STATUS_RULES, ("sale_date", "sales", "misdated")]),
-        ]
+    """All rules over the core tables as one relation.
+
+    Each table is read once for its keys, its references and its row rules (see :mod:`shelfline.plans.constraints`). What
+    lines and sales say of an order is counted per order, sales per day too, and meets the order's row in one join.
+    """
+    c = Constraints(tables)
+    _unique(c)
+    pointing = [("order_items", "orderId"), ("sales", "orderId")]
+    _references(c, pointing)
+    c.row_rule("price_consistency", "products", "products", _price_off())
+    c.row_rule("line_total", "order_items", "order_items", _line_off())
+    c.row_rule("domain", "orders.orderStatus", "orders", ~F.col("orderStatus").isin(ORDER_STATUSES))
+    c.row_rule("delivery_before_order", "orders", "orders", F.col("deliveryDate") < F.col("orderDate"))
+
+    space = c.space("orders", "orderId", pointing, name="rows")
+    lines, sold = c.slot(space), c.slot(space)
+    c.say("orders", space, "orderId", 0)  # an order without lines is to be met too
+    c.say("order_items", space, "orderId", lines, amount=pence(F.col("totalPrice")))
+    c.say("sales", space, "orderId", sold, day=F.to_date("saleDate"))
+    whole, text = c._key(space, "orderId")
+    rows = tables["orders"].select(
+        F.lit(space).alias("space"), whole.alias("whole"), text.alias("text"), F.lit(True).alias("met"),
+        pence(F.col("totalAmount")).alias("total"), F.col("itemCount").alias("items"), F.col("orderStatus").alias("status"), F.to_date("deliveryDate").alias("due"),
     )
+    same = reduce(lambda a, b: a & b, [F.col(f"k.{x}").eqNullSafe(F.col(f"o.{x}")) for x in ("space", "whole", "text")])
+    keys = c.keys().alias("k").join(rows.alias("o"), same, "left").select("k.*", "met", "total", "items", "status", "due")
+
+    mine, met = F.col("space") == space, F.col("met").isNotNull()
+    order, sale = mine & met & F.col("day").isNull() & (F.col("n0") > 0), mine & met & ~no_key()
+    n_lines, n_sold = F.col(f"n{lines}"), F.col(f"n{sold}")
+    has_lines = (n_lines > 0) & ~no_key()
+    lost = mine & ~met & ~no_key()
+    c.check("foreign_key", "order_items.orderId -> orders.orderId", F.sum(F.when(lost, n_lines)))
+    c.check("foreign_key", "sales.orderId -> orders.orderId", F.sum(F.when(lost, n_sold)))
+    c.check("order_total", "orders", F.count_if(order & (F.abs(F.col("total") - F.when(has_lines, F.col("amount")).otherwise(0)) > 1)))
+    c.check("item_count", "orders", F.count_if(order & has_lines & (F.col("items") != n_lines)))
+    c.check("sale_of_undelivered_order", "sales", F.sum(F.when(sale & (F.col("status") != "DELIVERED"), n_sold)))
+    c.check("sale_of_cancelled_order", "sales", F.sum(F.when(sale & (F.col("status") == "CANCELLED"), n_sold)))
+    c.check("sale_date", "sales", F.sum(F.when(sale & (F.col("day") != F.col("due")), n_sold)))
+    return c.verdicts(keys)
 
 
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:
