@@ -137,10 +137,15 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             texts, counts, gone = [], [], []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column(cut).to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []
-                lost = sorted({j for s in spans or () for i in s["starts"] for j in range(i, i + s["n"])})
-                if lost:
-                    out = set(lost)
-                    text = "\n".join(x for j, x in enumerate(lines) if j not in out)
+                lost: list[int] = []
+                if spans:
+                    covers = np.zeros(len(lines) + 1, np.int64)  # runs begun less runs ended, line by line
+                    for s in spans:
+                        np.add.at(covers, s["starts"], 1)
+                        np.add.at(covers, np.array(s["starts"]) + s["n"], -1)
+                    covered = np.cumsum(covers[:-1]) > 0
+                    lost = np.flatnonzero(covered).tolist()
+                    text = "\n".join([x for x, gone_ in zip(lines, covered.tolist(), strict=True) if not gone_])
                 texts.append(text)
                 counts.append(len(lines))
                 gone.append(lost)

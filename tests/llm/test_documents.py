@@ -213,29 +213,6 @@ def test_mixed_language_spans(spark, docs):
     assert [s["lang"] for s in row["spans"]] == ["en", "de"] and abs(row["spans"][0]["n_words"] - 36) <= 2
 
 
-def test_line_dedup(docs, rows):
-    out = {r["doc_id"]: r for r in linededup.remove_repeats(docs).collect()}
-    lines = {key: (t or "").split("\n") if t is not None else [] for key, t in {((i is None, i or 0), t) for i, t, _ in rows}}
-    gone, n, found = {k: set() for k in lines}, 1, True
-    while found:
-        seen, found = set(), False
-        for key in sorted(lines):
-            own = lines[key]
-            for k in range(len(own) - n + 1):
-                run = tuple(own[k:k + n])
-                if run in seen:
-                    found = True
-                    if sum(len(words(x)) for x in run) >= linededup.MIN_WORDS:
-                        gone[key].update(range(k, k + n))
-                seen.add(run)
-        n *= 2
-    for (missing, i), cut in gone.items():
-        r = out[None if missing else i]
-        assert set(r["removed"]) == cut and r["n_lines"] == len(lines[missing, i])
-        if r["text"] is not None:
-            assert r["text"] == "\n".join(x for k, x in enumerate(lines[missing, i]) if k not in cut)
-
-
 def lines_to_go(lines):
     """Lines of each document in runs of any length that start earlier too."""
     gone = {k: set() for k in lines}
@@ -268,8 +245,20 @@ def test_line_dedup_tries_every_length(spark):
 
 def test_line_dedup_of_real_rows_at_every_length(docs, rows):
     out = {r["doc_id"]: r for r in linededup.remove_repeats(docs).collect()}
-    for (missing, i), cut in lines_to_go({(i is None, i or 0): t.split("\n") for i, t, _ in rows if t is not None}).items():
-        assert out[None if missing else i]["removed"] == sorted(cut), i
+    lines = {(i is None, i or 0): t.split("\n") for i, t, _ in rows if t is not None}
+    for (missing, i), cut in lines_to_go(lines).items():
+        r, own = out[None if missing else i], lines[missing, i]
+        assert r["removed"] == sorted(cut) and r["n_lines"] == len(own), i
+        assert r["text"] == "\n".join(x for k, x in enumerate(own) if k not in cut)
+    assert out[1000]["text"] is None and out[1000]["n_lines"] == 0
+
+
+def test_line_dedup_of_very_many_lines(spark):
+    """Mostly blank lines: the runs overlap by thousands."""
+    blank = "\n".join(["x" if k % 50 == 0 else "" for k in range(100_000)])
+    out = linededup.remove_repeats(spark.createDataFrame([(1, blank), (2, "a\n" + blank)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert out[0]["n_lines"] == 100_000 and out[1]["n_lines"] == 100_001
+    assert out[1]["removed"] == list(range(1, 100_001)) and out[1]["text"] == "a"
 
 
 def test_lm_scoring(docs):
