@@ -61,12 +61,12 @@ def _spans(run: textops.Words, window: int, gram: int) -> tuple[np.ndarray, ...]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, d (id; null last) and t (15 bits of the text's hash): texts that share an id are told apart by t."""
-    return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64("text").bitwiseAND(0x7FFF).alias("t"))
+    """doc_id, text, d (id; null last) and t (hash of the text and its length): texts that share an id are told apart by t."""
+    return docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("d"), F.xxhash64("text", F.length("text")).alias("t"))
 
 
 def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(a, s, d, p, n, known): the spans of all texts. p holds t and the first window's place, in corpus order within d.
+    """(a, s, d, t, p, n, known): the spans of all texts, p the place of the first window. (d, t, p) is the corpus order.
 
     Of equal spans that meet in one batch slice only the first goes to its anchor; the
     others are known to repeat, and get keys of their own: a span in every document
@@ -80,78 +80,77 @@ def spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
                 doc, first, n, a, s = _spans(part, window, gram)
                 if not len(doc):
                     continue
-                d, p = ids[part.first + doc], (tags[part.first + doc] << 48) | first
-                order = np.lexsort((p, d, s, a))
+                d, t, p = ids[part.first + doc], tags[part.first + doc], first
+                order = np.lexsort((p, t, d, s, a))
                 same = np.zeros(len(order), bool)
-                same[1:] = (a[order][1:] == a[order][:-1]) & (s[order][1:] == s[order][:-1]) & ((d[order][1:] != d[order][:-1]) | (p[order][1:] != p[order][:-1]))
+                same[1:] = (a[order][1:] == a[order][:-1]) & (s[order][1:] == s[order][:-1]) & ((d[order][1:] != d[order][:-1]) | (t[order][1:] != t[order][:-1]) | (p[order][1:] != p[order][:-1]))
                 known = np.zeros(len(order), bool)
                 lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))
                 # only what differs in place from the first of its kind comes later
-                known[order] = same & ((d[order] != d[order][lead]) | (p[order] != p[order][lead]))
-                own = textops.mix(d.astype(_U) * _U(0x9E3779B97F4A7C15) ^ p.astype(_U))
+                known[order] = same & ((d[order] != d[order][lead]) | (t[order] != t[order][lead]) | (p[order] != p[order][lead]))
+                own = textops.mix(textops.mix(d.astype(_U) * _U(0x9E3779B97F4A7C15) ^ t.astype(_U)) + p.astype(_U))
                 a = np.where(known, own, a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textops.signed(a)), pa.array(textops.signed(s)), pa.array(d), pa.array(p), pa.array(n.astype(np.int32)), pa.array(known)],
-                    ["a", "s", "d", "p", "n", "known"],
+                    [pa.array(textops.signed(a)), pa.array(textops.signed(s)), pa.array(d), pa.array(t), pa.array(p), pa.array(n.astype(np.int32)), pa.array(known)],
+                    ["a", "s", "d", "t", "p", "n", "known"],
                 )
 
-    return _keyed(docs).select("d", "t", "text").mapInArrow(run, "a long, s long, d long, p long, n int, known boolean")
+    return _keyed(docs).select("d", "t", "text").mapInArrow(run, "a long, s long, d long, t long, p long, n int, known boolean")
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """(a, s, d, p, n, later): spans under anchors that occur again. ``later``: an equal span comes before; else the anchor has other spans."""
+    """(a, s, d, t, p, n, later): spans under anchors that occur again. ``later``: an equal span comes before; else the anchor has other spans."""
     same, anchor = Window.partitionBy("a", "s"), Window.partitionBy("a")
-    seen = spans(docs, window, gram).withColumn("_first", F.min(F.struct("d", "p")).over(same)).withColumn("_lo", F.min("s").over(anchor)).withColumn("_hi", F.max("s").over(anchor))
-    later = F.col("known") | (F.col("_first") < F.struct("d", "p"))
-    return seen.filter(later | (F.col("_lo") < F.col("_hi"))).select("a", "s", "d", "p", "n", later.alias("later"))
+    seen = spans(docs, window, gram).withColumn("_first", F.min(F.struct("d", "t", "p")).over(same)).withColumn("_lo", F.min("s").over(anchor)).withColumn("_hi", F.max("s").over(anchor))
+    later = F.col("known") | (F.col("_first") < F.struct("d", "t", "p"))
+    return seen.filter(later | (F.col("_lo") < F.col("_hi"))).select("a", "s", "d", "t", "p", "n", later.alias("later"))
 
 
 def _with_words(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     """The spans with their words, cut out of the texts."""
-    wanted = found.groupBy("d", F.shiftright("p", 48).alias("t")).agg(F.collect_list(F.struct("a", "s", "p", "n")).alias("spans"))  # of one text
-    joined = _keyed(docs).join(wanted, ["d", "t"]).select("d", "text", "spans")
+    wanted = found.groupBy("d", "t").agg(F.collect_list(F.struct("a", "s", "p", "n")).alias("spans"))  # of one text
+    joined = _keyed(docs).join(wanted, ["d", "t"]).select("d", "t", "text", "spans")
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                out: list[list] = [[], [], [], [], [], []]
+                out: list[list] = [[] for _ in range(7)]
                 some = batch.slice(at, 64).to_pylist()
                 for row in some:
                     words = row["text"].encode().split()
                     for x in row["spans"]:
-                        place = x["p"] & ((1 << 48) - 1)
-                        for column, value in zip(out, (x["a"], x["s"], row["d"], x["p"], x["n"], b" ".join(words[place:place + x["n"] + window - 1])), strict=True):
+                        for column, value in zip(out, (x["a"], x["s"], row["d"], row["t"], x["p"], x["n"], b" ".join(words[x["p"]:x["p"] + x["n"] + window - 1])), strict=True):
                             column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], ["a", "s", "d", "p", "n", "words"])
+                kinds = (*[pa.int64()] * 5, pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], ["a", "s", "d", "t", "p", "n", "words"])
 
-    return joined.mapInArrow(run, "a long, s long, d long, p long, n int, words binary")
+    return joined.mapInArrow(run, "a long, s long, d long, t long, p long, n int, words binary")
 
 
 def _stream(window: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["d", "p"], kind="stable")
+        rows = rows.sort_values(["d", "t", "p"], kind="stable")
         automaton, at, place = SuffixAutomaton(), [], []
-        for d, p, words in rows.loc[rows["reference"], ["d", "p", "words"]].itertuples(index=False):
+        for d, t, p, words in rows.loc[rows["reference"], ["d", "t", "p", "words"]].itertuples(index=False):
             at.append(automaton.add(words.split()))
-            place.append((d, p))
+            place.append((d, t, p))
         starts = np.array(at + [automaton.size])
         masks = []
-        for d, p, words in rows[["d", "p", "words"]].itertuples(index=False):
+        for d, t, p, words in rows[["d", "t", "p", "words"]].itertuples(index=False):
             mask = 0
             for end, symbol in automaton.matches(words.split(), window):
                 k = int(np.searchsorted(starts, symbol, "right")) - 1
-                if (place[k][0], place[k][1] + symbol - starts[k]) < (d, p + end - 1):
+                if (*place[k][:2], place[k][2] + symbol - starts[k]) < (d, t, p + end - 1):
                     mask |= 1 << (end - window)
             masks.append(mask)
         rows = rows.assign(mask=masks)
-        return rows.loc[rows["mask"] > 0, ["d", "p", "mask"]]
+        return rows.loc[rows["mask"] > 0, ["d", "t", "p", "mask"]]
 
     return run
 
 
 def _by_hash(worded: DataFrame, window: int) -> DataFrame:
-    """(d, p, mask) like the automata's, by the hash of every window: one row a window, whatever shares its anchor."""
+    """(d, t, p, mask) like the automata's, by the hash of every window: one row a window, whatever shares its anchor."""
 
     def run(batches):
         for batch in batches:
@@ -161,31 +160,31 @@ def _by_hash(worded: DataFrame, window: int) -> DataFrame:
                 own = doc[start]
                 rows = pa.array(part.first + own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textops.signed(g[start])), batch.column("d").take(rows), batch.column("p").take(rows), pa.array((start - part.bounds[own]).astype(np.int32))],
-                    ["g", "d", "p", "j"],
+                    [pa.array(textops.signed(g[start])), *[batch.column(c).take(rows) for c in ("d", "t", "p")], pa.array((start - part.bounds[own]).astype(np.int32))],
+                    ["g", "d", "t", "p", "j"],
                 )
 
-    windows = table(worded.select("d", "p", "words").mapInArrow(run, "g long, d long, p long, j int"))
-    at = F.struct("d", (F.col("p") + F.col("j")).alias("at"))
+    windows = table(worded.select("d", "t", "p", "words").mapInArrow(run, "g long, d long, t long, p long, j int"))
+    at = F.struct("d", "t", (F.col("p") + F.col("j")).alias("at"))
     first = windows.groupBy("g").agg(F.count("*").alias("n_places"), F.min(at).alias("first")).filter("n_places > 1")
-    return windows.join(first, "g").filter(F.col("first") < at).groupBy("d", "p").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
+    return windows.join(first, "g").filter(F.col("first") < at).groupBy("d", "t", "p").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
 
 
 def _earlier_windows(docs: DataFrame, found: DataFrame, window: int, shard_spans: int) -> DataFrame:
-    """(d, p, mask): windows of the anchors' first spans that start earlier in another span."""
+    """(d, t, p, mask): windows of the anchors' first spans that start earlier in another span."""
     hot = table(found.groupBy("a").agg(F.count("*").alias("n_spans")).filter(F.col("n_spans") > shard_spans).select("a"))
     # anchors share shards until a shard is full; the number of shards follows the number of spans
     shards = max(1, -(-found.count() // shard_spans))
     worded = table(_with_words(docs, found, window))
-    dealt = worded.join(hot, "a", "left_anti").select(F.pmod("a", F.lit(shards)).alias("shard"), F.lit(True).alias("reference"), "d", "p", "words")
-    judged = dealt.groupBy("shard").applyInPandas(_stream(window), "d long, p long, mask long")
+    dealt = worded.join(hot, "a", "left_anti").select(F.pmod("a", F.lit(shards)).alias("shard"), F.lit(True).alias("reference"), "d", "t", "p", "words")
+    judged = dealt.groupBy("shard").applyInPandas(_stream(window), "d long, t long, p long, mask long")
     return judged.unionByName(_by_hash(worded.join(hot, "a", "left_semi"), window))
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_spans: int = SHARD_SPANS) -> DataFrame:
-    """(d, p, mask): of the windows from place p on, those whose bit is set start earlier elsewhere."""
+    """(d, t, p, mask): of the windows from place p on, those whose bit is set start earlier elsewhere."""
     found = table(repeated_spans(docs, window, gram))
-    whole = found.filter("later").select("d", "p", F.expr("shiftleft(1L, n) - 1").alias("mask"))
+    whole = found.filter("later").select("d", "t", "p", F.expr("shiftleft(1L, n) - 1").alias("mask"))
     return whole.unionByName(_earlier_windows(docs, found.filter("not later").drop("later").distinct(), window, shard_spans))
 
 
@@ -199,7 +198,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
     and lose the same words. Other columns are ignored.
     """
     gone = table(repeated_windows(docs, window, gram, shard_spans))
-    lists = gone.groupBy("d", F.shiftright("p", 48).alias("t")).agg(F.collect_list(F.struct("p", "mask")).alias("gone"))  # of one text
+    lists = gone.groupBy("d", "t").agg(F.collect_list(F.struct("p", "mask")).alias("gone"))  # of one text
     joined = _keyed(docs).join(lists, ["d", "t"], "left").select("doc_id", "text", "gone")
 
     def run(batches):
@@ -211,7 +210,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shar
                 kept = words
                 if hits.is_valid:
                     cover = np.zeros(len(words) + 1, np.int32)
-                    place = np.frombuffer(hits.values.field(0).buffers()[1], np.int64)[hits.values.offset:hits.values.offset + len(hits.values)] & ((1 << 48) - 1)
+                    place = np.frombuffer(hits.values.field(0).buffers()[1], np.int64)[hits.values.offset:hits.values.offset + len(hits.values)]
                     mask = hits.values.field(1).to_numpy(zero_copy_only=False)
                     for bit in range(int(mask.max()).bit_length()):
                         at = place[(mask >> bit) & 1 == 1] + bit

@@ -147,6 +147,24 @@ def test_substring_dedup(docs, rows):
     assert out[1008]["n_removed"] == 60 and out[1006]["n_removed"] == 30_000
 
 
+@pytest.mark.parametrize("shard_spans", [substring.SHARD_SPANS, 4])
+def test_substring_dedup_of_repeated_and_null_ids(spark, shard_spans):
+    """Texts that share an id, or have none, are documents of their own: which copy stays is free, that one stays is not."""
+    rnd = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(40)]
+    texts = []
+    for k in range(4000):
+        own = [f"{k}x{j}" for j in range(rnd.randrange(30))] if k % 2 or k % 40 == 0 else [rnd.choice(vocabulary) for _ in range(rnd.randrange(30))]
+        texts.append(" ".join(own + (PASSAGE.split() if k % 40 == 0 else [])))
+    docs = spark.createDataFrame([(None if k < 2000 else 7, f"n{k} {t}") for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    out = substring.remove_repeats(docs, shard_spans=shard_spans).collect()
+    assert sorted(len(words(t)) + 1 for t in texts) == sorted(r["n_words"] for r in out)
+    assert all(r["n_removed"] in (0, 60) for r in out)
+    by = Counter((r["doc_id"], r["n_removed"]) for r in out)
+    assert by[7, 60] == 49 and by[None, 60] == 50  # the first copy is one of id 7
+    assert sum("shared0" in words(r["kept_text"]) for r in out) == 1
+
+
 def test_substring_dedup_of_a_hot_anchor_stays_small(spark, monkeypatch):
     judge, most = substring._stream, 40
 
