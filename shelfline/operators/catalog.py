@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import reference as ref
 from shelfline.functions.classify import PRICE_TIERS, price_tier
 from shelfline.functions.numbers import half_up, mean_int, pence, percent
-from shelfline.plans.ordering import cut_lineage, number_rows, percentiles, profile, value_counts, with_rank
+from shelfline.plans.ordering import number_rows, percentiles, profile, value_counts, with_rank
 from shelfline.plans.reports import beside
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -301,9 +301,9 @@ def mapping_quality(mapping: DataFrame, products: DataFrame) -> DataFrame:
     """Price profile, product reuse and tier shares of a mapping, in one row.
 
     The mapping is reduced to one counted row per product before anything
-    else; that small table is cut off its lineage because four results use it.
+    else; the results all need the count, so that table is computed once.
     """
-    used = cut_lineage(mapping.groupBy("product_id", "price_tier", "price_gbp").agg(F.count(F.lit(1)).alias("n")))
+    used = mapping.groupBy("product_id", "price_tier", "price_gbp").agg(F.count(F.lit(1)).alias("n"))
     reuse = used.agg(
         F.count(F.lit(1)).alias("products_used"),
         mean_int(F.col("n")).alias("avg_mappings_per_product"),

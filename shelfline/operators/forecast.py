@@ -13,7 +13,6 @@ from shelfline.functions.dates import anchor, compact_date
 from shelfline.functions.numbers import half_up, ratio
 from shelfline.operators import views
 from shelfline.operators.stock import daily_demand
-from shelfline.plans.ordering import cut_lineage
 
 MODEL_NAME = "HistoricalPattern"
 Z_95 = 1.96
@@ -225,8 +224,10 @@ def error_histogram(detail: DataFrame, bins: int = 50) -> DataFrame:
     """Prediction errors in equal-width bins from the smallest to the largest error."""
     # counted per distinct error first: range and bins both come from those rows
     error = (F.col("predicted_quantity") - F.col("actual_quantity")).alias("e")
-    errors = cut_lineage(detail.groupBy(error).agg(F.count(F.lit(1)).alias("n")))
-    low, high = errors.agg(F.min("e")).scalar(), errors.agg(F.max("e")).scalar()
+    errors = detail.groupBy(error).agg(F.count(F.lit(1)).alias("n"))
+    counted = F.when(F.col("n") > 0, F.col("e"))  # both columns, as below: the errors are computed once
+    ends = errors.agg(F.struct(F.min(counted).alias("low"), F.max(counted).alias("high"))).scalar()
+    low, high = ends["low"], ends["high"]
     slot = F.coalesce(F.floor(F.try_divide((F.col("e") - low) * bins, high - low)), F.lit(0).cast("long"))
     return (
         errors.groupBy(F.least(slot, F.lit(bins - 1)).alias("bin"))

@@ -14,7 +14,7 @@ from shelfline.functions.dates import anchor, in_days, month_start, months_befor
 from shelfline.functions.numbers import (
     half_up, line_pence, mean_int, money_avg, money_sum, pence, percent, pounds, ratio, revenue,
 )
-from shelfline.plans.ordering import cut_lineage, profile, value_counts, with_rank
+from shelfline.plans.ordering import profile, reads_all, value_counts, with_rank
 from shelfline.plans.reports import beside
 
 COMPLETED = ["DELIVERED", "PICKED"]
@@ -608,7 +608,7 @@ def top_products_share(sales: DataFrame, products: DataFrame, as_of: date, days:
     """Best sellers with their share of all units sold in the window."""
     recent = _last_days(sales, as_of, days)
     collapsed = recent.groupBy("productId", "saleDate").agg(F.sum("quantity").alias("_u"), F.sum(_line()).alias("_v"))
-    named = cut_lineage(  # one row per name, for the total and the top k
+    named = (  # one row per name, for the total and the top k
         collapsed.join(products.select("productId", "name"), "productId")
         .groupBy("name")
         .agg(
@@ -617,7 +617,7 @@ def top_products_share(sales: DataFrame, products: DataFrame, as_of: date, days:
             pounds(F.sum("_v")).alias("total_revenue"),
         )
     )
-    total = named.agg(F.sum("total_quantity")).scalar()
+    total = named.agg(F.sum(F.col("total_quantity") + reads_all(named))).scalar()
     return (
         named.orderBy(F.desc("total_quantity"), "name")
         .limit(k)

@@ -1,9 +1,10 @@
 """Global ranks, row numbers and exact percentiles without a one-task window.
 
-``rank() OVER (ORDER BY x)`` and ``percentile(x)`` pull a whole column through
-one task. Here rows are first counted per distinct value, the values are laid
-into monotone magnitude buckets (at most ``2 * 64 * 64`` of them, whatever the
-row count), and only the bucket totals meet in a single window.
+``rank() OVER (ORDER BY x)`` and ``percentile(x)`` pull a whole column through one task. Here rows are first counted per
+distinct value. Splitters, the approximate quantiles of these distinct values, cut them into ``SPLITS`` ranges of about
+equally many, whatever their distribution; only the ranges' totals meet in a single window. The counted values are
+used several times (for splitters, totals and places), each time with all their columns, so that Spark shuffles them
+once and reuses that exchange; nothing runs before the result is used.
 """
 
 from __future__ import annotations
@@ -16,15 +17,24 @@ from pyspark.sql import functions as F
 from shelfline.plans.reports import beside
 from shelfline.session import ensure_checkpoint_dir
 
-_STEPS_PER_OCTAVE = 64
-_NULL_BUCKET = -(1 << 30)
+SPLITS = 1024  # ranges of values; a power of two
+_NULL_RANGE = -1
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """Monotone bucket of a number: 64 steps per power of two, sign kept."""
-    x = value.cast("double")
-    steps = F.floor(F.log2(F.abs(x) + 1) * _STEPS_PER_OCTAVE).cast("int")
-    return F.coalesce(F.when(x < 0, -1 - steps).otherwise(steps), F.lit(_NULL_BUCKET))
+def reads_all(df: DataFrame) -> Column:
+    """Zero, worked out from every column of ``df``.
+
+    Two uses of one aggregated frame share its exchange only if both need the same columns of it. An aggregate
+    that adds this zero needs them all.
+    """
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).bitwiseAND(F.lit(0).cast("long"))
+
+
+def count_below(sorted_values: str | Column, value: Column, size: int) -> Column:
+    """How many of the sorted array's first ``size`` - 1 values are at most ``value``: binary search, ``size`` a power of two."""
+    marks = F.col(sorted_values) if isinstance(sorted_values, str) else sorted_values
+    steps = F.array(*[F.lit(1 << k) for k in range(size.bit_length() - 2, -1, -1)])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(marks, at + step - 1) <= value, at + step).otherwise(at))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -34,46 +44,49 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def _value_counts(df: DataFrame, value: str, keys: Sequence[str], weight: str | None = None) -> DataFrame:
-    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    return (
-        df.groupBy(*keys, F.col(value).alias("_v"))
-        .agg(rows.alias("_n"))
-        .withColumn("_b", magnitude_bucket(F.col("_v")))
-    )
+    rows = F.sum(F.lit(1) + reads_all(df)) if weight is None else F.sum(weight)
+    return df.groupBy(*keys, F.col(value).alias("_v")).agg(rows.alias("_n"))
 
 
-def _with_offsets(counts: DataFrame, keys: Sequence[str], descending: bool) -> DataFrame:
-    """Rows before each distinct value (``_before``) and in total (``_total``)."""
-    order = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    across = Window.partitionBy(*keys).orderBy(order("_b")).rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*keys)
-    buckets = (
-        counts.groupBy(*keys, "_b")
-        .agg(F.sum("_n").alias("_bn"))
-        .select(
-            *keys,
-            "_b",
-            F.coalesce(F.sum("_bn").over(across), F.lit(0)).alias("_offset"),
-            F.sum("_bn").over(everything).alias("_total"),
-        )
-    )
-    inside = Window.partitionBy(*keys, "_b").orderBy(order("_v")).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.join(buckets, [*keys, "_b"]).withColumn(
-        "_before", F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    )
+def _in_ranges(counts: DataFrame) -> DataFrame:
+    """``counts`` with the number ``_b`` of each value's range; the order of ranges is that of values. Null has one of its own."""
+    present = F.when(F.col("_n") > 0, F.col("_v").cast("double"))
+    quantiles = F.lit([i / SPLITS for i in range(1, SPLITS)])
+    marks = counts.agg(F.percentile_approx(present, quantiles, 4 * SPLITS)).scalar()
+    marked = counts.withColumn("_marks", marks)
+    place = F.when(F.col("_v").isNotNull(), count_below("_marks", F.col("_v").cast("double"), SPLITS)).otherwise(_NULL_RANGE)
+    return marked.withColumn("_b", place).drop("_marks")
+
+
+def _range_totals(placed: DataFrame, keys: Sequence[str], descending: bool) -> DataFrame:
+    """Rows before each range (``_offset``), in it (``_bn``) and in all (``_total``): at most ``SPLITS`` + 1 rows a key."""
+    order = F.col("_b").desc() if descending else F.col("_b").asc()
+    across = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    totals = placed.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
+    return totals.select(*keys, "_b", "_bn", F.coalesce(F.sum("_bn").over(across), F.lit(0)).alias("_offset"), F.sum("_bn").over(Window.partitionBy(*keys)).alias("_total"))
+
+
+def _before_each(placed: DataFrame, ranges: DataFrame, keys: Sequence[str], descending: bool) -> DataFrame:
+    """Rows before each distinct value (``_before``), for the values of the given ranges; a window holds one range."""
+    order = F.col("_v").desc() if descending else F.col("_v").asc()
+    inside = Window.partitionBy(*keys, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [F.col("p._b") == F.col("r._b")]
+    joined = placed.alias("p").join(ranges.alias("r"), same).select("p.*", "r._offset", "r._total")
+    return joined.withColumn("_before", F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
 
 
 def with_rank(df: DataFrame, value: str, name: str = "rank", total: str | None = None) -> DataFrame:
     """SQL RANK by ``value`` descending, nulls last; optionally the row total beside it.
 
-    Lazy: nothing runs before the result is used, so a view built on it follows its
-    tables. ``df`` stands twice in the plan, once pruned to ``value``; hand in a
-    reduced frame, one row per product or supplier.
+    Lazy: nothing runs before the result is used, so a view built on it follows its tables. ``df`` is used twice, with the
+    same columns: what it aggregates or joins is computed once. The ranks, one row per distinct value, are joined
+    back to the rows, so a value that very many rows share is split like any hot join key.
     """
-    placed = _with_offsets(_value_counts(df, value, []), [], descending=True).select(
-        F.col("_v"), (F.col("_before") + 1).alias(name), *([F.col("_total").alias(total)] if total else [])
+    placed = _in_ranges(_value_counts(df, value, []))
+    ranks = _before_each(placed, _range_totals(placed, [], True), [], True).select(
+        "_v", (F.col("_before") + 1).alias(name), *([F.col("_total").alias(total)] if total else [])
     )
-    return df.join(placed, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
+    return df.join(ranks, F.col(value).eqNullSafe(F.col("_v"))).drop("_v")
 
 
 def percentiles(
@@ -81,25 +94,29 @@ def percentiles(
 ) -> DataFrame:
     """Exact interpolated percentiles (PERCENTILE_CONT), one output column per point.
 
-    With ``weight`` a row stands for that many equal values.
+    The totals of the ranges tell which ranges hold a wanted place; only their values, at most two ranges
+    a point, are put in order. With ``weight`` a row stands for that many equal values.
     """
     keys = list(keys)
     counts = _value_counts(df.filter(F.col(value).isNotNull()), value, keys, weight)
-    placed = _with_offsets(counts, keys, descending=False)
-    upto = F.col("_before") + F.col("_n")
+    placed = _in_ranges(counts)
+    position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in points.items()}
+    places = [f(x) for x in position.values() for f in (F.floor, F.ceil)]
+
+    def within(first: Column, n: Column, place: Column) -> Column:
+        return (first <= place) & (place < first + n)
+
+    wanted = F.array(*[within(F.col("_offset"), F.col("_bn"), place) for place in places])
+    held = _range_totals(placed, keys, False).filter(F.array_contains(wanted, True))
+    near = _before_each(placed, held, keys, False)
 
-    def holding(index: Column) -> Column:
-        return F.max(F.when((F.col("_before") <= index) & (index < upto), F.col("_v").cast("double")))
+    def holding(place: Column) -> Column:
+        return F.max(F.when(within(F.col("_before"), F.col("_n"), place), F.col("_v").cast("double")))
 
     parts = []
-    for name, p in points.items():
-        position = (F.col("_total") - 1) * F.lit(float(p))
-        parts += [
-            holding(F.floor(position)).alias(f"_lo_{name}"),
-            holding(F.ceil(position)).alias(f"_hi_{name}"),
-            F.max(position - F.floor(position)).alias(f"_f_{name}"),
-        ]
-    found = placed.groupBy(*keys).agg(*parts)
+    for name, x in position.items():
+        parts += [holding(F.floor(x)).alias(f"_lo_{name}"), holding(F.ceil(x)).alias(f"_hi_{name}"), F.max(x - F.floor(x)).alias(f"_f_{name}")]
+    found = near.groupBy(*keys).agg(*parts)
     return found.select(
         *keys,
         *[
@@ -139,9 +156,9 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start:
 
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
-    """Rows per distinct non-null value as ``value`` and ``n``: one pass over ``df``, kept for several uses."""
+    """Rows per distinct non-null value as ``value`` and ``n``; uses that need both columns share one pass over ``df``."""
     rows = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("value"))
-    return cut_lineage(rows.agg(F.count(F.lit(1)).alias("n")))
+    return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
 def profile(counts: DataFrame, points: dict[str, float], sample: bool = True) -> DataFrame:

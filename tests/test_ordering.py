@@ -6,14 +6,16 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from shelfline.plans.ordering import magnitude_bucket, number_rows, percentiles, with_rank
+from shelfline.plans.ordering import count_below, number_rows, percentiles, with_rank
 from tests.conftest import rows
 
 
-def test_bucket_is_monotone(spark):
-    values = sorted(random.Random(1).choices(range(-(10**9), 10**9), k=2000) + [0, 1, -1, 2**40])
-    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v long").select(magnitude_bucket(F.col("v"))).collect()]
-    assert got == sorted(got)
+def test_binary_search(spark):
+    rng = random.Random(1)
+    marks = sorted(rng.choices(range(40), k=15))
+    df = spark.createDataFrame([(v, [float(m) for m in marks]) for v in range(-3, 45)], "v int, marks array<double>")
+    got = {r["v"]: r["at"] for r in df.select("v", count_below("marks", F.col("v"), 16).alias("at")).collect()}
+    assert got == {v: sum(m <= v for m in marks) for v in range(-3, 45)}
 
 
 def test_rank_with_ties_and_nulls(spark):
@@ -49,3 +51,30 @@ def test_number_rows_is_consecutive_in_order(spark):
     df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.lit(1).alias("same")).repartition(7)
     got = sorted((r["i"], r["k"]) for r in number_rows(df, ["same", "k"], "i", start=10).collect())
     assert got == [(10 + k, k) for k in range(n)]
+
+
+def test_values_of_one_magnitude_fall_into_even_ranges(spark):
+    """A hundred thousand distinct values between 5000 and 5001 and one hot value: no range is large."""
+    from shelfline.plans import ordering
+
+    n = 100_000
+    df = spark.range(0, n, 1, 4).select((F.col("id") * 7919 % n / n + 5000).alias("v")).unionByName(spark.range(0, n // 2, 1, 4).select(F.lit(7000.0).alias("v")))
+    counts = ordering._value_counts(df, "v", [])
+    sizes = [r["count"] for r in ordering._in_ranges(counts).groupBy("_b").count().collect()]
+    assert len(sizes) > 0.9 * ordering.SPLITS and max(sizes) <= 4 * n / ordering.SPLITS
+    got = percentiles(df, "v", {"a": 0.25, "b": 0.6, "c": 0.99}).first()
+    values = np.concatenate([np.arange(n) / n + 5000, np.full(n // 2, 7000.0)])
+    assert list(got) == pytest.approx([np.percentile(values, p) for p in (25, 60, 99)])
+    assert with_rank(df, "v").filter("v = 7000").select(F.min("rank"), F.max("rank"), F.count("*")).first()[:] == (1, 1, n // 2)
+
+
+def test_what_is_ranked_is_read_once(spark, tmp_path):
+    spark.range(500).select((F.col("id") % 50).alias("k"), F.col("id").alias("u"), F.lit("x").alias("name")).write.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sold = spark.read.parquet(f"{tmp_path}/t").groupBy("k").agg(F.sum("u").alias("units"), F.countDistinct("u").alias("n"), F.max("name").alias("name"))
+        for df in (with_rank(sold, "units"), percentiles(sold, "units", {"m": 0.5})):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("FileScan parquet") == 1, plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
