@@ -315,21 +315,22 @@ def integrity_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
         pence(F.col("totalAmount")).alias("total"), F.col("itemCount").alias("items"), F.col("orderStatus").alias("status"), F.to_date("deliveryDate").alias("due"),
     )
     same = reduce(lambda a, b: a & b, [F.col(f"k.{x}").eqNullSafe(F.col(f"o.{x}")) for x in ("space", "whole", "text")])
-    keys = c.keys().alias("k").join(rows.alias("o"), same, "left").select("k.*", "met", "total", "items", "status", "due")
+    keys = c.keys()
+    joined = c.of_space(keys, space).alias("k").join(rows.alias("o"), same, "left").select("k.*", "met", "total", "items", "status", "due")
 
-    mine, met = F.col("space") == space, F.col("met").isNotNull()
-    order, sale = mine & met & F.col("day").isNull() & (F.col("n0") > 0), mine & met & ~no_key()
+    met = F.col("met").isNotNull()
+    order, sale = met & F.col("day").isNull() & (F.col("n0") > 0), met & ~no_key()
     n_lines, n_sold = F.col(f"n{lines}"), F.col(f"n{sold}")
     has_lines = (n_lines > 0) & ~no_key()
-    lost = mine & ~met & ~no_key()
-    c.check("foreign_key", "order_items.orderId -> orders.orderId", F.sum(F.when(lost, n_lines)))
-    c.check("foreign_key", "sales.orderId -> orders.orderId", F.sum(F.when(lost, n_sold)))
-    c.check("order_total", "orders", F.count_if(order & (F.abs(F.col("total") - F.when(has_lines, F.col("amount")).otherwise(0)) > 1)))
-    c.check("item_count", "orders", F.count_if(order & has_lines & (F.col("items") != n_lines)))
-    c.check("sale_of_undelivered_order", "sales", F.sum(F.when(sale & (F.col("status") != "DELIVERED"), n_sold)))
-    c.check("sale_of_cancelled_order", "sales", F.sum(F.when(sale & (F.col("status") == "CANCELLED"), n_sold)))
-    c.check("sale_date", "sales", F.sum(F.when(sale & (F.col("day") != F.col("due")), n_sold)))
-    return c.verdicts(keys)
+    lost = ~met & ~no_key()
+    c.check("foreign_key", "order_items.orderId -> orders.orderId", F.sum(F.when(lost, n_lines)), joined=True)
+    c.check("foreign_key", "sales.orderId -> orders.orderId", F.sum(F.when(lost, n_sold)), joined=True)
+    c.check("order_total", "orders", F.count_if(order & (F.abs(F.col("total") - F.when(has_lines, F.col("amount")).otherwise(0)) > 1)), joined=True)
+    c.check("item_count", "orders", F.count_if(order & has_lines & (F.col("items") != n_lines)), joined=True)
+    c.check("sale_of_undelivered_order", "sales", F.sum(F.when(sale & (F.col("status") != "DELIVERED"), n_sold)), joined=True)
+    c.check("sale_of_cancelled_order", "sales", F.sum(F.when(sale & (F.col("status") == "CANCELLED"), n_sold)), joined=True)
+    c.check("sale_date", "sales", F.sum(F.when(sale & (F.col("day") != F.col("due")), n_sold)), joined=True)
+    return c.verdicts(keys, joined)
 
 
 def integrity_report(tables: Mapping[str, DataFrame]) -> DataFrame:

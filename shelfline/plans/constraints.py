@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from shelfline.plans.ordering import reads_all
+from shelfline.plans.reports import beside
+
 _RULES = -1  # the space of row rules: their number is the key
 
 
@@ -27,7 +30,7 @@ class Constraints:
 
     tables: Mapping[str, DataFrame]
     _said: dict[str, list[Column]] = field(default_factory=dict)
-    _checks: list[tuple[str, str, Column]] = field(default_factory=list)
+    _checks: list[tuple[str, str, Column, bool]] = field(default_factory=list)
     _spaces: dict[tuple[str, str], int] = field(default_factory=dict)
     _slots: dict[int, int] = field(default_factory=dict)
     _whole: dict[int, bool] = field(default_factory=dict)
@@ -64,8 +67,9 @@ class Constraints:
         self._slots[space] += 1
         return self._slots[space]
 
-    def check(self, check: str, entity: str, violations: Column) -> None:
-        self._checks.append((check, entity, violations))
+    def check(self, check: str, entity: str, violations: Column, joined: bool = False) -> None:
+        """``joined``: a sum over the keys of one space beside other columns, which :meth:`verdicts` is handed."""
+        self._checks.append((check, entity, violations, joined))
 
     # --- the usual constraints ----------------------------------------------
 
@@ -109,11 +113,22 @@ class Constraints:
         counts = [F.count_if(F.col("slot") == j).alias(f"n{j}") for j in range(slots + 1)]
         return reduce(lambda a, b: a.unionByName(b), said).groupBy("space", "whole", "text", "day").agg(*counts, F.sum("amount").alias("amount"))
 
-    def verdicts(self, keys: DataFrame | None = None) -> DataFrame:
-        """(check, entity, violations, passed) from the counted keys, or from ``keys`` with columns joined to them."""
-        counted = (self.keys() if keys is None else keys).agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"c{i}") for i, (_, _, c) in enumerate(self._checks)])
-        found = [F.struct(F.lit(check).alias("check"), F.lit(entity).alias("entity"), F.col(f"c{i}").alias("violations")) for i, (check, entity, _) in enumerate(self._checks)]
-        return counted.select(F.inline(F.array(*found))).withColumn("passed", F.col("violations") == 0)
+    def verdicts(self, keys: DataFrame | None = None, joined: DataFrame | None = None) -> DataFrame:
+        """(check, entity, violations, passed) from the counted ``keys``, and from ``joined``, some of them with more columns."""
+        keys = self.keys() if keys is None else keys
+
+        def counted(of: DataFrame, kind: bool) -> DataFrame:
+            every = F.coalesce(F.max(reads_all(keys)), F.lit(0))  # zero: both need all that is counted, so it is shuffled once
+            return of.agg(*[(F.coalesce(c, F.lit(0)).cast("long") + every).alias(f"c{i}") for i, (_, _, c, k) in enumerate(self._checks) if k == kind])
+
+        parts = [counted(keys, False)] + ([] if joined is None else [counted(joined, True)])
+        found = [F.struct(F.lit(check).alias("check"), F.lit(entity).alias("entity"), F.col(f"c{i}").alias("violations")) for i, (check, entity, *_) in enumerate(self._checks)]
+        return beside(*parts).select(F.inline(F.array(*found))).withColumn("passed", F.col("violations") == 0)
+
+    @staticmethod
+    def of_space(keys: DataFrame, space: int) -> DataFrame:
+        """The counted keys of one space. The condition reads a count, so that it stays above the aggregation both uses share."""
+        return keys.filter(F.when(F.col("n0") >= 0, F.col("space")) == space)
 
 
 def no_key() -> Column:
