@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.quality import union_all
-from shelfline.schema import LOAD_ORDER, table_schema
+from shelfline.schema import FOREIGN_KEYS, TABLE_DDL, table_schema
 from shelfline.sources.conform import conform_types
 
 
@@ -63,20 +63,49 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def save_table(df: DataFrame, name: str, merge_schema: bool = True, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("mergeSchema", merge_schema).saveAsTable(name)
+    """A managed table. ``append`` goes by column name: rows lack what their side does not have.
 
-
-def load_all(spark: SparkSession, read: Callable[[str], DataFrame], order: Sequence[str] = LOAD_ORDER, database: str | None = None) -> DataFrame:
-    """Load every table in dependency order; one result row per table, errors included."""
+    With ``merge_schema`` a column the table does not know is added to it, and the rows already there hold null in it;
+    without, such a column is an error. Stored files are not rewritten.
+    """
+    spark = df.sparkSession
+    if mode != "append" or not spark.catalog.tableExists(name):
+        df.write.mode(mode).saveAsTable(name)
+        return
+    known = {f.name.lower() for f in spark.table(name).schema.fields}
+    added = [f for f in df.schema.fields if f.name.lower() not in known]
+    if added and not merge_schema:
+        raise ValueError(f"{name} has no column {', '.join(f.name for f in added)}")
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in added)})")
+    own = {c.lower(): c for c in df.columns}
+    columns = [(F.col(f"`{own[f.name.lower()]}`") if f.name.lower() in own else F.lit(None)).cast(f.dataType).alias(f.name) for f in spark.table(name).schema.fields]
+    df.select(*columns).write.insertInto(name)
+
+
+def load_order(names: Sequence[str], references: Sequence[tuple[str, str, str, str]] = FOREIGN_KEYS) -> list[str]:
+    """The tables, parents before the children that refer to them; otherwise as given. References in a circle are an error."""
+    parents = {name: {p for c, _, p, _ in references if c == name and p in names and p != name} for name in names}
+    out: list[str] = []
+    while len(out) < len(parents):
+        ready = next((name for name in names if name not in out and parents[name] <= set(out)), None)
+        if ready is None:
+            raise ValueError(f"references in a circle: {sorted(set(names) - set(out))}")
+        out.append(ready)
+    return out
+
+
+def load_all(spark: SparkSession, read: Callable[[str], DataFrame], order: Sequence[str] | None = None, database: str | None = None, mode: str = "overwrite") -> DataFrame:
+    """Load every table, parents first; one result row per table in that order, errors included."""
     results = []
-    for name in order:
+    for position, name in enumerate(load_order(list(TABLE_DDL)) if order is None else order):
         target = f"{database}.{name}" if database else name
         try:
-            save_table(conform_types(read(name), table_schema(name)), target)
-            results.append((name, spark.table(target).count(), "Success"))
+            save_table(conform_types(read(name), table_schema(name)), target, mode=mode)
+            results.append((position, name, spark.table(target).count(), "Success"))
         except Exception as error:  # the report goes on with the next table
-            results.append((name, 0, f"Error: {error}"))
-    return spark.createDataFrame(results, "table_name string, row_count long, status string")
+            results.append((position, name, 0, f"Error: {error}"))
+    return spark.createDataFrame(results, "position int, table_name string, row_count long, status string")
 
 
 def catalog_summary(spark: SparkSession, database: str | None = None) -> DataFrame:

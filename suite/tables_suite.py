@@ -68,6 +68,31 @@ def _json_round_trip(m):
     return flatten_products(readers.read_product_json(m.spark, folder, lines=True)).select("sku", "name", "price", "category", "subcategory")
 
 
+def _database(m) -> str:
+    """A new database whose tables lie beside the session's checkpoints."""
+    name = f"load_{uuid4().hex}"
+    m.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch(m, name)}'")
+    return name
+
+
+def _saved_table(m):
+    """Delivered orders without their item count, then all others with it."""
+    name = f"{_database(m)}.orders"
+    done = F.col("orderStatus") == "DELIVERED"
+    writers.save_table(m.orders.filter(done).select("orderId", "orderStatus"), name)
+    writers.save_table(m.orders.filter(~done).select("itemCount", "orderId", "orderStatus"), name, mode="append")
+    return m.spark.table(name)
+
+
+def _loaded(m):
+    """The core tables, one that cannot be read, and the orders a second time; what the load reports beside what the tables hold."""
+    database, known = _database(m), core(m)
+    names = writers.load_order(["sales", "order_items", "stock", *[n for n in known if n not in ("sales", "order_items")]])
+    report = writers.load_all(m.spark, known.__getitem__, names, database)
+    again = writers.load_all(m.spark, known.__getitem__, ["orders"], database, mode="append").select(F.lit(len(names)).alias("position"), "table_name", "row_count", "status")
+    return report.unionByName(again).withColumn("status", F.substring_index("status", ":", 1))
+
+
 def _views(m):
     prefix = f"t{uuid4().hex[:8]}_"
     readers.register_views(m.spark, core(m), prefix)
@@ -112,6 +137,15 @@ def register(s: Suite) -> None:
         """SELECT LPAD(p_partkey::VARCHAR, 18, '0') AS sku, p_name AS name, ROUND(p_retailprice * 100) AS price, CASE WHEN p_size % 5 = 0 THEN '' ELSE p_type END AS category,
                   CASE WHEN p_size % 5 = 0 OR p_size % 3 = 0 THEN '' ELSE p_name END AS subcategory FROM (SELECT * FROM part UNION ALL SELECT * FROM part WHERE p_partkey % 8 = 0)""",
     )
+    s.add("save_table", _saved_table, "SELECT orderId, orderStatus, CASE WHEN orderStatus <> 'DELIVERED' THEN itemCount END::BIGINT AS itemCount FROM m_orders")
+    s.add(
+        "load_all",
+        _loaded,
+        f"""WITH c AS ({_COUNTS}), t(position, table_name) AS (VALUES (0, 'products'), (1, 'stock'), (2, 'product_skus'), (3, 'customers'), (4, 'orders'), (5, 'sales'), (6, 'order_items'), (7, 'orders'))
+            SELECT position::BIGINT AS position, t.table_name, (CASE WHEN t.table_name = 'stock' THEN 0 WHEN position = 7 THEN 2 * rows ELSE rows END)::BIGINT AS row_count,
+                   CASE WHEN t.table_name = 'stock' THEN 'Error' ELSE 'Success' END AS status
+            FROM t LEFT JOIN c ON c.table_name = t.table_name""",
+    )
     s.add("register_views", _views, f"SELECT table_name AS name, 'VIEW' AS kind, rows FROM ({_COUNTS})")
     s.add("table_counts", lambda m: q.table_counts(core(m)), f"SELECT * FROM ({_COUNTS}) UNION ALL SELECT 'TOTAL', SUM(rows)::BIGINT FROM ({_COUNTS})")
     s.add(

@@ -111,3 +111,25 @@ def test_product_json(spark, tmp_path):
 @pytest.mark.parametrize("name", LOAD_ORDER)
 def test_schemas_parse(spark, name):
     assert len(table_schema(name)) >= 5
+
+
+def test_load_order_follows_references():
+    refs = [("a", "x", "b", "x"), ("b", "x", "c", "x"), ("d", "x", "d", "y"), ("e", "x", "gone", "x")]
+    assert writers.load_order(["a", "b", "c", "d", "e"], refs) == ["c", "b", "a", "d", "e"]
+    with pytest.raises(ValueError, match="circle"):
+        writers.load_order(["a", "b", "c"], [*refs, ("c", "x", "a", "x")])
+
+
+def test_save_table_merges_columns(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS mergetest")
+    name = "mergetest.t"
+    writers.save_table(spark.createDataFrame([(1, "a")], "k int, v string"), name)
+    more = spark.createDataFrame([(2.5, 2)], "W double, K int")
+    with pytest.raises(ValueError, match="W"):
+        writers.save_table(more, name, merge_schema=False, mode="append")
+    writers.save_table(more, name, mode="append")
+    assert rows(spark.table(name), "k", "v", "W") == sorted([(1, "a", None), (2, None, 2.5)])
+    writers.save_table(spark.createDataFrame([(3,)], "k long"), name, merge_schema=False, mode="append")
+    assert spark.table(name).schema["k"].dataType.simpleString() == "int" and spark.table(name).count() == 3
+    writers.save_table(spark.createDataFrame([(4,)], "z int"), name)
+    assert rows(spark.table(name)) == [(4,)]
