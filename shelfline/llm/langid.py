@@ -1,7 +1,7 @@
 """Language ID: script ranges narrow the candidates, then Viterbi over per-word scores labels spans.
 
-The model is fitted on a bounded sample of labelled documents (about ``PER_LANG`` texts a
-language, drawn by hash; at most ``MOST_LANGS`` languages): smoothed
+The model is fitted on a bounded sample of labelled documents (about ``PER_LANG`` whole texts of
+every language, drawn by hash), whose trigrams are counted where they are read: smoothed
 log-probabilities of byte trigrams, word edges included, and the scripts a language uses.
 Every document is then labelled whole, inside its scan: no shuffle.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shelfline.llm import textops
 
-PER_LANG, MOST_LANGS, MOST_CHARS = 400, 64, 20_000
+PER_LANG = 400
 BITS = 15  # trigram table size
 PENALTY = 6.0  # log-probability a change of language costs
 LEAST_SHARE = 0.01  # of a language's letters, for a script to count as its own
@@ -68,20 +68,10 @@ def _trigrams(run: textops.Words) -> tuple[np.ndarray, np.ndarray]:
     return packed >> np.uint32(32 - BITS), _SCRIPT[run.data]
 
 
-def fit(rows: list[tuple[str, str]]) -> Model:
-    """A model from (lang, text) rows: the bounded sample, on the driver."""
-    langs = sorted({lang for lang, _ in rows})
+def fit(langs: list[str], counts: np.ndarray, scripts: np.ndarray) -> Model:
+    """A model from each language's trigrams (2 ** BITS, languages) and letters by script (SCRIPTS, languages)."""
     if not langs:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.ones((SCRIPTS, 0), bool))
-    counts = np.zeros((1 << BITS, len(langs)))
-    scripts = np.zeros((SCRIPTS, len(langs)))
-    for k, lang in enumerate(langs):
-        for run in textops.words(pa.array([text for x, text in rows if x == lang], pa.string())):
-            ids, script = _trigrams(run)
-            own = np.zeros(len(run.data), bool)
-            own[~textops._SPACE[run.data]] = True
-            counts[:, k] += np.bincount(ids[own], minlength=1 << BITS)
-            scripts[:, k] += np.bincount(script, minlength=SCRIPTS)
     logs = np.log((counts + 0.1) / (counts.sum(0) + 0.1 * (1 << BITS)))
     logs = np.clip(logs - logs.mean(1, keepdims=True), -6, 6)
     scripts[0] = 0
@@ -91,20 +81,51 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     return Model(langs, logs.astype(np.float32), allowed)
 
 
+def _counted(batches):
+    """(lang, id, n): trigrams of each language's texts in a batch; ids from 2 ** BITS on are scripts."""
+    for batch in batches:
+        langs = batch.column("lang").dictionary_encode()
+        own, places = langs.indices.to_numpy(zero_copy_only=False), len(langs.dictionary)
+        counts = np.zeros((places, (1 << BITS) + SCRIPTS), np.int64)
+        for run in textops.words(batch.column("text")):
+            ids, script = _trigrams(run)
+            doc = np.repeat(np.arange(len(run.start)), run.end - run.start)
+            lang = own[run.first + run.doc_of_word()[doc]]
+            inside = ~textops._SPACE[run.data]
+            np.add.at(counts, (lang, ids[inside]), 1)
+            np.add.at(counts, (lang, (1 << BITS) + script[inside].astype(np.int64)), 1)
+        lang, ids = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang)), pa.array(ids.astype(np.int32)), pa.array(counts[lang, ids])], ["lang", "id", "n"])
+
+
 def learn(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
-    """Fit on about ``per_lang`` learning documents of each of the ``MOST_LANGS`` most frequent languages.
+    """Fit on about ``per_lang`` learning documents of every language.
 
-    A language's documents are drawn by their ids' hash at the rate that gives that number
-    (all of them where there are fewer). Texts are cut for this sample only.
+    A language's documents are drawn by the hash of id and text at the rate that gives that number (all
+    of them where there are fewer, one hash at least). The driver sees one row a language and its trigram
+    counts, at most 32,768 a language; no text. Null texts and labels teach nothing; without any label, or in an
+    empty table, the model has no language. Repeated rows are drawn together; empty and very long texts count as they are.
     """
     labelled = docs.filter(~held_out()).filter("text is not null and lang is not null")
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    wanted = F.lit(False)
-    for row in counts:
-        wanted = wanted | ((F.col("lang") == row["lang"]) & (place < per_lang / row["count"]))
-    sample = labelled.filter(wanted).select("lang", F.substring("text", 1, MOST_CHARS)).limit(2 * per_lang * max(1, len(counts))).collect()
-    return fit([tuple(r) for r in sample])
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    found = labelled.select("lang", place.alias("place")).groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least")).collect()
+    if not found:
+        return fit([], np.zeros((1 << BITS, 0)), np.zeros((SCRIPTS, 0)))
+    rates = F.create_map(*[F.lit(x) for row in found for x in (row["lang"], max(row["least"], per_lang / row["n"]))])
+    sample = labelled.filter(place <= rates[F.col("lang")]).select("lang", "text")
+    counted = sample.mapInArrow(_counted, "lang string, id int, n long").groupBy("lang", "id").agg(F.sum("n").alias("n")).toArrow()
+    langs = sorted(row["lang"] for row in found)
+    number = {lang: k for k, lang in enumerate(langs)}
+    counts = np.zeros(((1 << BITS) + SCRIPTS, len(langs)))
+    names = counted.column("lang").combine_chunks().dictionary_encode()
+    at = np.array([number[x] for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy(zero_copy_only=False)] if counted.num_rows else np.zeros(0, np.int64)
+    counts[counted.column("id").to_numpy(), at] = counted.column("n").to_numpy()
+    return fit(langs, counts[:1 << BITS], counts[1 << BITS:])
+
+
+def _slice(model: Model) -> int:
+    """Bytes of text judged together: fewer where a word has very many languages' scores."""
+    return max(1 << 12, textops.SLICE_BYTES * 64 // max(64, len(model.langs)))
 
 
 def _word_scores(model: Model, run: textops.Words) -> np.ndarray:
@@ -130,7 +151,8 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
     word positions and each step is one array operation over the documents still going.
     """
     n, langs = scores.shape
-    labels = np.zeros(n, np.uint8)
+    kind = np.uint8 if langs <= 256 else np.int32
+    labels = np.zeros(n, kind)
     lengths = np.diff(bounds)
     order = np.argsort(-lengths, kind="stable")
     starts, lengths = bounds[:-1][order], lengths[order]
@@ -138,9 +160,9 @@ def viterbi(scores: np.ndarray, bounds: np.ndarray, penalty: float) -> np.ndarra
         return labels
     going = np.searchsorted(-lengths, -np.arange(lengths[0]), "left")  # documents longer than t
     stay = np.ones((n, langs), bool)  # keeping the label was best
-    came = np.zeros(n, np.uint8)  # else the label came from here
+    came = np.zeros(n, kind)  # else the label came from here
     best = scores[starts[:going[0]]].copy()
-    last = np.zeros(len(order), np.uint8)
+    last = np.zeros(len(order), kind)
     for t in range(1, int(lengths[0])):
         g = going[t]
         if g < len(best):
@@ -188,7 +210,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, spans: boo
         for batch in batches:
             texts = batch.column("text")
             pred, score, many, pieces = [], [], [], []
-            for part in textops.words(texts):
+            for part in textops.words(texts, _slice(model)):
                 letters = _has_letter(part, texts)
                 sizes = part.end - part.start
                 if names and len(part.start):
@@ -220,16 +242,20 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY, spans: boo
 def keep_known(docs: DataFrame, model: Model, least: float = 0.4) -> DataFrame:
     """``docs`` without those whose language is unknown, or whose main language holds less than ``least`` of the text.
 
+    A model without languages tells nothing: all rows pass.
+
     Rows pass whole, in their scan: a row is judged on its text alone, so ids that are
-    null or repeated make no difference.
+    null or repeated make no difference. Null, empty and letterless texts go.
     """
+    if not model.langs:
+        return docs
 
     def run(batches):
         for batch in batches:
             texts = batch.column("text")
             keep = np.zeros(batch.num_rows, bool)
-            for part in textops.words(texts):
-                if not (model.langs and len(part.start)):
+            for part in textops.words(texts, _slice(model)):
+                if not len(part.start):
                     continue
                 labels = viterbi(_word_scores(model, part), part.bounds, PENALTY)
                 flat = part.doc_of_word() * len(model.langs) + labels

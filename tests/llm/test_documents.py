@@ -224,6 +224,46 @@ def test_language_id(docs):
     assert all(langid.crc_of(i) == 2 for i in truth)
 
 
+def test_every_language_is_learned(spark):
+    """Seventy languages, one of them only in copies of one text, and no label at all."""
+    rnd = random.Random(6)
+    syllables = [[a + b for a in rnd.sample("bcdfghjklmnpqrstvwxz", 6) for b in rnd.sample("aeiou", 3)] for _ in range(70)]
+    text = lambda k: " ".join("".join(rnd.choice(syllables[k]) for _ in range(rnd.randrange(2, 4))) for _ in range(60))
+    rows = [(k * 20 + j, text(k), f"l{k:02}") for k in range(70) for j in range(20)] + [(5000 + j, "zzyx qqux " * 30, "copies") for j in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.learn(docs)
+    assert len(model.langs) == 71
+    out = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, model, spans=False).collect()}
+    assert sum(out[i] == lang for i, _, lang in rows[:1400]) >= 1380 and {out[i] for i, _, lang in rows[1400:]} == {"copies"}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    nothing = langid.learn(unlabelled)
+    assert nothing.langs == [] and langid.keep_known(unlabelled, nothing).count() == len(rows)
+    assert {r["lang_pred"] for r in langid.identify(unlabelled, nothing).collect()} == {"und"}
+
+
+def best_path(scores, penalty):
+    """Every labelling of a few words."""
+    import itertools
+
+    value = lambda path: sum(scores[t][k] for t, k in enumerate(path)) - penalty * sum(a != b for a, b in zip(path, path[1:]))
+    return max(value(path) for path in itertools.product(range(len(scores[0])), repeat=len(scores))), value
+
+
+@pytest.mark.parametrize("langs", [3, 300])
+def test_viterbi_finds_a_best_path(langs):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    lengths = [5, 0, 1, 6, 3] if langs == 3 else [2, 1]
+    scores = rng.normal(size=(sum(lengths), langs))
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    labels = langid.viterbi(scores, bounds, 1.3)
+    for lo, hi in zip(bounds, bounds[1:]):
+        if hi > lo:
+            most, value = best_path(scores[lo:hi].tolist(), 1.3)
+            assert value(labels[lo:hi].tolist()) == pytest.approx(most)
+
+
 def test_mixed_language_spans(spark, docs):
     model = langid.learn(docs)
     text = "the and of that with this are for was the of and " * 3 + "der und die nicht von den ist dem mit sich der und " * 3
