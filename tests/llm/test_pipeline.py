@@ -9,7 +9,7 @@ from tests.conftest import SF_SMALL
 
 def test_registered():
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names} and "pipeline" in names
 
 
 def test_mixing_twin(spark):
