@@ -154,70 +154,112 @@ def fit(x: np.ndarray, parts: int, recall: float = RECALL, top: int = TOP) -> In
     return index
 
 
-def _best(index: Index, top: int):
+def _best(top: int):
+    """The ``top`` best ids of each query's vector in one pair of blocks; a row stands for all ids of its vector."""
+
     def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
+        out = {"h1": [], "h2": [], "vec_id": [], "score": []}
         if len(queries) and len(rows):
-            ids, x = rows["vec_id"].to_numpy(), vectors.matrix(rows["v"])
+            ids, x = rows["ids"].to_numpy(), vectors.matrix(rows["v"])
             size = np.sqrt((x * x).sum(1))
-            asked, q = queries["query_id"].to_numpy(), vectors.matrix(queries["v"])
+            names, q = queries[["h1", "h2"]].to_numpy(), vectors.matrix(queries["v"])
             for at in range(0, len(q), 512):
                 near = q[at:at + 512] @ x.T
-                near[asked[at:at + 512][:, None] == ids[None, :]] = -np.inf
                 k = min(top, near.shape[1])
                 least = -np.partition(-near, k - 1, axis=1)[:, k - 1]
                 for i in range(len(near)):
                     # the product's rounding depends on a row's place; settle what is near the edge, ties too, row by row
                     slack = 1e-12 * float(size.max() * np.sqrt((q[at + i] ** 2).sum()))
-                    pick = np.flatnonzero((near[i] >= least[i] - slack) & (near[i] > -np.inf))
-                    score = (x[pick] * q[at + i]).sum(1)
-                    first = np.lexsort((ids[pick], -score))[:top]
-                    out["query_id"].append(np.full(len(first), asked[at + i]))
-                    out["vec_id"].append(ids[pick][first])
+                    pick = np.flatnonzero(near[i] >= least[i] - slack)
+                    own = np.concatenate([np.asarray(ids[j], np.int64) for j in pick])
+                    score = np.repeat((x[pick] * q[at + i]).sum(1), [len(ids[j]) for j in pick])
+                    first = np.lexsort((own, -score))[:top]
+                    out["h1"].append(np.full(len(first), names[at + i, 0]))
+                    out["h2"].append(np.full(len(first), names[at + i, 1]))
+                    out["vec_id"].append(own[first])
                     out["score"].append(score[first])
-        return pd.DataFrame({
-            "query_id": np.concatenate(out["query_id"] or [np.zeros(0, np.int64)]), "vec_id": np.concatenate(out["vec_id"] or [np.zeros(0, np.int64)]),
-            "score": np.concatenate(out["score"] or [np.zeros(0)]),
-        })
+        return pd.DataFrame({c: np.concatenate(v or [np.zeros(0, np.float64 if c == "score" else np.int64)]) for c, v in out.items()})
 
     return run
 
 
+def _by_length(embeddings: pd.Series):
+    """(length, row numbers) of a batch, in slices of 4,096 rows."""
+    lengths = embeddings.map(len).to_numpy()
+    for dims in np.unique(lengths):
+        rows = np.flatnonzero(lengths == dims)
+        for at in range(0, len(rows), 4096):
+            yield int(dims), rows[at:at + 4096]
+
+
 def search(frame: DataFrame, queries: DataFrame, top: int = TOP, sample: int = SAMPLE, parts_per_root: float = PARTS_PER_ROOT, recall: float = RECALL) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``top`` best of the rows its partitions hold, by inner product in double precision.
 
     ``queries`` has vec_id and embedding; its own id is no candidate. Vectors that are
-    null, empty, zero or hold null or non-finite components, those without an id, and those not of the
-    usual length take no part, neither as query nor as candidate. Ties go to the smaller
-    id. Tables too small for two partitions are searched whole.
+    null, empty, zero or hold null or non-finite components, and those without an id, take
+    no part, neither as query nor as candidate. Vectors meet those of their own length: each
+    length has an index of its own. Ties go to the smaller id. Lengths with too few rows for
+    two partitions are searched whole.
+
+    Equal vectors are indexed and asked once, with the ``top`` + 1 smallest of their ids, which
+    are all that a list of ``top`` can show, so copies of one vector neither fill the sample nor
+    a partition. A query tries further partitions until they hold ``top`` other ids, so lists
+    are short only where the table is. A row given twice counts once; an id with different
+    vectors is asked once for each of them and may then have as many fewer neighbours.
     """
+    name = ["h1", "h2"]
+
     def clean(df: DataFrame) -> DataFrame:
         df = df.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-        return df.filter(vectors.usable(df) & F.col("vec_id").isNotNull())
-
-    rows = clean(frame)
-    dims, n = vectors.usual_dims(rows), rows.count()
-    rows, asked = rows.filter(F.size("embedding") == dims), clean(queries).filter(F.size("embedding") == dims)
-    index = fit(vectors.sample(rows, sample, dims), max(1, min(MOST_PARTS, int(parts_per_root * math.sqrt(n)))), recall, top)
-
-    def place(first: int):
-        def run(frames):
-            for part in frames:
-                for at in range(0, len(part), 4096):
-                    some = part.iloc[at:at + 4096]
-                    order = index.order(vectors.matrix(some["embedding"]))[:, :first]
-                    yield pd.DataFrame({"vec_id": np.repeat(some["vec_id"].to_numpy(), order.shape[1]), "part": order.ravel(), "v": np.repeat(some["embedding"].to_numpy(), order.shape[1])})
-
-        return run
-
-    schema = "vec_id long, part int, v array<double>"
-    indexed, routed = table(rows.mapInPandas(place(1), schema)), table(asked.mapInPandas(place(index.probes), schema))
-    # rows of a part in blocks, queries of a part in blocks: a row per part, MOST_PARTS at most
+        df = df.filter(vectors.usable(df) & F.col("vec_id").isNotNull())
+        return df.withColumns({"h1": F.xxhash64("embedding"), "h2": F.xxhash64(F.lit(1), "embedding")})
+
+    rows, asked = clean(frame), clean(queries)
+    smallest = F.row_number().over(Window.partitionBy(*name).orderBy("vec_id"))
+    ids = rows.select("vec_id", *name).distinct().withColumn("_n", smallest).filter(F.col("_n") <= top + 1).groupBy(*name).agg(F.collect_list("vec_id").alias("ids"))
+    distinct = table(rows.groupBy(*name).agg(F.first("embedding").alias("embedding")).join(ids, name))
+
+    indexes, used = {}, 0  # by length: the index and the number of its first partition
+    for dims, n in sorted(distinct.groupBy(F.size("embedding")).count().collect()):
+        parts = max(1, min(MOST_PARTS, int(parts_per_root * math.sqrt(n))))
+        indexes[dims] = (fit(vectors.sample(distinct, sample, dims) if parts > 1 else np.zeros((0, dims)), parts, recall, top), used)
+        used += indexes[dims][0].parts
+
+    def index_rows(frames):
+        for part in frames:
+            for dims, at in _by_length(part["embedding"]):
+                some, (index, first) = part.iloc[at], indexes[dims]
+                home = index.order(vectors.matrix(some["embedding"]))[:, 0] + first
+                yield pd.DataFrame({"part": home, "h1": some["h1"], "v": some["embedding"], "ids": some["ids"]})
+
+    indexed = table(distinct.mapInPandas(index_rows, "part int, h1 long, v array<double>, ids array<long>"))
+    held = np.zeros(used, np.int64)
+    for part, n in indexed.groupBy("part").agg(F.sum(F.size("ids"))).collect():  # a row per partition
+        held[part] = n
+
+    def route(frames):
+        for part in frames:
+            for dims, at in _by_length(part["embedding"]):
+                if dims not in indexes:
+                    continue
+                some, (index, first) = part.iloc[at], indexes[dims]
+                order = index.order(vectors.matrix(some["embedding"]))
+                before = np.cumsum(held[order + first], axis=1) - held[order + first]
+                row, place = np.nonzero((np.arange(order.shape[1]) < index.probes) | (before <= top))
+                some = some.iloc[row]
+                yield pd.DataFrame({"part": order[row, place] + first, "h1": some["h1"], "h2": some["h2"], "v": some["embedding"]})
+
+    routed = table(asked.groupBy(*name).agg(F.first("embedding").alias("embedding")).mapInPandas(route, "part int, h1 long, h2 long, v array<double>"))
+    # rows of a part in blocks, queries of a part in blocks: a row per part
     blocks = F.broadcast(indexed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     groups = F.broadcast(routed.groupBy("part").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("groups")))
-    left = routed.join(blocks, "part").join(groups, "part").withColumn("j", F.pmod(F.xxhash64("vec_id"), "groups").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = indexed.join(blocks, "part").join(groups, "part").withColumn("i", F.pmod(F.xxhash64("vec_id", "v"), "blocks").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    left = routed.join(blocks, "part").join(groups, "part").withColumn("j", F.pmod("h1", "groups").cast("int")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = indexed.join(blocks, "part").join(groups, "part").withColumn("i", F.pmod("h1", "blocks").cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
     key = ["part", "i", "j"]
-    found = left.select(*key, F.col("vec_id").alias("query_id"), "v").groupBy(*key).cogroup(right.select(*[F.col(c).alias(c) for c in (*key, "vec_id", "v")]).groupBy(*key)).applyInPandas(_best(index, top), "query_id long, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    found = left.select(*key, *name, "v").groupBy(*key).cogroup(right.select(*[F.col(c).alias(c) for c in (*key, "v", "ids")]).groupBy(*key)).applyInPandas(_best(top + 1), "h1 long, h2 long, vec_id long, score double")
+    rank = F.row_number().over(Window.partitionBy(*name).orderBy(F.desc("score"), "vec_id"))
+    best = found.withColumn("_n", rank).filter(F.col("_n") <= top + 1).groupBy(*name).agg(F.array_sort(F.collect_list(F.struct("_n", "vec_id", "score"))).alias("_best"))
+    others = F.filter("_best", lambda b: b["vec_id"] != F.col("query_id"))
+    lists = asked.select(F.col("vec_id").alias("query_id"), *name).distinct().join(best, name)
+    lists = lists.select("query_id", F.posexplode(F.slice(others, 1, top)).alias("_p", "_b"))
+    return lists.select("query_id", (F.col("_p") + 1).alias("rank"), F.col("_b.vec_id").alias("vec_id"), F.col("_b.score").alias("score"))
