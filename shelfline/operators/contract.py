@@ -1,7 +1,7 @@
 """Contract checks on product payloads held as JSON text.
 
-The text is parsed once into a VARIANT; every rule is a column expression on
-it and the failed ones are kept as an array of messages.
+The text is parsed once into a VARIANT, a row per product, and split into plain struct columns;
+every rule is a column expression on these and the failed ones are kept as an array of messages.
 """
 
 from __future__ import annotations
@@ -130,81 +130,61 @@ def _object_errors(fields: Column, keys: Column, prefix: str, rules: list[Field]
 _NONE = "array<string>"
 
 
-def _unpacked(df: DataFrame, members: Column) -> DataFrame:
-    """Product variants split into field structs and key lists, level by level.
+def _unpacked(df: DataFrame, product: str) -> DataFrame:
+    """A product variant split into field structs and key lists, level by level.
 
-    Each level is one cast per object, stored as a column, so the rules below
-    read struct fields and never walk the variant again.
+    Each level is one cast per object, stored as a plain column, so the rules below
+    read struct fields in generated code and never walk the variant again.
     """
 
-    def each(column: str, path: str, as_type: str) -> Column:
-        return F.transform(column, lambda p: F.try_variant_get(p[path], "$", as_type))
+    def keys(of: Column) -> Column:
+        return F.map_keys(F.try_variant_get(of, "$", "map<string,variant>"))
 
-    def keys_of(column: str) -> Column:
-        return F.transform(column, lambda m: F.map_keys(m))
+    df = df.withColumns({"_p": F.try_variant_get(product, "$", _struct_type(PRODUCT_FIELDS)), "_pk": keys(F.col(product))})
+    return df.withColumns({
+        "_price": F.try_variant_get("_p.price", "$", _struct_type(PRICE_FIELDS)),
+        "_pricek": keys(F.col("_p.price")),
+        "_cat": F.try_variant_get("_p.categories", "$", f"array<{_struct_type(CATEGORY_FIELDS)}>"),
+        "_catm": F.try_variant_get("_p.categories", "$", "array<map<string,variant>>"),
+        "_asset": F.try_variant_get("_p.assets", "$", f"array<{_struct_type(ASSET_FIELDS)}>"),
+        "_assetm": F.try_variant_get("_p.assets", "$", "array<map<string,variant>>"),
+    })
 
-    lists = lambda column: F.transform(column, lambda ms: F.transform(ms, lambda m: F.map_keys(m)))
-    return (
-        df.withColumn("_m", members)
-        .withColumn("_p", F.transform("_m", lambda v: F.try_variant_get(v, "$", _struct_type(PRODUCT_FIELDS))))
-        .withColumn("_pm", F.transform("_m", lambda v: F.try_variant_get(v, "$", "map<string,variant>")))
-        .withColumn("_price", each("_p", "price", _struct_type(PRICE_FIELDS)))
-        .withColumn("_pricem", each("_p", "price", "map<string,variant>"))
-        .withColumn("_cat", each("_p", "categories", f"array<{_struct_type(CATEGORY_FIELDS)}>"))
-        .withColumn("_catm", each("_p", "categories", "array<map<string,variant>>"))
-        .withColumn("_asset", each("_p", "assets", f"array<{_struct_type(ASSET_FIELDS)}>"))
-        .withColumn("_assetm", each("_p", "assets", "array<map<string,variant>>"))
-        .withColumn("_pk", keys_of("_pm"))
-        .withColumn("_pricek", keys_of("_pricem"))
-        .withColumn("_catk", lists("_catm"))
-        .withColumn("_assetk", lists("_assetm"))
-    )
 
+_WORK = ["_v", "_p", "_pk", "_price", "_pricek", "_cat", "_catm", "_asset", "_assetm"]
 
-_WORK = ["_v", "_m", "_p", "_pm", "_price", "_pricem", "_cat", "_catm", "_asset", "_assetm", "_pk", "_pricek", "_catk", "_assetk"]
 
-
-def _list_errors(items: Column, keys: Column, field: str, rules: list[Field]) -> Column:
-    checked = F.flatten(F.transform(items, lambda m, j: _object_errors(m, F.get(keys, j), f"{field}.", rules)))
+def _list_errors(items: str, maps: str, field: str, rules: list[Field]) -> Column:
+    checked = F.flatten(F.transform(items, lambda m, j: _object_errors(m, F.map_keys(F.get(maps, j)), f"{field}.", rules)))
     return F.coalesce(checked, F.array().cast(_NONE))
 
 
 def _product_errors() -> Column:
-    """Array, per product, of all its structural errors."""
-    none = F.array().cast(_NONE)
-
-    def errors(p: Column, i: Column) -> Column:
-        price = F.get("_price", i)
-        inside = F.when(price.isNotNull(), _object_errors(price, F.get("_pricek", i), "price.", PRICE_FIELDS)).otherwise(none)
-        return F.concat(
-            _object_errors(p, F.get("_pk", i), "", PRODUCT_FIELDS),
-            inside,
-            _list_errors(F.get("_cat", i), F.get("_catk", i), "categories", CATEGORY_FIELDS),
-            _list_errors(F.get("_asset", i), F.get("_assetk", i), "assets", ASSET_FIELDS),
-        )
-
-    return F.transform("_p", errors)
+    """All structural errors of the row's product."""
+    price = F.col("_price")
+    inside = F.when(price.isNotNull(), _object_errors(price, F.col("_pricek"), "price.", PRICE_FIELDS)).otherwise(F.array().cast(_NONE))
+    return F.concat(
+        _object_errors(F.col("_p"), F.col("_pk"), "", PRODUCT_FIELDS),
+        inside,
+        _list_errors("_cat", "_catm", "categories", CATEGORY_FIELDS),
+        _list_errors("_asset", "_assetm", "assets", ASSET_FIELDS),
+    )
 
 
 def _critical_errors() -> Column:
-    """Array, per product, of the errors in the five fields the ingest depends on."""
-
-    def errors(p: Column, i: Column) -> Column:
-        price = F.get("_price", i)
-        rules = [_rule(p, "", (n, k, True, False)) for n, k in CRITICAL_FIELDS]
-        rules.append(_rule(p, "", ("price", "object", True, False)))
-        rules.append(F.when(price.isNotNull(), _rule(price, "price.", ("amountRelevantDisplay", "money", True, False))))
-        return F.when(p.isNull(), F.array(F.lit('"value" must be an object'))).otherwise(F.array_compact(F.array(*rules)))
-
-    return F.transform("_p", errors)
+    """The row's errors in the five fields the ingest depends on."""
+    p, price = F.col("_p"), F.col("_price")
+    rules = [_rule(p, "", (n, k, True, False)) for n, k in CRITICAL_FIELDS]
+    rules.append(_rule(p, "", ("price", "object", True, False)))
+    rules.append(F.when(price.isNotNull(), _rule(price, "price.", ("amountRelevantDisplay", "money", True, False))))
+    return F.when(p.isNull(), F.array(F.lit('"value" must be an object'))).otherwise(F.array_compact(F.array(*rules)))
 
 
 def _judged(products: DataFrame, column: str, errors: Column) -> DataFrame:
-    parsed = products.withColumn("_v", F.try_parse_json(column))
     broken = F.array(F.lit("not valid JSON"))
     return (
-        _unpacked(parsed, F.array("_v"))
-        .withColumn("errors", F.when(F.col("_v").isNull(), broken).otherwise(F.get(errors, F.lit(0))))
+        _unpacked(products.withColumn("_v", F.try_parse_json(column)), "_v")
+        .withColumn("errors", F.when(F.col("_v").isNull(), broken).otherwise(errors))
         .drop(*_WORK)
         .withColumn("is_valid", F.size("errors") == 0)
     )
@@ -246,31 +226,47 @@ def _page_errors(page: Column) -> Column:
 
 
 def contract_report(pages: DataFrame, key: str, column: str = "json", shown: int = 5) -> DataFrame:
-    """Per page: structure and critical verdicts, the first product errors and how many more there are."""
-    none = F.array().cast("array<variant>")
-    members = F.coalesce(F.try_variant_get(F.col("_v"), "$.data", "array<variant>"), none)
-
-    def labelled(per_product: Column) -> Column:
-        name = lambda e, i: F.concat(F.lit("Product["), i.cast("string"), F.lit("]: "), e)
-        return F.flatten(F.transform(per_product, lambda errors, i: F.transform(errors, lambda e: name(e, i))))
+    """Per page: structure and critical verdicts, the first product errors and how many more there are.
 
+    A page's products become rows, so that the rules run on plain columns; then its counts and first errors, not its
+    text, are brought together. Pages that share a key stay apart.
+    """
+    none = F.array().cast(_NONE)
+    members = F.try_variant_get(F.col("_v"), "$.data", "array<variant>")
+    parsed = pages.withColumn("_v", F.try_parse_json(column)).select(
+        F.col(key).alias("_key"), "_v", F.monotonically_increasing_id().alias("_row"),
+        F.when(F.col("_v").isNull(), F.array(F.lit("not valid JSON"))).otherwise(_page_errors(F.col("_v"))).alias("_page"),
+    )
+    products = parsed.select("_key", "_row", "_page", F.posexplode_outer(members).alias("_i", "_m"))
+    present = F.col("_i").isNotNull()
+    name = F.concat(F.lit("Product["), F.col("_i").cast("string"), F.lit("]: "))
     judged = (
-        _unpacked(pages.withColumn("_v", F.try_parse_json(column)), members)
-        .withColumn("_page", F.when(F.col("_v").isNull(), F.array(F.lit("not valid JSON"))).otherwise(_page_errors(F.col("_v"))))
-        .withColumn("_product", labelled(_product_errors()))
-        .withColumn("_critical", labelled(_critical_errors()))
+        _unpacked(products, "_m")
+        .select(
+            "_key", "_row", "_page", "_i",
+            F.when(present, _product_errors()).otherwise(none).alias("_errors"),
+            F.when(present, F.size(_critical_errors())).otherwise(0).alias("_critical"),
+        )
+        .withColumn("_first", F.transform(F.slice("_errors", 1, shown), lambda e: F.concat(name, e)))
+    )
+    failed = F.when(F.size("_errors") > 0, F.struct("_i", "_first"))
+    page = judged.groupBy("_key", "_row", "_page").agg(
+        F.count("_i").cast("int").alias("products"),
+        F.sum(F.size("_errors")).cast("int").alias("product_errors"),
+        F.sum("_critical").cast("int").alias("critical_errors"),
+        F.array_sort(F.collect_list(failed)).alias("_failed"),
     )
-    more = F.size("_product") - shown
-    tail = F.when(more > 0, F.array(F.concat(F.lit("... and "), more.cast("string"), F.lit(" more")))).otherwise(F.array().cast(_NONE))
-    structure = (F.size("_page") == 0) & (F.size("_product") == 0)
-    critical = F.size("_critical") == 0
-    return judged.select(
-        key,
+    more = F.col("product_errors") - shown
+    tail = F.when(more > 0, F.array(F.concat(F.lit("... and "), more.cast("string"), F.lit(" more")))).otherwise(none)
+    structure = (F.size("_page") == 0) & (F.col("product_errors") == 0)
+    critical = F.col("critical_errors") == 0
+    return page.select(
+        F.col("_key").alias(key),
         (structure & critical).alias("is_valid"),
         structure.alias("structure_valid"),
         critical.alias("critical_fields_valid"),
-        F.size("_m").alias("products"),
-        F.size("_product").alias("product_errors"),
-        F.size("_critical").alias("critical_errors"),
-        F.concat(F.col("_page"), F.slice("_product", 1, shown), tail).alias("report"),
+        "products",
+        "product_errors",
+        "critical_errors",
+        F.concat(F.col("_page"), F.slice(F.flatten(F.transform("_failed", lambda p: p["_first"])), 1, shown), tail).alias("report"),
     )

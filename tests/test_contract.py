@@ -94,3 +94,11 @@ def test_page_report(spark):
     assert not got["broken"]["critical_fields_valid"] and got["broken"]["product_errors"] == 6
     assert got["broken"]["report"][-1] == "... and 1 more" and len(got["broken"]["report"]) == 6
     assert got["extra"]["critical_fields_valid"] and got["extra"]["report"] == ['"debug" is not allowed']
+
+
+def test_pages_of_one_key_stay_apart(spark):
+    rows = [("a", json.dumps({"meta": META, "data": [PRODUCT, 7, None]})), ("a", json.dumps({"meta": META, "data": [PRODUCT]})), ("a", "{"), (None, None)]
+    df = spark.createDataFrame(rows, "page string, json string")
+    got = sorted((str(r["page"]), r["products"], r["product_errors"], r["critical_errors"], "; ".join(r["report"])) for r in contract_report(df, "page").collect())
+    broken = 'Product[1]: "value" must be an object; Product[2]: "value" must be an object'
+    assert got == [("None", 0, 0, 0, "not valid JSON"), ("a", 0, 0, 0, "not valid JSON"), ("a", 1, 0, 0, ""), ("a", 3, 2, 2, broken)]
