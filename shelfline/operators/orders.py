@@ -50,12 +50,17 @@ def sales_from_orders(orders: DataFrame, items: DataFrame, grain: str = "unit",
     """One sale per delivered unit (``unit``) or order line (``item``), dated by delivery.
 
     ``derived`` ids come from the order line and unit; ``running`` ids are
-    consecutive over the whole result.
+    consecutive over the whole result, in the order of line and unit: lines are numbered by
+    their key, ``orderItemId``, and a line takes as many numbers as it has units.
     """
     delivered = orders.filter(F.col("orderStatus") == "DELIVERED").select("orderId", "customerId", "deliveryDate")
     lines = items.select("orderItemId", "orderId", "productId", "quantity", "unitPrice").join(delivered, "orderId")
     if grain == "unit":
-        lines = lines.filter(F.col("quantity") > 0).withColumn("_unit", F.explode(F.sequence(F.lit(1), "quantity")))
+        lines = lines.filter(F.col("quantity") > 0)
+    if ids == "running":
+        lines = number_rows(lines, ["orderItemId"], "_number", key=["orderItemId"], weight="quantity" if grain == "unit" else None)
+    if grain == "unit":
+        lines = lines.withColumn("_unit", F.explode(F.sequence(F.lit(1), "quantity")))
         lines = lines.withColumn("quantity", F.lit(1))
         key = F.concat_ws("_", F.lit("SALE"), "orderItemId", "_unit")
     elif grain == "item":
@@ -64,10 +69,9 @@ def sales_from_orders(orders: DataFrame, items: DataFrame, grain: str = "unit",
         raise ValueError(f"unknown grain {grain!r}")
     sold = lines.withColumn("saleId", key)
     if ids == "running":
-        order = ["orderItemId", "_unit"] if grain == "unit" else ["orderItemId"]
-        number = F.col("_number").cast("string")
+        number = (F.col("_number") + (F.col("_unit") - 1 if grain == "unit" else F.lit(0))).cast("string")
         padded = F.when(F.length(number) < 10, F.lpad(number, 10, "0")).otherwise(number)
-        sold = number_rows(sold, order, "_number").withColumn("saleId", F.concat(F.lit("SALE_"), padded))
+        sold = sold.withColumn("saleId", F.concat(F.lit("SALE_"), padded))
     return sold.select(
         "saleId",
         "orderId",

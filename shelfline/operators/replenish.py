@@ -267,7 +267,9 @@ def purchase_orders(opportunities: DataFrame, cost_factor: str = "0.70", start:
     without gathering them: see ``plans.ordering.number_rows``.
     """
     factor = F.lit(Decimal(cost_factor))
-    sized = cut_lineage(with_order_quantity(opportunities))  # for the headers and for the lines
+    needed = ["order_date", "supplier_id", "productId", "atp_delivery_date", "purge_date", "price_pence", "order_quantity"]
+    sized = with_order_quantity(opportunities).select(*needed, F.monotonically_increasing_id().alias("_row"))
+    sized = cut_lineage(sized)  # for the headers, the numbers and the lines; ``_row`` is written with it
     heads = number_rows(
         sized.groupBy("order_date", "supplier_id").agg(F.min(F.struct("productId", "atp_delivery_date")).alias("_first")),
         ["order_date", "supplier_id"], "_po", start=start,
@@ -276,7 +278,8 @@ def purchase_orders(opportunities: DataFrame, cost_factor: str = "0.70", start:
         F.concat_ws("_", F.lit("PO"), compact_date(F.col("order_date")), F.col("_po").cast("string")).alias("po_id"),
     )
     lines = number_rows(
-        sized.filter(F.col("order_quantity") > 0), ["order_date", "supplier_id", "productId", "atp_delivery_date"], "_line", start=start
+        sized.filter(F.col("order_quantity") > 0),
+        ["order_date", "supplier_id", "productId", "atp_delivery_date"], "_line", start=start, key=["_row"],
     )
     # several delivery days of one product in one order: at most the days of a calendar window
     batch = F.row_number().over(Window.partitionBy("order_date", "supplier_id", "productId").orderBy("atp_delivery_date"))
@@ -411,7 +414,9 @@ def receive_deliveries(
         .join(orders.select("po_id", "supplier_id"), "po_id")
     )
     next_id = F.coalesce(stock.agg(F.max("stock_id")).scalar(), F.lit(0)) + 1
-    new_stock = number_rows(arrived, ["expected_delivery_date", "productId", "delivery_id"], "stock_id", start=next_id).select(
+    new_stock = number_rows(
+        arrived, ["expected_delivery_date", "productId", "delivery_id"], "stock_id", start=next_id, key=["delivery_id"]
+    ).select(
         "stock_id", "sku", "productId", F.col("quantity").alias("quantity_in_stock"), "expiration_date", "batch_number",
         F.lit(as_of).alias("received_date"), "temperature_zone", F.lit("AVAILABLE").alias("stock_status"),
         F.col("unit_cost").alias("purchase_price"), "supplier_id",

@@ -4,7 +4,7 @@
 distinct value. Splitters, the approximate quantiles of these distinct values, cut them into ``SPLITS`` ranges of about
 equally many, whatever their distribution; only the ranges' totals meet in a single window. The counted values are
 used several times (for splitters, totals and places), each time with all their columns, so that Spark shuffles them
-once and reuses that exchange; nothing runs before the result is used.
+once and reuses that exchange; nothing runs before the result is used. Row numbers place and write keys, not rows.
 """
 
 from __future__ import annotations
@@ -126,12 +126,21 @@ def percentiles(
     )
 
 
-def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start: int | Column = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, order: Sequence[str | Column], name: str, start: int | Column = 1, key: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Consecutive numbers in a total order, one range-partitioned sort and no single task.
 
     The placed rows are checkpointed: range bounds are sampled, so a recomputed
-    stage could otherwise hand a row a different slot than the one counted.
+    stage could otherwise hand a row a different slot than the one counted. With ``key``,
+    column names that tell the rows apart and are never null, only the columns of key and
+    order (names, then) are placed and written, and the numbers are joined back to the rows. With ``weight``
+    a row takes as many numbers as that column says, and ``name`` is the first of them.
     """
+    if key:
+        narrow = df.select(*dict.fromkeys([*order, *key, *([weight] if weight else [])]))
+        numbers = number_rows(narrow, order, name, start, weight=weight).select(*key, name)
+        return df.join(numbers, list(key)).select(*df.columns, name)
     ensure_checkpoint_dir(df.sparkSession)
     placed = (
         df.repartitionByRange(*order)
@@ -143,15 +152,20 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str, start:
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (  # one row per partition, so the window and the broadcast are bounded by their number
         placed.groupBy("_part")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     first = start if isinstance(start, Column) else F.lit(start)
-    local = F.col("_slot") - F.shiftleft("_part", 33)
+    if weight:  # a window holds one range of the sort
+        inside = Window.partitionBy("_part").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+        local = F.coalesce(F.sum(weight).over(inside), F.lit(0))
+    else:
+        local = F.col("_slot") - F.shiftleft("_part", 33)
     return (
-        placed.join(F.broadcast(offsets), "_part")
-        .withColumn(name, first + F.col("_offset") + local)
-        .drop("_slot", "_part", "_offset")
+        placed.withColumn("_local", local)
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(name, first + F.col("_offset") + F.col("_local"))
+        .drop("_slot", "_part", "_offset", "_local")
     )
 
 

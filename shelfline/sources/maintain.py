@@ -70,6 +70,9 @@ def close_parents(parents: DataFrame, children: DataFrame, key: str, parent_stat
     return parents.join(state, key, "left").withColumn(parent_status, status).drop("_open").select(*parents.columns)
 
 
-def assign_surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id", start: int | Column = 1) -> DataFrame:
-    """Consecutive ids in a total order, starting at ``start`` (a number or max + 1 as a scalar column)."""
-    return number_rows(df, list(order), name, start)
+def assign_surrogate_id(df: DataFrame, order: Sequence[str], name: str = "id", start: int | Column = 1, key: Sequence[str] = ()) -> DataFrame:
+    """Consecutive ids in a total order, starting at ``start`` (a number or max + 1 as a scalar column).
+
+    With ``key``, unique and never null, only the key and the order are sorted and written, not the rows.
+    """
+    return number_rows(df, list(order), name, start, key)

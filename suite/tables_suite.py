@@ -203,7 +203,7 @@ def register(s: Suite) -> None:
     )
     s.add(
         "assign_surrogate_id",
-        lambda m: maintain.assign_surrogate_id(m.orders, ["orderDate", "orderId"], "order_number", start=1000).select("orderId", "order_number"),
+        lambda m: maintain.assign_surrogate_id(m.orders, ["orderDate", "orderId"], "order_number", start=1000, key=["orderId"]).select("orderId", "order_number"),
         "SELECT orderId, ROW_NUMBER() OVER (ORDER BY orderDate, orderId) + 999 AS order_number FROM m_orders",
     )
     s.add(

@@ -158,3 +158,15 @@ def test_long_lead_times_keep_their_cut_off(spark):
     assert cut_off[1, date(2025, 7, 14)] == date(2025, 6, 2)
     assert cut_off[2, date(2025, 7, 14)] == date(2025, 7, 11)
     assert cut_off[3, date(2025, 7, 14)] is None
+
+
+def test_running_ids_of_units_follow_lines(spark):
+    from shelfline.operators.orders import sales_from_orders
+
+    orders = spark.createDataFrame([("o1", "c", "DELIVERED", date(2025, 1, 2)), ("o2", "c", "PENDING", date(2025, 1, 2)), ("o3", "d", "DELIVERED", None)], "orderId string, customerId string, orderStatus string, deliveryDate date")
+    lines = [("i3", "o1", "p", 2, 1.0), ("i1", "o1", "p", 3, 1.0), ("i2", "o2", "p", 5, 1.0), ("i4", "o3", "q", 0, 1.0), ("i5", "o3", "q", 1, 1.0), ("i6", "o3", "q", None, 1.0)]
+    items = spark.createDataFrame(lines, "orderItemId string, orderId string, productId string, quantity int, unitPrice double")
+    got = sorted((r["saleId"], r["orderItemId"], r["quantity"]) for r in sales_from_orders(orders, items, ids="running").collect())
+    assert got == [(f"SALE_{n:010d}", i, 1) for n, i in enumerate(["i1", "i1", "i1", "i3", "i3", "i5"], 1)]
+    got = sorted((r["saleId"], r["orderItemId"]) for r in sales_from_orders(orders, items, grain="item", ids="running").collect())
+    assert got == [(f"SALE_{n:010d}", i) for n, i in enumerate(["i1", "i3", "i4", "i5", "i6"], 1)]

@@ -53,6 +53,23 @@ def test_number_rows_is_consecutive_in_order(spark):
     assert got == [(10 + k, k) for k in range(n)]
 
 
+def test_keys_are_numbered_without_their_rows(spark, monkeypatch):
+    n, written = 3000, []
+    df = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 7919 % 100).alias("v"), (F.col("id") % 4).alias("w"), F.lit("wide").alias("text")).repartition(7)
+    whole = type(df).checkpoint
+    monkeypatch.setattr(type(df), "checkpoint", lambda self, *a, **k: written.append(self.columns) or whole(self, *a, **k))
+    expected, at = [], 10
+    for v, k in sorted((k * 7919 % 100, k) for k in range(n)):
+        expected.append((at, k, "wide"))
+        at += k % 4
+    plain = sorted(rows(number_rows(df, ["v", "k"], "i", start=10, key=["k"]).select("i", "v", "k")))
+    assert plain == [(10 + i, v, k) for i, (v, k) in enumerate(sorted((k * 7919 % 100, k) for k in range(n)))]
+    weighted = number_rows(df, ["v", "k"], "i", start=10, key=["k"], weight="w")
+    assert weighted.columns == [*df.columns, "i"] and sorted(rows(weighted.select("i", "k", "text"))) == sorted(expected)
+    assert written == [["v", "k", "_slot"], ["v", "k", "w", "_slot"]]
+    assert number_rows(df.limit(0), ["v", "k"], "i", key=["k"], weight="w").count() == 0
+
+
 def test_values_of_one_magnitude_fall_into_even_ranges(spark):
     """A hundred thousand distinct values between 5000 and 5001 and one hot value: no range is large."""
     from shelfline.plans import ordering
