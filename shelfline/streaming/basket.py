@@ -5,9 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from hashlib import sha256
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shelfline.session import ensure_checkpoint_dir
 
@@ -75,3 +77,74 @@ def latest_totals(changes: DataFrame) -> DataFrame:
         .agg(F.max_by(F.struct(*rest), "batch_id").alias("s"))
         .select("basket_day", "productId", *[F.col(f"s.{c}").alias(c) for c in rest])
     )
+
+
+_HELD = "ids array<string>, expiry array<long>, quantity array<long>, added array<long>"
+_HOLDING = "basket_day date, productId string, session_id string, total_quantity long, basket_rows long, earliest_add timestamp, latest_add timestamp"
+
+
+def _hold(key: tuple, batches, state: GroupState):
+    """One session's rows of a product and day: new ones come in, expired ones go when their timer fires."""
+    now = max(state.getCurrentWatermarkMs(), 0) * 1000
+    before = list(zip(*state.get, strict=True)) if state.exists else []
+    held, closes = {row[0]: row for row in before}, None
+    for batch in [] if state.hasTimedOut else batches:
+        for row in batch.itertuples(index=False):
+            closes = row.closes
+            if row.id not in held:
+                held[row.id] = (row.id, None if pd.isna(row.expiry) else int(row.expiry), int(row.quantity), int(row.added))
+    left = sorted((r for r in held.values() if r[1] is None or r[1] >= now), key=lambda r: (r[3], r[0]))
+    timers = [r[1] for r in left if r[1] is not None]
+    if not timers and left and closes is not None and closes >= now:
+        timers = [closes]  # rows that never expire are forgotten, not emptied, once the day is closed
+    if timers:
+        state.update(tuple(list(c) for c in zip(*left, strict=True)))
+        state.setTimeoutTimestamp(min(timers) // 1000)
+    elif state.exists:
+        state.remove()
+    if {r[0] for r in left} != {r[0] for r in before}:
+        added = [pd.Timestamp(r[3], unit="us", tz="UTC") for r in left] or [pd.NaT]
+        yield pd.DataFrame({
+            "basket_day": [key[0]], "productId": [key[1]], "session_id": [key[2]], "total_quantity": [sum(r[2] for r in left)], "basket_rows": [len(left)],
+            "earliest_add": pd.Series([added[0]], dtype="datetime64[us, UTC]"), "latest_add": pd.Series([added[-1]], dtype="datetime64[us, UTC]"),
+        })
+
+
+def stream_live_basket(basket: DataFrame, late: str = LATE) -> DataFrame:
+    """What each session holds of a product, by day of ``added_at``, as it changes: rows come in when added and go when they expire.
+
+    The stream's clock is its watermark, ``late`` behind the newest ``added_at``. A row leaves
+    when the clock passes its ``expires_at``: an event-time timer emits the session's new, lower total, zero for
+    none, though no row of it arrives. Rows older than the clock, those expired on arrival and repeats of a
+    ``basket_id`` are left out; a null quantity counts as 0. Rows without ``added_at`` or ``basket_id`` are left out.
+
+    State is keyed by day, product and session, so a product that a third of all rows hold is
+    spread over its sessions. It holds the unexpired rows of a session, and is dropped when the last one expires
+    or, for rows that never do, when the day is closed. Write it with ``run_available``; ``live_totals`` reads it.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    rows = basket.filter((F.col("status") == "ACTIVE") & F.col("basket_id").isNotNull() & F.col("added_at").isNotNull())
+    return (
+        rows.withColumn("added_at", F.col("added_at").cast("timestamp"))
+        .withWatermark("added_at", late)
+        .select(
+            F.to_date("added_at").alias("basket_day"), "productId", "session_id", "added_at", F.col("basket_id").cast("string").alias("id"),
+            micros("expires_at").alias("expiry"), F.coalesce(F.col("quantity").cast("long"), F.lit(0)).alias("quantity"), micros("added_at").alias("added"),
+            F.unix_micros(F.date_add(F.to_date("added_at"), 1).cast("timestamp")).alias("closes"),
+        )
+        .groupBy("basket_day", "productId", "session_id")
+        .applyInPandasWithState(_hold, _HOLDING, _HELD, "update", GroupStateTimeout.EventTimeTimeout)
+    )
+
+
+def live_totals(changes: DataFrame) -> DataFrame:
+    """Product totals per day of what is held now, from the written changes of ``stream_live_basket``; sessions are counted exactly."""
+    rest = ["total_quantity", "basket_rows", "earliest_add", "latest_add"]
+    newest = changes.groupBy("basket_day", "productId", "session_id").agg(F.max_by(F.struct(*rest), "batch_id").alias("s")).filter("s.basket_rows > 0")
+    return newest.groupBy("basket_day", "productId").agg(
+        F.count("session_id").alias("active_sessions"),
+        F.sum("s.total_quantity").alias("total_quantity"),
+        F.sum("s.basket_rows").alias("basket_rows"),
+        F.min("s.earliest_add").alias("earliest_add"),
+        F.max("s.latest_add").alias("latest_add"),
+    )

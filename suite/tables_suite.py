@@ -100,9 +100,13 @@ def _views(m):
     return listed.select(F.substring("name", len(prefix) + 1, 64).alias("name"), "kind", "rows")
 
 
+def _events(m):
+    return m.spark.readStream.schema(m.raw("events").schema).option("pathGlobFilter", "events.parquet").parquet(m.folder)
+
+
 def _stream(m):
     """The events file as a stream of basket rows, run to its end."""
-    events = m.spark.readStream.schema(m.raw("events").schema).option("pathGlobFilter", "events.parquet").parquet(m.folder)
+    events = _events(m)
     folder = scratch(m, "stream")
     summary = stream.stream_itb_summary(m.basket_rows(events), BASKET_NOW, exact_sessions=True)
     stream.run_available(summary, f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
@@ -110,6 +114,14 @@ def _stream(m):
     return totals.select("basket_day", "productId", "active_sessions", "total_quantity", "basket_rows", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("earliest_add", "latest_add")])
 
 
+def _live(m):
+    """The same rows, each out again once the stream's clock has passed its expiry."""
+    folder = scratch(m, "live")
+    stream.run_available(stream.stream_live_basket(m.basket_rows(_events(m)), "1 hour"), f"{folder}/out", f"{folder}/checkpoint").awaitTermination()
+    totals = stream.live_totals(m.spark.read.parquet(f"{folder}/out"))
+    return totals.select("basket_day", "productId", "active_sessions", "total_quantity", "basket_rows", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("earliest_add", "latest_add")])
+
+
 def register(s: Suite) -> None:
     s.add(
         "read_parquet_columns",
@@ -213,3 +225,11 @@ def register(s: Suite) -> None:
                    MIN(added_at) AS earliest_add, MAX(added_at) AS latest_add
             FROM m_basket WHERE status = 'ACTIVE' AND (expires_at IS NULL OR expires_at > {NOW}) GROUP BY 1, 2""",
     )
+    s.add(
+        "stream_live_basket",
+        _live,
+        """SELECT added_at::DATE AS basket_day, productId, COUNT(DISTINCT session_id) AS active_sessions, SUM(quantity)::BIGINT AS total_quantity, COUNT(*) AS basket_rows,
+                  MIN(added_at) AS earliest_add, MAX(added_at) AS latest_add
+           FROM m_basket WHERE status = 'ACTIVE'
+             AND (expires_at IS NULL OR expires_at >= (SELECT date_trunc('millisecond', MAX(added_at)) - INTERVAL 1 HOUR FROM m_basket WHERE status = 'ACTIVE')) GROUP BY 1, 2""",
+    )

@@ -2,7 +2,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from shelfline.streaming.basket import latest_totals, run_available, stream_itb_summary
+from shelfline.streaming.basket import latest_totals, live_totals, run_available, stream_itb_summary, stream_live_basket
 
 DDL = "productId string, session_id string, quantity int, added_at timestamp, expires_at timestamp, status string"
 T0 = datetime(2025, 7, 14, 8)
@@ -52,3 +52,27 @@ def test_each_sink_has_its_own_checkpoint(spark, tmp_path):
         stream = spark.readStream.schema(DDL).parquet(source)
         run_available(stream_itb_summary(stream), str(tmp_path / name)).awaitTermination()
         assert [r["total_quantity"] for r in latest_totals(spark.read.parquet(str(tmp_path / name))).collect()] == [2]
+
+
+def test_rows_leave_when_their_time_comes(spark, tmp_path):
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    ddl = "basket_id long, " + DDL
+    seen = []
+    batches = [
+        # id, product, session, units, hour added, hour of expiry, status
+        [(1, "A", "s1", 2, 0, 3, "ACTIVE"), (2, "A", "s1", 1, 1, None, "ACTIVE"), (3, "A", "s2", 5, 1, 4, "ACTIVE"), (4, "A", "s3", 9, 1, None, "EXPIRED"), (5, "B", "s1", 7, 1, 30, "ACTIVE")],
+        [(1, "A", "s1", 2, 0, 3, "ACTIVE"), (3, "A", "s2", 5, 1, 4, "ACTIVE"), (6, "B", "s4", 1, 4, 90, "ACTIVE")],  # repeats, and the clock moves to hour 3
+        [(7, "C", "s5", 1, 6, 90, "ACTIVE")],  # clock at 5: rows 1 and 3 are out, though no row of product A arrives
+        [(8, "A", "s6", 50, 2, 90, "ACTIVE"), (9, "C", "s5", 3, 32, 90, "ACTIVE")],  # late; then the clock passes row 5's expiry
+    ]
+    for batch in batches:
+        rows = [(i, p, s, q, T0 + timedelta(hours=h), None if e is None else T0 + timedelta(hours=e), st) for i, p, s, q, h, e, st in batch]
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
+        run_available(stream_live_basket(stream, late="1 hour"), sink, state).awaitTermination()
+        totals = live_totals(spark.read.parquet(sink)).collect()
+        seen.append({(str(r["basket_day"])[8:], r["productId"]): (r["active_sessions"], r["total_quantity"], r["basket_rows"]) for r in totals})
+    assert seen[0] == {("14", "A"): (2, 8, 3), ("14", "B"): (1, 7, 1)}
+    assert seen[1] == {("14", "A"): (2, 8, 3), ("14", "B"): (2, 8, 2)}
+    assert seen[2] == {("14", "A"): (1, 1, 1), ("14", "B"): (2, 8, 2), ("14", "C"): (1, 1, 1)}
+    assert seen[3] == {("14", "A"): (1, 1, 1), ("14", "B"): (1, 1, 1), ("14", "C"): (1, 1, 1), ("15", "C"): (1, 3, 1)}
