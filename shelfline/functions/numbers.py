@@ -57,3 +57,10 @@ def mean_int(value: Column) -> Column:
 
 def ceil_to_multiple(value: Column, multiple: Column) -> Column:
     return F.ceil(value.cast("double") / multiple.cast("double")) * multiple
+
+
+def stable_hash(*columns: str | Column, salt: int = 0) -> Column:
+    """A whole number in [0, 2^48) from the md5 of salt and values, joined by "|": the same in every engine. Nulls are skipped."""
+    parts = [F.col(c) if isinstance(c, str) else c for c in columns]
+    text = F.concat_ws("|", F.lit(str(salt)), *[c.cast("string") for c in parts])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("long")

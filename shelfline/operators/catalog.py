@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import reference as ref
 from shelfline.functions.classify import PRICE_TIERS, price_tier
-from shelfline.functions.numbers import half_up, mean_int, pence, percent
+from shelfline.functions.numbers import half_up, mean_int, pence, percent, stable_hash
 from shelfline.plans.ordering import number_rows, percentiles, profile, value_counts, with_rank
 from shelfline.plans.reports import beside
 
@@ -120,7 +120,7 @@ def top_by_revenue(performance: DataFrame, k: int = 5) -> DataFrame:
 
 def generate_skus(products: DataFrame, sku_count: Column | None = None) -> DataFrame:
     """One to three SKUs per product: the id plus a four-digit suffix, the first one primary."""
-    count = F.pmod(F.xxhash64("productId"), F.lit(3)).cast("int") + 1 if sku_count is None else sku_count
+    count = (stable_hash("productId") % 3).cast("int") + 1 if sku_count is None else sku_count
     suffix = F.lpad(F.col("_i").cast("string"), 4, "0")
     return products.select("productId", F.explode(F.sequence(F.lit(1), count)).alias("_i")).select(
         "productId",
@@ -258,8 +258,8 @@ def map_items_to_products(
     product; both default to stable hashes of the item id. Popular items
     (top 30 %) pick from the first half of a tier with more than ten products.
     """
-    draw = F.pmod(F.xxhash64("item_id", F.lit(1)), F.lit(1_000_000)) / 1_000_000 if tier_draw is None else tier_draw
-    choice = F.pmod(F.xxhash64("item_id", F.lit(2)), F.lit(1 << 62)) if pick is None else pick
+    draw = stable_hash("item_id", salt=1) % 1_000_000 / 1_000_000 if tier_draw is None else tier_draw
+    choice = stable_hash("item_id", salt=2) if pick is None else pick
     names = [name for name, _, _ in PRICE_TIERS]
 
     ranked = with_rank(popularity, "total_sold", "popularity_rank", total="_items")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import reference as ref
 from shelfline.functions.classify import minimum_order, order_multiple, size_bound, temperature_zone, volume_class
 from shelfline.functions.dates import anchor, business_days, compact_date
-from shelfline.functions.numbers import ceil_to_multiple, half_up, mean_int, pence, percent, pounds
+from shelfline.functions.numbers import ceil_to_multiple, half_up, mean_int, pence, percent, pounds, stable_hash
 from shelfline.operators import views
 from shelfline.plans.ordering import cut_lineage, number_rows
 
@@ -31,7 +31,7 @@ def business_calendar(spans: DataFrame, first: str, last: str, holidays: list[da
 
 def default_lead_time(key: Column) -> Column:
     """Lead time by a stable draw over the published shares."""
-    draw, reached, ladder = F.pmod(F.xxhash64(key), F.lit(100)), 0, None
+    draw, reached, ladder = stable_hash(key) % 100, 0, None
     for days, share in ref.LEAD_TIME_SHARES.items():
         reached += share
         ladder = (F if ladder is None else ladder).when(draw < reached, days)
@@ -109,7 +109,7 @@ def ordering_calendar(
         F.lead("delivery_date").over(by_day).alias("next_atp_delivery_date"),
     )
     life = shelf_life.select("category", "subcategory", "shelf_life_days")
-    draw = F.xxhash64("productId") if seed is None else seed
+    draw = stable_hash("productId") if seed is None else seed
     rules = products.join(life, ["category", "subcategory"], "left").select(
         "productId",
         "supplier_id",

@@ -124,6 +124,12 @@ def register(s: Suite) -> None:
             GROUP BY category, subcategory ORDER BY category, product_count DESC, subcategory LIMIT 15""",
     )
     s.add("generate_skus", lambda m: m.product_skus, "SELECT * FROM m_skus")
+    s.add(
+        "generate_skus_drawn",
+        lambda m: c.generate_skus(m.products),
+        """SELECT productId, productId || LPAD(CAST(i AS VARCHAR), 4, '0') AS sku, LPAD(CAST(i AS VARCHAR), 4, '0') AS sku_suffix, i = 1 AS is_primary
+           FROM (SELECT productId, UNNEST(range(1, ('0x' || substr(md5('0|' || productId), 1, 12))::BIGINT % 3 + 2)) AS i FROM m_products)""",
+    )
     sizes = "(SELECT productId, COUNT(*) AS n FROM m_skus GROUP BY productId)"
     s.add(
         "sku_distribution",
@@ -166,6 +172,12 @@ def register(s: Suite) -> None:
                            FROM m_products WHERE {_TIER} IS NOT NULL GROUP BY 1, 2) WHERE position <= 3""",
     )
     s.add("map_items_to_products", mapping, _MAPPING)
+    hashed = lambda salt: f"('0x' || substr(md5('{salt}|' || item_id), 1, 12))::BIGINT"
+    s.add(
+        "map_items_to_products_drawn",
+        lambda m: c.map_items_to_products(c.item_popularity(series(m)), m.products),
+        _MAPPING.replace(_DRAW, f"{hashed(1)} % 1000000 / 1000.0").replace("CAST(total_sold AS BIGINT) * 31 %", f"{hashed(2)} %"),
+    )
     s.add(
         "mapping_quality",
         lambda m: rounded(c.mapping_quality(mapping(m), m.products), *PROFILE, "avg_mappings_per_product"),

@@ -40,6 +40,17 @@ def register(s: Suite) -> None:
         lambda m: o.reproducible_sample(m.orders, 0.1, draw=(_number("orderId") * 7919 % 1000) / 1000).select("orderId"),
         "SELECT orderId FROM m_orders WHERE regexp_extract(orderId, '(\\d+)$', 1)::BIGINT * 7919 % 1000 < 100",
     )
+    drawn = lambda salt: f"('0x' || substr(md5('{salt}|' || orderId), 1, 12))::BIGINT % 1000000"
+    s.add(
+        "mark_cancelled_drawn",
+        lambda m: o.mark_cancelled(m.orders, 0.005).select("orderId", "orderStatus"),
+        f"SELECT orderId, CASE WHEN orderStatus = 'DELIVERED' AND {drawn(42)} < 5000 THEN 'CANCELLED' ELSE orderStatus END AS orderStatus FROM m_orders",
+    )
+    s.add(
+        "reproducible_sample_drawn",
+        lambda m: o.reproducible_sample(m.orders, 0.1, "orderId", seed=7).select("orderId"),
+        f"SELECT orderId FROM m_orders WHERE {drawn(7)} < 100000",
+    )
     s.add(
         "sales_from_orders",
         lambda m: o.sales_from_orders(m.orders, m.order_items),

@@ -55,6 +55,19 @@ def register(s: Suite) -> None:
         lambda m: p.lead_time_distribution(m.suppliers, F.col("lead_time_days")),
         f"SELECT lead_time_days, COUNT(*) AS suppliers, {r('COUNT(*)::DOUBLE * 100 / (SUM(COUNT(*)) OVER ())::DOUBLE', 1)} AS percentage FROM m_suppliers GROUP BY lead_time_days",
     )
+    s.add(
+        "lead_time_distribution_drawn",
+        lambda m: p.lead_time_distribution(m.suppliers),
+        f"""SELECT lead_time_days, COUNT(*) AS suppliers, {r('COUNT(*)::DOUBLE * 100 / (SUM(COUNT(*)) OVER ())::DOUBLE', 1)} AS percentage
+            FROM (SELECT CASE WHEN d < 10 THEN 1 WHEN d < 33 THEN 2 WHEN d < 66 THEN 3 WHEN d < 89 THEN 4 ELSE 5 END::BIGINT AS lead_time_days
+                  FROM (SELECT ('0x' || substr(md5('0|' || supplier_id), 1, 12))::BIGINT % 100 AS d FROM m_suppliers)) GROUP BY lead_time_days""",
+    )
+    s.add(
+        "minimum_orders_drawn",
+        lambda m: p.ordering_calendar(m.products, m.supplier_schedules, m.product_purge_reference, as_of=AS_OF).groupBy("productId").agg(F.min("min_order_quantity").alias("low"), F.max("min_order_quantity").alias("high")),
+        """SELECT productId, q AS low, q AS high FROM (SELECT productId, CASE WHEN category = 'Fresh Food' THEN h % 20 + 20 WHEN category = 'Chilled Food' THEN h % 15 + 15 ELSE h % 15 + 10 END AS q
+             FROM (SELECT *, ('0x' || substr(md5('0|' || productId), 1, 12))::BIGINT AS h FROM m_products)) WHERE productId IN (SELECT productId FROM m_cal)""",
+    )
     s.add(
         "schedule_window",
         lambda m: p.schedule_window(m.supplier_schedules, m.suppliers, date(2001, 8, 6), date(2001, 8, 10), [1, 2, 3, 4, 5]),
