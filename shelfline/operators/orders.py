@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.dates import anchor, in_days
+from shelfline.functions.numbers import line_pence, stable_hash
 from shelfline.plans.ordering import number_rows
 
 
 def stable_draw(*columns: str | Column, seed: int = 0) -> Column:
     """A reproducible number in [0, 1) for a row, in place of a random draw."""
-    return F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1_000_000)) / 1_000_000
+    return stable_hash(*columns, salt=seed) % 1_000_000 / 1_000_000
 
 
 def reproducible_sample(df: DataFrame, fraction: float, *keys: str, seed: int = 0, draw: Column | None = None) -> DataFrame:
@@ -84,6 +85,18 @@ def sales_from_orders(orders: DataFrame, items: DataFrame, grain: str = "unit",
     )
 
 
+def units_by_order(orders: DataFrame, items: DataFrame, sales: DataFrame) -> DataFrame:
+    """Per order: its status, lines and units ordered, and units and pence sold; zeros without lines or sales.
+
+    Both facts are reduced to a row per order before they meet the orders. From tables bucketed by ``orderId``
+    (``sources.writers.save_bucketed``) nothing is shuffled.
+    """
+    ordered = items.groupBy("orderId").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("units_ordered"))
+    sold = sales.groupBy("orderId").agg(F.sum("quantity").alias("units_sold"), F.sum(line_pence(F.col("quantity"), F.col("unitPrice"))).alias("pence_sold"))
+    joined = orders.select("orderId", "orderStatus").join(ordered, "orderId", "left").join(sold, "orderId", "left")
+    return joined.select("orderId", "orderStatus", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "units_ordered", "units_sold", "pence_sold")])
+
+
 def missing_sales(
     orders: DataFrame, items: DataFrame, sales: DataFrame, first: date, last: date, grain: str = "unit"
 ) -> DataFrame:

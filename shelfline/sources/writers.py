@@ -83,6 +83,17 @@ def save_table(df: DataFrame, name: str, merge_schema: bool = True, mode: str =
     df.select(*columns).write.insertInto(name)
 
 
+def save_bucketed(tables: Mapping[str, DataFrame], key: str, buckets: int, database: str | None = None) -> None:
+    """Managed tables bucketed and sorted by ``key``, which all of them have: aggregates and joins by it read them without a shuffle.
+
+    Each is shuffled once, here, to a task a bucket, so that a bucket is one file. Choose ``buckets`` so that a bucket of the
+    largest table fits a task, the same for all; a key that very many rows share makes one large bucket.
+    """
+    for name, df in tables.items():
+        placed = df.repartition(buckets, key).sortWithinPartitions(key)
+        placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{name}" if database else name)
+
+
 def load_order(names: Sequence[str], references: Sequence[tuple[str, str, str, str]] = FOREIGN_KEYS) -> list[str]:
     """The tables, parents before the children that refer to them; otherwise as given. References in a circle are an error."""
     parents = {name: {p for c, _, p, _ in references if c == name and p in names and p != name} for name in names}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import quality as q
 from shelfline.operators import sales as sales_ops
 from shelfline.operators.catalog import flatten_products
+from shelfline.operators.orders import units_by_order
 from shelfline.plans.reports import as_json
 from shelfline.schema import table_schema
 from shelfline.session import ensure_checkpoint_dir
@@ -93,6 +94,14 @@ def _loaded(m):
     return report.unionByName(again).withColumn("status", F.substring_index("status", ":", 1))
 
 
+def _bucketed(m):
+    """Orders, lines and sales stored by order id, then joined by it."""
+    database = _database(m)
+    names = ["orders", "order_items", "sales"]
+    writers.save_bucketed({n: m.table(n) for n in names}, "orderId", 8, database)
+    return units_by_order(*[m.spark.table(f"{database}.{n}") for n in names])
+
+
 def _views(m):
     prefix = f"t{uuid4().hex[:8]}_"
     readers.register_views(m.spark, core(m), prefix)
@@ -158,6 +167,13 @@ def register(s: Suite) -> None:
                    CASE WHEN t.table_name = 'stock' THEN 'Error' ELSE 'Success' END AS status
             FROM t LEFT JOIN c ON c.table_name = t.table_name""",
     )
+    s.add(
+        "save_bucketed",
+        _bucketed,
+        """SELECT o.orderId, orderStatus, COALESCE(n, 0) AS lines, COALESCE(u, 0)::BIGINT AS units_ordered, COALESCE(su, 0)::BIGINT AS units_sold, COALESCE(p, 0)::BIGINT AS pence_sold
+           FROM m_orders o LEFT JOIN (SELECT orderId, COUNT(*) AS n, SUM(quantity) AS u FROM m_items GROUP BY 1) i ON o.orderId = i.orderId
+           LEFT JOIN (SELECT orderId, SUM(quantity) AS su, SUM(quantity * unit_pence) AS p FROM m_sales GROUP BY 1) s ON o.orderId = s.orderId""",
+    )
     s.add("register_views", _views, f"SELECT table_name AS name, 'VIEW' AS kind, rows FROM ({_COUNTS})")
     s.add("table_counts", lambda m: q.table_counts(core(m)), f"SELECT * FROM ({_COUNTS}) UNION ALL SELECT 'TOTAL', SUM(rows)::BIGINT FROM ({_COUNTS})")
     s.add(

@@ -133,3 +133,23 @@ def test_save_table_merges_columns(spark):
     assert spark.table(name).schema["k"].dataType.simpleString() == "int" and spark.table(name).count() == 3
     writers.save_table(spark.createDataFrame([(4,)], "z int"), name)
     assert rows(spark.table(name)) == [(4,)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    from shelfline.operators.orders import units_by_order
+    from shelfline.sources.writers import save_bucketed
+
+    orders = spark.createDataFrame([("o1", "DELIVERED"), ("o2", "PENDING"), (None, "PENDING")], "orderId string, orderStatus string")
+    items = spark.createDataFrame([("o1", 2), ("o1", 1), ("o3", 9)], "orderId string, quantity int")
+    sales = spark.createDataFrame([("o1", 3, 1.5), (None, 1, 1.0)], "orderId string, quantity int, price double").selectExpr("orderId", "quantity", "cast(price as decimal(10,2)) as unitPrice")
+    spark.sql(f"CREATE DATABASE bucketed_test LOCATION '{tmp_path}/db'")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        save_bucketed({"orders": orders, "items": items, "sales": sales}, "orderId", 4, "bucketed_test")
+        got = units_by_order(*[spark.table(f"bucketed_test.{n}") for n in ("orders", "items", "sales")])
+        assert sorted(map(tuple, got.collect()), key=str) == [("o1", "DELIVERED", 2, 3, 3, 450), ("o2", "PENDING", 0, 0, 0, 0), (None, "PENDING", 0, 0, 0, 0)]
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP DATABASE bucketed_test CASCADE")
