@@ -31,7 +31,7 @@ from shelfline.llm.scratch import table
 ELEMENT_BITS = 52  # of a shingle's hash; the rest of a sort key is the document's place in its run
 MOST_DOCS = 1 << (64 - ELEMENT_BITS)
 SPARE = 0.06  # blocks beyond D + 1, as a part of D: what may be empty without being looked at
-BLOCK, TASK_ROWS = 2048, 100_000  # members of a bucket compared at once; rows of small buckets a task takes
+BLOCK, TASK_WORK = 2048, 100_000  # members of a bucket compared at once; rows, and 512 comparisons a row, of a task
 KEY_SHIFT = np.uint64(16)  # 48-bit bucket keys: a chance collision only adds a candidate
 _U = np.uint64
 
@@ -100,11 +100,12 @@ def indexes(size: int, percent: int, top: int = 1 << 40) -> list[tuple[int, int]
     return [(k, d) for k, d in out if d > 0]
 
 
-def _signatures(s: Sets, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket key, set key) rows of a run."""
-    _, once = np.unique(s.set1, return_index=True)
+def _signatures(s: Sets, percent: int, seen: set[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket key, set key) rows of a run, for sets not ``seen`` in the task before."""
+    names, once = np.unique(s.set1, return_index=True)
     chosen = np.zeros(len(s.size), bool)
-    chosen[once] = True
+    chosen[once] = [x not in seen for x in names.tolist()]
+    seen.update(names.tolist())
     chosen &= s.size > 0
     per_size = {n: indexes(n, percent) for n in np.unique(s.size[chosen]).tolist()}
     slots = max((len(x) for x in per_size.values()), default=0)
@@ -162,25 +163,28 @@ def _sketch(s: Sets) -> list[np.ndarray]:
 
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set1, set2 (the set's 128-bit name) and the parity sketch p0 to p3."""
+    """doc_id, text_hash, n_shingles, set1, set2 (the set's 128-bit name) and the parity sketch p0 to p3."""
 
     def run(batches):
         for batch in batches:
             for part, s in sets(batch.column("text"), words):
                 ids = batch.column("doc_id")[part.first:part.first + len(part)]
-                arrays = [ids, pa.array(s.size)] + [pa.array(textops.signed(x)) for x in (s.set1, s.set2, *_sketch(s))]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "set1", "set2", "p0", "p1", "p2", "p3"])
+                of_text = batch.column("text_hash")[part.first:part.first + len(part)]
+                arrays = [ids, of_text, pa.array(s.size)] + [pa.array(textops.signed(x)) for x in (s.set1, s.set2, *_sketch(s))]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "text_hash", "n_shingles", "set1", "set2", "p0", "p1", "p2", "p3"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_shingles long, set1 long, set2 long, p0 long, p1 long, p2 long, p3 long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, set1 long, set2 long, p0 long, p1 long, p2 long, p3 long")
 
 
 def buckets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(bucket, set_key) rows of the buckets that hold two set keys or more."""
 
     def run(batches):
+        seen: set[int] = set()  # a number per text of the task: a common text is sent once a task
         for batch in batches:
             for _, s in sets(batch.column("text"), words):
-                keys, owners = _signatures(s, percent)
+                keys, owners = _signatures(s, percent, seen)
                 yield pa.RecordBatch.from_arrays([pa.array(textops.signed(keys)), pa.array(textops.signed(owners))], ["bucket", "set_key"])
 
     rows = docs.select("text").mapInArrow(run, "bucket long, set_key long")
@@ -188,17 +192,19 @@ def buckets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return rows.withColumn("_lo", F.min("set_key").over(same)).withColumn("_hi", F.max("set_key").over(same)).filter("_lo < _hi").select("bucket", "set_key").distinct()
 
 
-def _elements(docs: DataFrame, words: int) -> DataFrame:
+def _elements(texts: DataFrame, words: int) -> DataFrame:
+    """The sets of (node, text) rows, whole and as wide sketches."""
+
     def run(batches):
         for batch in batches:
             for part, s in sets(batch.column("text"), words):
-                ids = batch.column("doc_id")[part.first:part.first + len(part)]
+                ids = batch.column("node")[part.first:part.first + len(part)]
                 ends = np.cumsum(s.size)
                 packed = [s.element[e - n:e].tobytes() for e, n in zip(ends, s.size, strict=True)]
                 wide = [_wide(s.hash[e - n:e]) for e, n in zip(ends, s.size, strict=True)]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(s.size), pa.array(packed, pa.binary()), pa.array(wide, pa.binary())], ["node", "size", "elements", "wide"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "node long, size long, elements binary, wide binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, size long, elements binary, wide binary")
 
 
 def _wide(h: np.ndarray) -> bytes:
@@ -262,16 +268,22 @@ def _apart(members: DataFrame, elements: DataFrame, percent: int) -> DataFrame:
     A bucket may hold many documents that share a passage and little else. Its members are
     compared by arrays, in blocks of ``BLOCK`` a side, and only plausible pairs become rows.
     Buckets of one first member, such as those a passage fills, share a task, so that a
-    node's wide sketch is sent once for all of them.
+    node's wide sketch is sent once for all of them, unless they are more than ``TASK_WORK``:
+    then they are dealt to as many tasks as that takes.
     """
-    sizes = table(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("node").alias("lo")))
+    sizes = table(members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("lo")))
+    work = F.col("n") + F.col("n") * F.col("n") / 512
+    shares = sizes.filter(F.col("n") <= BLOCK).groupBy("lo").agg(F.sum(work).alias("work"))
+    total = shares.agg(F.coalesce(F.sum("work"), F.lit(0.0))).first()[0]
+    shares = shares.select("lo", F.ceil(F.col("work") / TASK_WORK).alias("parts"))
+    sizes = table(sizes.join(shares, "lo", "left").select("bucket", "lo", F.coalesce("parts", F.lit(1)).alias("parts"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
     placed = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     # block pairs (i, j), i <= j, that a member's own block is part of
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    tasks = max(1, -(-members.count() // TASK_ROWS))
-    placed = placed.withColumn("task", F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("lo"), F.lit(tasks))).otherwise(F.xxhash64("bucket", "i", "j")))
-
-    placed = table(placed)
+    whole = F.pmod(F.xxhash64("lo"), F.lit(int(total // TASK_WORK) + 1))
+    dealt = F.xxhash64("lo", F.pmod(F.xxhash64("bucket"), F.col("parts")))
+    small = F.when(F.col("parts") == 1, whole).otherwise(dealt)
+    placed = table(placed.withColumn("task", F.when(F.col("blocks") == 1, small).otherwise(F.xxhash64("bucket", "i", "j"))))
 
     def run(rows: pd.DataFrame, sketches: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "i", "j"], kind="stable")
@@ -311,29 +323,37 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     """doc_id, n_shingles, component_id: the smallest id reachable by links of 100 x intersection >= ``percent`` x union.
 
     A-Z count as a-z. Texts with fewer than ``words`` words are one shingle; null, empty
-    and blank texts are empty sets, linked with nothing. Rows with the same id are one
-    node: whatever links one of them links the id, and each row keeps its own count. Rows
-    without an id link with nothing and have no component. Other columns are ignored.
+    and blank texts are empty sets, linked with nothing. Sets are compared, not ids: each
+    text of a repeated id finds its own links, and these hold for the id, whose texts
+    are one component; each row keeps its own count. Rows without an id link with nothing
+    and have no component. An empty table gives no rows. Other columns are ignored.
+    Shingles are told apart by hashes of ``ELEMENT_BITS`` bits, sets by 128 bits.
     """
     narrow = table(described(docs, words))
     own = narrow.filter("doc_id is not null and n_shingles > 0")
-    classes = table(own.groupBy("n_shingles", "set1", "set2").agg(F.min("doc_id").alias("node"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(4)]))
-    # rows of one id with different sets hold together without any similarity
-    repeated = own.groupBy("doc_id").agg(F.min("set1").alias("x"), F.max("set1").alias("y")).filter("x < y").select("doc_id")
+    name = ["n_shingles", "set1", "set2"]
+    classes = own.groupBy(*name).agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(4)])
+    # a node is a number per set, fixed by being written
+    classes = table(classes.select(F.monotonically_increasing_id().alias("node"), *name, "of.doc_id", "of.text_hash", *[f"p{k}" for k in range(4)]))
     found = table(buckets(docs.filter("doc_id is not null"), words, percent))
     named = classes.select(F.shiftrightunsigned("set1", 16).alias("set_key"), "node")
     # a bucket's rows by node; a node may stand in a bucket once for each of its keys
     members = table(found.join(named, "set_key").select("bucket", "node").distinct())
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    elements = table(_elements(docs.select("doc_id", "text").join(wanted, "doc_id"), words).filter("length(elements) > 0"))
-    sketches = classes.drop("set1", "set2")
+    wanted = classes.select("node", "doc_id", "text_hash").join(members.select("node").distinct(), "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").join(wanted, ["doc_id", "text_hash"])
+    texts = texts.groupBy("doc_id", "text_hash", "node").agg(F.first("text").alias("text"))  # equal rows once
+    elements = table(_elements(texts, words))
+    sketches = classes.drop("set1", "set2", "doc_id", "text_hash")
 
     first = members.groupBy("bucket").agg(F.min("node").alias("lo"))
     linked = table(members.join(table(first), "bucket").filter("lo < node").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
     wave1 = table(linked.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
     edges = table(_verified(_plausible(wave1, sketches, percent), elements, percent))
-    same = own.join(repeated, "doc_id").join(classes.select("n_shingles", "set1", "set2", "node"), ["n_shingles", "set1", "set2"]).select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    edges = table(edges.unionByName(same))
+    # the sets of one id hold together without any similarity
+    repeated = own.groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y")).filter("x < y").select("doc_id")
+    same = table(own.join(repeated, "doc_id").select("doc_id", *name).distinct().join(classes.select("node", *name), name).select("doc_id", "node"))
+    first = same.groupBy("doc_id").agg(F.min("node").alias("a"))
+    edges = table(edges.unionByName(same.join(first, "doc_id").filter("a < node").select("a", F.col("node").alias("b"))))
     tried = wave1
     for wave in (2, 3):
         group = table(components(edges))
@@ -354,8 +374,11 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
         tried = tried.unionByName(pairs)
         edges = table(edges.unionByName(_verified(pairs, elements, percent)))
     group = table(components(edges))
-    of_class = table(classes.select("n_shingles", "set1", "set2", "node").join(group, "node", "left").select("n_shingles", "set1", "set2", F.coalesce("component", "node").alias("_component")))
-    return narrow.join(of_class, ["n_shingles", "set1", "set2"], "left").select(
+    held = table(group.join(classes.select("node", "doc_id"), "node"))
+    least = table(held.groupBy("component").agg(F.min("doc_id").alias("_least")))
+    least = held.join(least, "component").select("node", "_least")
+    of_class = table(classes.select("node", "doc_id", *name).join(least, "node", "left").select(*name, F.coalesce("_least", "doc_id").alias("_component")))
+    return narrow.join(of_class, name, "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id")).alias("component_id")
     )
 

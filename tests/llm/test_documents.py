@@ -204,6 +204,48 @@ def test_jaccard(docs, rows, n, percent):
         assert r["component_id"] == (None if r["doc_id"] is None else group[r["doc_id"]])
 
 
+@pytest.mark.parametrize("turned", [False, True])
+def test_jaccard_of_repeated_ids(spark, turned):
+    """Different texts of one id each find their links, in either order of the rows; equal rows count once."""
+    rnd = random.Random(3)
+    passage = [f"p{k}" for k in range(60)]
+    text = lambda: [f"x{rnd.randrange(10**9)}" for _ in range(400)]
+    base = {i: text() + passage for i in range(40)}
+    texts = [(i, w) for i, w in base.items()]
+    for i in range(0, 30, 3):  # a near copy under another id, whose own text differs
+        near = list(base[i])
+        for at in rnd.sample(range(len(near)), 4):
+            near[at] = "changed"
+        texts.append((i + 1, near))
+    texts += [(7, base[7])] * 200 + [(50, base[39])] + [(51, text()) for _ in range(100)]
+    rows = [(i, " ".join(w)) for i, w in texts]
+    out = jaccard.similar_components(spark.createDataFrame(rows[::-1] if turned else rows, "doc_id long, text string").repartition(3)).collect()
+    whole = sorted({(i, tuple(w)) for i, w in texts})
+    sets = [(i, {w[k:k + 4] for k in range(len(w) - 3)}) for i, w in whole]
+    links = [(a, b) for n, (a, x) in enumerate(sets) for b, y in sets[:n] if a == b or 100 * len(x & y) >= 85 * len(x | y)]
+    group = components({i for i, _ in rows}, links)
+    assert len({group[i] for i in range(40)}) == 30 and group[50] == 39
+    assert Counter((r["doc_id"], r["component_id"]) for r in out) == Counter((i, group[i]) for i, _ in rows)
+
+
+@pytest.mark.parametrize("work", [1, 100_000])
+def test_jaccard_compares_open_buckets_in_tasks_of_any_size(spark, monkeypatch, work):
+    """Members that share a bucket meet, however its buckets are dealt and cut into blocks."""
+    monkeypatch.setattr(jaccard, "TASK_WORK", work)
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rnd = random.Random(4)
+    common = [f"c{k}" for k in range(300)]
+    rows = [(i, " ".join(common[:150 + rnd.randrange(150)] + [f"u{i % 9}_{rnd.randrange(3)}" for _ in range(rnd.randrange(60))])) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(w[k:k + 4]) for k in range(len(w) - 3)} for i, w in ((i, t.split()) for i, t in rows)}
+    like = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    nodes = jaccard.described(docs, 4).withColumnRenamed("doc_id", "node").drop("text_hash", "set1", "set2").withColumn("component", F.col("node"))
+    members = nodes.withColumn("bucket", F.explode(F.array(F.lit(1).cast("long"), F.col("node") % 3 + 2)))
+    elements = jaccard._elements(docs.withColumnRenamed("doc_id", "node"), 4)
+    found = {(r["a"], r["b"]) for r in jaccard._apart(members, elements, 85).collect()}
+    assert like and set(like) <= found
+
+
 def test_jaccard_buckets_hold_every_link():
     for percent in (80, 85):
         for n in range(1, 400):
