@@ -333,8 +333,9 @@ def similar_components(docs: DataFrame, words: int = 4, percent: int = 85) -> Da
     own = narrow.filter("doc_id is not null and n_shingles > 0")
     name = ["n_shingles", "set1", "set2"]
     classes = own.groupBy(*name).agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), *[F.first(f"p{k}").alias(f"p{k}") for k in range(4)])
-    # a node is a number per set, fixed by being written
-    classes = table(classes.select(F.monotonically_increasing_id().alias("node"), *name, "of.doc_id", "of.text_hash", *[f"p{k}" for k in range(4)]))
+    # a node is a number per set, in the order of ids (so that the oldest text of a bucket is its first), fixed by being written
+    classes = classes.select(*name, "of.doc_id", "of.text_hash", *[f"p{k}" for k in range(4)]).repartitionByRange("doc_id", "text_hash").sortWithinPartitions("doc_id", "text_hash")
+    classes = table(classes.select(F.monotonically_increasing_id().alias("node"), "*"))
     found = table(buckets(docs.filter("doc_id is not null"), words, percent))
     named = classes.select(F.shiftrightunsigned("set1", 16).alias("set_key"), "node")
     # a bucket's rows by node; a node may stand in a bucket once for each of its keys
