@@ -178,7 +178,8 @@ def basket_vs_future_orders(basket: DataFrame, orders: DataFrame, items: DataFra
 
 
 def horizon_forecasts(forecasts: DataFrame, products: DataFrame, first: date, days: int = 7) -> DataFrame:
-    about = products.select("productId", F.col("name").alias("product_name"), "price_gbp")
+    # neither side is broadcast: both have a row per product or more
+    about = products.select("productId", F.col("name").alias("product_name"), "price_gbp").hint("merge")
     return _latest_between(forecasts, first, days).join(about, "productId").select(
         "productId", "target_date", F.col("predicted_quantity").alias("forecast_qty"), "product_name", "price_gbp"
     )

@@ -84,8 +84,10 @@ def latest_forecasts(forecasts: DataFrame) -> DataFrame:
 
     The newest date is a combinable aggregate joined back, so a product with
     very many forecast rows is never sorted in one task as a window would do.
+    Both sides are shuffled whatever size Spark takes them for: one row per
+    product is no small table, and forecasts exploded from products are read off as the products' size.
     """
-    newest = forecasts.groupBy("productId").agg(F.max("forecast_date").alias("forecast_date"))
+    newest = forecasts.groupBy("productId").agg(F.max("forecast_date").alias("forecast_date")).hint("shuffle_hash")
     return forecasts.join(newest, ["productId", "forecast_date"], "left_semi")
 
 
@@ -224,7 +226,8 @@ def daily_actuals(sales: DataFrame, name: str = "actual_quantity") -> DataFrame:
 
 def forecast_accuracy(forecasts: DataFrame, sales: DataFrame) -> DataFrame:
     predicted, actual = F.col("predicted_quantity"), F.col("actual_quantity")
-    return forecasts.join(daily_actuals(sales), ["productId", "target_date"]).select(
+    # neither side is broadcast: forecasts exploded from products are read off as the products' size
+    return forecasts.join(daily_actuals(sales).hint("merge"), ["productId", "target_date"]).select(
         "productId",
         "forecast_date",
         "target_date",
