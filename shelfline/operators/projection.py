@@ -12,6 +12,7 @@ from shelfline.functions.dates import anchor
 from shelfline.functions.numbers import half_up
 from shelfline.operators.basket import basket_daily
 from shelfline.operators.views import latest_forecasts
+from shelfline.plans.ordering import spread
 
 
 def total_demand(forecasts: DataFrame, basket: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def projection_flows(
     due = inbound.filter((F.col("status") == "PENDING") & inside("expected_delivery_date"))
     active = basket.filter(F.col("status") == "ACTIVE").withColumn("_d", F.to_date("added_at")).filter(inside("_d"))
     predicted = latest_forecasts(forecasts).filter(inside("target_date"))
-    spine = products.select("productId", F.explode(F.sequence(first, last)).alias("_d"))
+    spine = spread(products.select("productId"), "productId").select("productId", F.explode(F.sequence(first, last)).alias("_d"))
     spoils = lambda units: [] if lots else [_movement(expires, expiring=units)]
     flows = (
         _moves(spine, _movement(F.col("_d")))
@@ -149,7 +150,7 @@ def stock_projection(
     about = products.select(
         "productId", F.col("name").alias("product_name"), "category",
         temperature_zone(F.col("category"), F.col("subcategory")).alias("temp_zone"),
-    )
+    ).hint("merge")  # the days lie by product already
     return (
         projected.withColumn("days_of_supply", F.when(mean > 0, half_up(F.greatest(F.col("beginning_stock"), F.lit(0.0)) / mean, 2)))
         .withColumn("stock_status", F.when(ending < 0, "STOCKOUT_RISK").when(ending < demand, "LOW_STOCK").otherwise("OK"))

@@ -37,6 +37,15 @@ def count_below(sorted_values: str | Column, value: Column, size: int) -> Column
     return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(marks, at + step - 1) <= value, at + step).otherwise(at))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` to as many tasks as the session shuffles to.
+
+    For few small rows that are about to become many: a small file is one task, and what is made of its rows
+    would be aggregated there. The number is given, as adaptive execution would merge partitions by their size before the rows multiply.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of a reduced intermediate that several consumers share."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from shelfline.functions.classify import temperature_zone
 from shelfline.functions.dates import compact_date
 from shelfline.operators import catalog, replenish
+from shelfline.plans.ordering import spread
 
 AS_OF = date(2001, 8, 1)
 BASKET_NOW = datetime(2001, 8, 1, 12, 0)
@@ -260,7 +261,7 @@ class Bridge:
     @cached_property
     def forecasts(self) -> DataFrame:
         ages = F.array(*[F.lit(a) for a in FORECAST_AGES])
-        parts = self.raw("part").select("p_partkey", F.explode(ages).alias("age"))
+        parts = spread(self.raw("part").select("p_partkey"), "p_partkey").select("p_partkey", F.explode(ages).alias("age"))
         grid = parts.select("*", F.explode(F.sequence(F.lit(1), F.lit(7))).alias("forecast_horizon"))
         made = F.date_sub(F.lit(AS_OF), F.col("age"))
         predicted = (F.pmod(F.col("p_partkey") * 7 + F.col("forecast_horizon") * 3 + F.col("age"), F.lit(40)) + 1).cast("double")
