@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 from hashlib import sha256
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,38 +80,55 @@ def latest_totals(changes: DataFrame) -> DataFrame:
     )
 
 
-_HELD = "ids array<string>, expiry array<long>, quantity array<long>, added array<long>"
+_HELD = "products array<string>, sessions array<string>, ids array<string>, expiry array<long>, quantity array<long>, added array<long>, closes long"
 _HOLDING = "basket_day date, productId string, session_id string, total_quantity long, basket_rows long, earliest_add timestamp, latest_add timestamp"
+_NEVER = np.iinfo("int64").min  # no time
+
+
+def _clock(micros: list[int]) -> pd.Series:
+    return pd.Series(np.array(micros, dtype="int64").view("datetime64[us]")).dt.tz_localize("UTC")
 
 
 def _hold(key: tuple, batches, state: GroupState):
-    """One session's rows of a product and day: new ones come in, expired ones go when their timer fires."""
+    """The sessions of a day and bucket: new rows come in, expired ones go when a timer fires, and what changed of a session and product is told."""
     now = max(state.getCurrentWatermarkMs(), 0) * 1000
-    before = list(zip(*state.get, strict=True)) if state.exists else []
-    held, closes = {row[0]: row for row in before}, None
+    held, closes = {}, None
+    if state.exists:
+        *columns, closes = state.get
+        for product, session, *row in zip(*columns, strict=True):
+            held.setdefault((product, session), {})[row[0]] = tuple(row)
+    before = {group: set(rows) for group, rows in held.items()}
     for batch in [] if state.hasTimedOut else batches:
         for row in batch.itertuples(index=False):
             closes = row.closes
-            if row.id not in held:
-                held[row.id] = (row.id, None if pd.isna(row.expiry) else int(row.expiry), int(row.quantity), int(row.added))
-    left = sorted((r for r in held.values() if r[1] is None or r[1] >= now), key=lambda r: (r[3], r[0]))
-    timers = [r[1] for r in left if r[1] is not None]
-    if not timers and left and closes is not None and closes >= now:
-        timers = [closes]  # rows that never expire are forgotten, not emptied, once the day is closed
+            rows = held.setdefault((row.productId, row.session_id), {})
+            if row.id not in rows:
+                rows[row.id] = (row.id, None if pd.isna(row.expiry) else int(row.expiry), int(row.quantity), int(row.added))
+    kept, timers, changes = [], [], []
+    for group, rows in held.items():
+        left = sorted((r for r in rows.values() if r[1] is None or r[1] >= now), key=lambda r: (r[3], r[0]))
+        ends = [r[1] for r in left if r[1] is not None]
+        if not ends and left and closes >= now:
+            ends = [closes]  # rows that never expire are forgotten, not emptied, once the day is closed
+        if ends:
+            timers.append(min(ends))
+            kept += [(*group, *r) for r in left]
+        if {r[0] for r in left} != before.get(group, set()):
+            changes.append((*group, sum(r[2] for r in left), len(left), left[0][3] if left else _NEVER, left[-1][3] if left else _NEVER))
     if timers:
-        state.update(tuple(list(c) for c in zip(*left, strict=True)))
+        state.update((*(list(c) for c in zip(*kept, strict=True)), int(closes)))
         state.setTimeoutTimestamp(min(timers) // 1000)
     elif state.exists:
         state.remove()
-    if {r[0] for r in left} != {r[0] for r in before}:
-        added = [pd.Timestamp(r[3], unit="us", tz="UTC") for r in left] or [pd.NaT]
+    if changes:
+        products, sessions, quantity, count, earliest, latest = (list(c) for c in zip(*changes, strict=True))
         yield pd.DataFrame({
-            "basket_day": [key[0]], "productId": [key[1]], "session_id": [key[2]], "total_quantity": [sum(r[2] for r in left)], "basket_rows": [len(left)],
-            "earliest_add": pd.Series([added[0]], dtype="datetime64[us, UTC]"), "latest_add": pd.Series([added[-1]], dtype="datetime64[us, UTC]"),
+            "basket_day": [key[0]] * len(changes), "productId": products, "session_id": sessions, "total_quantity": quantity, "basket_rows": count,
+            "earliest_add": _clock(earliest), "latest_add": _clock(latest),
         })
 
 
-def stream_live_basket(basket: DataFrame, late: str = LATE) -> DataFrame:
+def stream_live_basket(basket: DataFrame, late: str = LATE, buckets: int = 64) -> DataFrame:
     """What each session holds of a product, by day of ``added_at``, as it changes: rows come in when added and go when they expire.
 
     The stream's clock is its watermark, ``late`` behind the newest ``added_at``. A row leaves
@@ -118,9 +136,10 @@ def stream_live_basket(basket: DataFrame, late: str = LATE) -> DataFrame:
     none, though no row of it arrives. Rows older than the clock, those expired on arrival and repeats of a
     ``basket_id`` are left out; a null quantity counts as 0. Rows without ``added_at`` or ``basket_id`` are left out.
 
-    State is keyed by day, product and session, so a product that a third of all rows hold is
-    spread over its sessions. It holds the unexpired rows of a session, and is dropped when the last one expires
-    or, for rows that never do, when the day is closed. Write it with ``run_available``; ``live_totals`` reads it.
+    State is keyed by day and bucket, ``buckets`` a day by the hash of product and session, so a product that a third of
+    all rows hold is spread over its sessions, and Python is called for a bucket, not for each session's product. It holds the
+    unexpired rows of its sessions; a session's are dropped when the last one expires or, for rows that never do, when
+    the day is closed. A stream that goes on keeps its ``buckets``. Write it with ``run_available``; ``live_totals`` reads it.
     """
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     rows = basket.filter((F.col("status") == "ACTIVE") & F.col("basket_id").isNotNull() & F.col("added_at").isNotNull())
@@ -128,11 +147,11 @@ def stream_live_basket(basket: DataFrame, late: str = LATE) -> DataFrame:
         rows.withColumn("added_at", F.col("added_at").cast("timestamp"))
         .withWatermark("added_at", late)
         .select(
-            F.to_date("added_at").alias("basket_day"), "productId", "session_id", "added_at", F.col("basket_id").cast("string").alias("id"),
+            F.to_date("added_at").alias("basket_day"), F.pmod(F.xxhash64("productId", "session_id"), F.lit(buckets)).alias("bucket"), "productId", "session_id", "added_at", F.col("basket_id").cast("string").alias("id"),
             micros("expires_at").alias("expiry"), F.coalesce(F.col("quantity").cast("long"), F.lit(0)).alias("quantity"), micros("added_at").alias("added"),
             F.unix_micros(F.date_add(F.to_date("added_at"), 1).cast("timestamp")).alias("closes"),
         )
-        .groupBy("basket_day", "productId", "session_id")
+        .groupBy("basket_day", "bucket")
         .applyInPandasWithState(_hold, _HOLDING, _HELD, "update", GroupStateTimeout.EventTimeTimeout)
     )
 

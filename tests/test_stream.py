@@ -76,3 +76,35 @@ def test_rows_leave_when_their_time_comes(spark, tmp_path):
     assert seen[1] == {("14", "A"): (2, 8, 3), ("14", "B"): (2, 8, 2)}
     assert seen[2] == {("14", "A"): (1, 1, 1), ("14", "B"): (2, 8, 2), ("14", "C"): (1, 1, 1)}
     assert seen[3] == {("14", "A"): (1, 1, 1), ("14", "B"): (1, 1, 1), ("14", "C"): (1, 1, 1), ("15", "C"): (1, 3, 1)}
+
+
+def test_sessions_of_a_bucket_stay_apart(spark, tmp_path):
+    """With one bucket all sessions of a day share a state; null sessions and repeats are told apart as in many."""
+    ddl = "basket_id long, " + DDL
+    at = lambda h: T0 + timedelta(hours=h)
+    batches = [
+        [(1, "A", "s1", 2, at(0), at(3), "ACTIVE"), (2, "A", None, 1, at(0), None, "ACTIVE"), (3, "A", "s1", 4, at(1), None, "ACTIVE"), (1, "B", "s1", 7, at(1), at(9), "ACTIVE")],
+        [(4, "C", "s1", 1, at(5), at(20), "ACTIVE")],  # the clock moves to hour 4: row 1 of product A leaves, row 3 is still held
+        [(3, "A", "s1", 4, at(6), None, "ACTIVE"), (5, "A", "s1", 8, at(6), None, "ACTIVE")],  # a repeat and a new one
+    ]
+    got = []
+    for buckets in (1, 64):
+        source, sink, state = (str(tmp_path / f"{n}{buckets}") for n in ("in", "out", "state"))
+        for batch in batches:
+            spark.createDataFrame(batch, ddl).coalesce(1).write.mode("append").parquet(source)
+            stream = spark.readStream.schema(ddl).option("maxFilesPerTrigger", 1).parquet(source)
+            run_available(stream_live_basket(stream, "1 hour", buckets), sink, state).awaitTermination()
+        got.append({r["productId"]: tuple(r)[2:] for r in live_totals(spark.read.parquet(sink)).collect()})
+    assert got[0] == got[1]
+    assert got[0]["A"][1:3] == (13, 3) and got[0]["B"][:3] == (1, 7, 1) and got[0]["C"][:3] == (1, 1, 1)
+
+
+def test_python_is_called_for_a_bucket(spark, tmp_path):
+    """2,000 sessions of a day are a call for each of four buckets, not for each session."""
+    rows = [(i, str(i % 7), f"s{i}", 1, T0, None, "ACTIVE") for i in range(2000)]
+    source, sink, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    spark.createDataFrame(rows, "basket_id long, " + DDL).coalesce(1).write.parquet(source)
+    run = run_available(stream_live_basket(spark.readStream.schema("basket_id long, " + DDL).parquet(source), buckets=4), sink, state)
+    run.awaitTermination()
+    assert max(op.numRowsTotal for p in run.recentProgress for op in p.stateOperators) <= 4
+    assert sum(r["basket_rows"] for r in live_totals(spark.read.parquet(sink)).collect()) == 2000
