@@ -86,9 +86,12 @@ def save_table(df: DataFrame, name: str, merge_schema: bool = True, mode: str =
 def save_bucketed(tables: Mapping[str, DataFrame], key: str, buckets: int, database: str | None = None) -> None:
     """Managed tables bucketed and sorted by ``key``, which all of them have: aggregates and joins by it read them without a shuffle.
 
-    Each is shuffled once, here, to a task a bucket, so that a bucket is one file. Choose ``buckets`` so that a bucket of the
-    largest table fits a task, the same for all; a key that very many rows share makes one large bucket.
+    Each is shuffled once, here, to a task a bucket, so that a bucket is one file. A bucket is what one task writes and later reads, so
+    there are ``buckets`` at least, and the next multiple of it that is no less than the session's shuffle partitions, the same for
+    all tables; a key that very many rows share makes one large bucket.
     """
+    partitions = max((int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) for df in tables.values()), default=1)
+    buckets *= -(-partitions // buckets)
     for name, df in tables.items():
         placed = df.repartition(buckets, key).sortWithinPartitions(key)
         placed.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(f"{database}.{name}" if database else name)
