@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.schema import LOAD_ORDER, table_schema
 from shelfline.session import ensure_checkpoint_dir
 from shelfline.sources import conform, maintain, readers, writers
-from tests.conftest import rows
+from tests.conftest import SF_SMALL, rows
 
 
 def test_store_types():
@@ -153,3 +153,25 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         spark.sql("DROP DATABASE bucketed_test CASCADE")
+
+
+def test_buckets_grow_with_the_shuffle_partitions(spark, tmp_path):
+    from shelfline.sources.writers import save_bucketed
+
+    spark.sql(f"CREATE DATABASE buckets_test LOCATION '{tmp_path}/db'")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 10)
+        save_bucketed({"keys": spark.range(500)}, "id", 4, "buckets_test")
+        assert "12" in [r["data_type"] for r in spark.sql("DESCRIBE FORMATTED buckets_test.keys").collect() if r["col_name"] == "Num Buckets"]
+        assert spark.table("buckets_test.keys").count() == 500
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.sql("DROP DATABASE buckets_test CASCADE")
+
+
+def test_documents_are_dealt_out_before_they_are_judged(spark):
+    from shelfline.sources.bridge import Bridge
+    from suite.quality_suite import payloads
+
+    assert payloads(Bridge(spark, SF_SMALL)).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
