@@ -9,7 +9,6 @@ sequences per residual gap becomes smallest.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 
 import numpy as np
@@ -23,8 +22,6 @@ from shelfline.llm.scratch import table
 CAPACITY, END_ID = 2048, 0
 GROUP_TOKENS = 30_000_000  # a packing group: about 15,000 full sequences, a few MB in its task
 TOKENIZER = "byte_bpe_50k"
-CACHE = 400_000  # chunks a Python worker remembers
-_ODD = re.compile(r" \s| $")
 _loaded: dict[str, object] = {}
 
 
@@ -37,9 +34,7 @@ def _public(name: str) -> str:
 def encoder(name: str):
     """text -> ids as little-endian uint32 bytes, equal to the ``tokenizers`` file ``name``.json without special tokens.
 
-    A space before a non-space always opens a new piece of this vocabulary's pattern, so a
-    text is the concatenation of its chunks cut there, and chunks recur: they are looked
-    up. A text with a space before other white space or at its end is encoded whole.
+    A text is encoded whole: most of a corpus's different words occur once, so looking words up costs more than it saves.
     """
     if name in _loaded:
         return _loaded[name]
@@ -50,24 +45,8 @@ def encoder(name: str):
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     bpe = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={"<|endoftext|>": len(ranks)})
 
-    def whole(text: str) -> bytes:
-        return np.array(bpe.encode(text, allowed_special="all"), "<u4").tobytes()
-
-    class Chunks(dict):
-        def __missing__(self, chunk: str) -> bytes:
-            if len(self) >= CACHE:
-                self.clear()
-            ids = whole(" " + chunk)
-            self[chunk] = ids
-            return ids
-
-    known = Chunks()
-
     def encode(text: str) -> bytes:
-        if _ODD.search(text):
-            return whole(text)
-        head, *rest = text.split(" ")
-        return whole(head) + b"".join([known[x] for x in rest]) if rest else whole(head)
+        return bpe.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
 
     _loaded[name] = encode
     return encode

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -124,6 +125,26 @@ def test_packing(docs, rows):
     assert len(places) <= 1.02 * sum(r["length"] for r in out) / 256 + 1
 
 
+def test_packing_costs_new_words_no_more_than_the_library_takes_for_their_text():
+    """Most of a corpus's different words occur once: none is to be encoded in a call of its own."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    encode, draw, whole, reference = packing.encoder("byte_bpe_50k"), random.Random(3), [], Tokenizer.from_file(path("byte_bpe_50k.json"))
+
+    def seconds(text):
+        start = time.process_time()
+        ids = encode(text)
+        return time.process_time() - start, ids
+
+    for _ in range(3):
+        text = "".join(" " + "".join(draw.choices("abcdefgh", k=9)) for _ in range(60_000))
+        glued, (spent, ids) = seconds(text.replace(" ", "\n"))[0], seconds(text)  # without a space there is nothing to cut at
+        whole.append(spent / glued)
+    assert ids == b"".join(x.to_bytes(4, "little") for x in reference.encode(text, add_special_tokens=False).ids)
+    assert min(whole) < 1.5
+
+
 def test_substring_dedup(docs, rows):
     # a small shard makes hot anchors split into blocks
     for spans in (substring.SHARD_SPANS, 2):
