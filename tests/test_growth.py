@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.operators.basket import horizon_forecasts
 from shelfline.operators.projection import stock_projection, total_demand
 from shelfline.operators.views import forecast_accuracy, latest_forecasts
+from shelfline.session import prefer_defaults
 from shelfline.sources.bridge import Bridge
 from tests.conftest import SF_SMALL, rows
 
@@ -50,3 +51,14 @@ def test_rows_are_dealt_out_before_they_multiply(spark):
     made = Bridge(spark, SF_SMALL).forecasts
     assert "REPARTITION_BY_NUM" in _plan(made) and made.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert rows(total_demand(_forecasts(spark), basket), "productId", "total_demand") == [("0", 2.0), ("0", 2.0), ("0", 3.0), ("1", 2.0), ("1", 2.0), ("2", 2.0), ("2", 2.0)]
+
+
+def test_a_task_reads_little_unless_the_session_chose_otherwise(spark):
+    """What a task sorts and hashes takes many times the bytes it reads, so it must not grow to Spark's 64 or 128 MB of them."""
+    sizes = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    fresh, chosen = spark.newSession(), spark.newSession()
+    for key in sizes:
+        chosen.conf.set(key, "5m")
+    assert [prefer_defaults(fresh).conf.get(key) for key in sizes] == ["16m", "16m"]
+    assert [prefer_defaults(chosen).conf.get(key) for key in sizes] == ["5m", "5m"]
+    assert spark.conf.get(sizes[0]) == "16m"
