@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -29,10 +30,11 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 from shelfline.llm.scratch import table
 
 FIRST, SECOND = "byte_bpe_50k.json", "piece_bpe_32k.model"
-CACHE = 500_000  # chunks between spaces that a Python worker remembers
+CACHE = 250_000  # chunks between spaces that a Python worker remembers
 LONG = 64  # letters; longer chunks are not remembered
-CHUNK_BYTES = 1 << 20  # text whose tokens are aligned together
+CHUNK_BYTES = 1 << 18  # text whose tokens are aligned together
 BLOCK_LINKS = 8_000_000  # links after which a block of documents is full
+ROW_PAIRS = 1 << 17  # pairs of a block in one row
 _ODD = re.compile("\\s | $|▁")
 _loaded: dict[tuple, "Tokenizers"] = {}
 
@@ -229,15 +231,43 @@ class Aligned:
         return both[new] % top
 
 
-def _runs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+def _runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
     first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
+    for i, own in enumerate(pc.binary_length(texts).to_pylist()):
+        size += own or 0
         if size >= CHUNK_BYTES or i == len(texts) - 1:
             yield first, i + 1
             first, size = i + 1, 0
 
 
+class _Counts:
+    """Documents of each pair. What came since is merged once it is as much as what is merged, so a pair is sorted a few times."""
+
+    def __init__(self):
+        self.pairs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
+
+    def add(self, pairs: np.ndarray, n: np.ndarray) -> None:
+        self.new.append((pairs, n))
+        self.waiting += len(pairs)
+        if self.waiting >= max(len(self.pairs), ROW_PAIRS):
+            self.merge()
+
+    def merge(self) -> None:
+        pairs, n = (np.concatenate(x) for x in zip((self.pairs, self.n), *self.new, strict=True))
+        by = np.argsort(pairs, kind="stable")
+        pairs, n = pairs[by], n[by]
+        heads = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
+        self.pairs, self.n = pairs[heads], np.add.reduceat(n, heads) if len(heads) else n
+        self.new, self.waiting = [], 0
+
+    def rows(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        self.merge()
+        for i in range(0, len(self.pairs), ROW_PAIRS):
+            yield self.pairs[i:i + ROW_PAIRS], self.n[i:i + ROW_PAIRS]
+
+
 _DOC = StructType().add("doc_id", "long").add("n_a", "long").add("n_b", "long").add("n_groups", "long").add("n_links", "long").add("groups_sha256", "string").add("groups", "string")
 _DOC_ARROW = pa.struct([("doc_id", pa.int64()), *[(x, pa.int64()) for x in ("n_a", "n_b", "n_groups", "n_links")], ("groups_sha256", pa.string()), ("groups", pa.string())])
 
@@ -249,14 +279,7 @@ def _written_blocks(docs: DataFrame, first: str, second: str, folder: str | None
         known = tokenizers(first, second, folder)
         pack = zstandard.ZstdCompressor(level=3)
         base, block, held = TaskContext.get().partitionId() << 32, 0, 0
-        counted: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def counts() -> tuple[np.ndarray, np.ndarray]:
-            pairs, n = (np.concatenate(x) for x in zip(*counted, strict=True))
-            by = np.argsort(pairs, kind="stable")
-            pairs, n = pairs[by], n[by]
-            heads = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.zeros(0, np.int64)
-            return pairs[heads], np.add.reduceat(n, heads) if len(heads) else n
+        counted = _Counts()
 
         def row(rows: list[dict], links_: bytes | None, pairs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -265,9 +288,9 @@ def _written_blocks(docs: DataFrame, first: str, second: str, folder: str | None
 
         none = np.zeros(0, np.int64)
         for batch in batches:
-            texts, ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for lo, hi in _runs(texts):
-                part = Aligned(known.encode([t or "" for t in texts[lo:hi]]), known)
+            ids = batch.column("doc_id").to_pylist()
+            for lo, hi in _runs(batch.column("text")):
+                part = Aligned(known.encode([t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()]), known)
                 raw, places = part.written()
                 rows = []
                 for k, i in enumerate(range(lo, hi)):
@@ -277,16 +300,14 @@ def _written_blocks(docs: DataFrame, first: str, second: str, folder: str | None
                         "n_groups": int(part.groups[k + 1] - part.groups[k]), "n_links": int(part.links[k + 1] - part.links[k]),
                         "groups_sha256": hashlib.sha256(own).hexdigest() if own else "", "groups": own.decode() if with_groups else None})
                 yield row(rows, pack.compress(part.pairs.astype(np.uint32 if len(known.first_bytes) * len(known.second_bytes) < 1 << 32 else np.uint64).tobytes()), none, none)
-                counted.append(np.unique(part.pairs_of_documents(), return_counts=True))
-                if len(counted) > 8:
-                    counted[:] = [counts()]
+                counted.add(*np.unique(part.pairs_of_documents(), return_counts=True))
                 held += len(part.pairs)
                 if held >= BLOCK_LINKS:
-                    yield row([], None, *counts())
-                    block, held = block + 1, 0
-                    counted.clear()
-        if counted:
-            yield row([], None, *counts())
+                    for some in counted.rows():
+                        yield row([], None, *some)
+                    block, held, counted = block + 1, 0, _Counts()
+        for some in counted.rows():
+            yield row([], None, *some)
 
     schema = StructType().add("block", "long").add("docs", ArrayType(_DOC)).add("links", "binary").add("pairs", ArrayType(LongType())).add("n", ArrayType(LongType()))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -125,3 +128,27 @@ def test_small_blocks_change_nothing(spark, known, monkeypatch):
 def test_query(spark, known, libraries):
     texts = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()]
     check(queries.op11_token_alignment(spark, SF_SMALL).collect(), texts, known, libraries)
+
+
+def test_a_worker_holds_little(spark, monkeypatch):
+    """A batch is taken in runs, and a block's pairs leave in rows of bounded size."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(3, 9))) for _ in range(30_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(600)), "text": [" ".join(rnd.choices(words, k=800)) for _ in range(600)]})
+    docs = spark.createDataFrame([(0, "")], "doc_id long, text string")
+    runs = []
+    monkeypatch.setattr(alignment, "ROW_PAIRS", 500, raising=False)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    monkeypatch.setattr(alignment, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    alignment._written_blocks(docs, alignment.FIRST, alignment.SECOND, None, False)
+    tracemalloc.start()
+    try:
+        found = [(r.column("docs")[0].as_py(), r.column("pairs")[0].as_py()) for r in runs[0]([batch])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [d["doc_id"] for rows, _ in found for d in rows] == list(range(600))
+    pairs = [p for _, own in found for p in own]
+    assert pairs == sorted(set(pairs))
+    assert max(len(own) for _, own in found) <= 500
+    assert peak < 60 << 20
