@@ -24,12 +24,24 @@ from shelfline.plans.reports import beside
 _RULES = -1  # the space of row rules: their number is the key
 
 
+@dataclass
+class _Said:
+    """What each row of a table says: the key in ``column`` (a number: that key) holds ``slot``."""
+
+    space: int
+    column: str | int
+    slot: int
+    amount: Column | None
+    day: Column | None
+
+
 @dataclass
 class Constraints:
     """What is to be checked; :meth:`counted` gives one row with a column per check."""
 
     tables: Mapping[str, DataFrame]
-    _said: dict[str, list[Column]] = field(default_factory=dict)
+    _said: dict[str, list[_Said]] = field(default_factory=dict)
+    _summed: dict[int, str] = field(default_factory=dict)  # spaces whose amounts are taken, and what by
     _checks: list[tuple[str, str, Column, bool]] = field(default_factory=list)
     _spaces: dict[tuple[str, str], int] = field(default_factory=dict)
     _slots: dict[int, int] = field(default_factory=dict)
@@ -44,23 +56,38 @@ class Constraints:
             return F.col(column).cast("long"), F.lit(None).cast("string")
         return F.lit(None).cast("long"), F.col(column).cast("string")
 
+    def _struct(self, said: _Said) -> Column:
+        if isinstance(said.column, int):
+            whole, text = F.lit(said.column).cast("long"), F.lit(None).cast("string")
+        else:
+            whole, text = self._key(said.space, said.column)
+        return F.struct(
+            F.lit(said.space).alias("space"), whole.alias("whole"), text.alias("text"), (F.lit(None).cast("date") if said.day is None else said.day).alias("day"),
+            F.lit(said.slot).alias("slot"), (F.lit(0) if said.amount is None else F.coalesce(said.amount, F.lit(0))).cast("long").alias("amount"),
+        )
+
     def say(self, table: str, space: int, column: str, slot: int, amount: Column | None = None, day: Column | None = None) -> None:
         """Each row of ``table`` says of the key in ``column`` that it holds ``slot``; amounts add up, days keep keys apart."""
-        whole, text = self._key(space, column)
-        self._said.setdefault(table, []).append(
-            F.struct(
-                F.lit(space).alias("space"), whole.alias("whole"), text.alias("text"), (F.lit(None).cast("date") if day is None else day).alias("day"),
-                F.lit(slot).alias("slot"), (F.lit(0) if amount is None else F.coalesce(amount, F.lit(0))).cast("long").alias("amount"),
-            )
-        )
+        if amount is not None:
+            if self._summed.setdefault(space, "keys") != "keys":
+                raise ValueError("the amounts of these keys already count a row rule")
+        self._said.setdefault(table, []).append(_Said(space, column, slot, amount, day))
 
     def space(self, table: str, column: str, children: Sequence[tuple[str, str]] = (), name: str = "key") -> int:
-        """The keys of ``table.column``: whole numbers if the children's columns are so too."""
-        known = (f"{table}.{column}", name)
+        """The keys of ``table.column``, which its rows are: whole numbers if the children's columns are so too.
+
+        Keys that are checked to be unique are not said again to be pointed to, unless they travel in another type.
+        """
+        entity, whole = f"{table}.{column}", all(self._is_whole(t, c) for t, c in [(table, column), *children])
+        known = (entity, name)
         if known not in self._spaces:
-            space = self._spaces[known] = len(self._spaces)
-            self._slots[space] = 0
-            self._whole[space] = all(self._is_whole(t, c) for t, c in [(table, column), *children])
+            unique = self._spaces.get((entity, "unique"))
+            if unique is not None and self._whole[unique] == whole:
+                self._spaces[known] = unique
+            else:
+                space = self._spaces[known] = len(self._slots)
+                self._slots[space], self._whole[space] = 0, whole
+                self.say(table, space, column, 0)
         return self._spaces[known]
 
     def slot(self, space: int) -> int:
@@ -76,39 +103,40 @@ class Constraints:
     def unique(self, table: str, column: str) -> None:
         """Key values that repeat, and rows without one."""
         space = self.space(table, column, name="unique")
-        self.say(table, space, column, 0)
         mine = F.col("space") == space
         self.check("duplicate_key", f"{table}.{column}", F.count_if(mine & (F.col("n0") > 1)))
         self.check("null_key", f"{table}.{column}", F.sum(F.when(mine & no_key(), F.col("n0"))))
 
     def reference(self, child: str, child_column: str, parent: str, parent_column: str, children: Sequence[tuple[str, str]]) -> None:
         """Rows of ``child`` whose key no row of ``parent`` has; ``children``: all columns that point there."""
-        known = (f"{parent}.{parent_column}", "parent")
-        new = known not in self._spaces
         space = self.space(parent, parent_column, children, name="parent")
-        if new:
-            self.say(parent, space, parent_column, 0)
         slot = self.slot(space)
         self.say(child, space, child_column, slot)
         orphan = (F.col("space") == space) & ~no_key() & (F.col("n0") == 0)
         self.check("foreign_key", f"{child}.{child_column} -> {parent}.{parent_column}", F.sum(F.when(orphan, F.col(f"n{slot}"))))
 
     def row_rule(self, check: str, entity: str, table: str, broken: Column) -> None:
-        """Rows of ``table`` for which ``broken`` is true."""
+        """Rows of ``table`` for which ``broken`` is true.
+
+        They are the amounts of keys that the rows say anyway and that nobody adds up; where there are none left, the
+        rule's own number is a key.
+        """
+        violations = F.coalesce(broken, F.lit(False)).cast("long")
+        said = next((x for x in self._said.get(table, []) if x.space not in self._summed), None)
+        if said is not None:
+            said.amount, self._summed[said.space] = violations, "rule"
+            self.check(check, entity, F.sum(F.when(F.col("space") == said.space, F.col("amount"))))
+            return
         number, self._rules = self._rules, self._rules + 1
-        self._said.setdefault(table, []).append(
-            F.struct(
-                F.lit(_RULES).alias("space"), F.lit(number).cast("long").alias("whole"), F.lit(None).cast("string").alias("text"), F.lit(None).cast("date").alias("day"),
-                F.lit(0).alias("slot"), F.coalesce(broken, F.lit(False)).cast("long").alias("amount"),
-            )
-        )
+        self._said.setdefault(table, []).append(_Said(_RULES, number, 0, violations, None))
+        self._summed[_RULES] = "rule"
         self.check(check, entity, F.sum(F.when((F.col("space") == _RULES) & (F.col("whole") == number), F.col("amount"))))
 
     # --- the work -----------------------------------------------------------
 
     def keys(self) -> DataFrame:
         """space, whole, text, day; n0, n1, ... rows that said each slot; amount: their sum. One row per key and day."""
-        said = [self.tables[t].select(F.inline(F.array(*structs))) for t, structs in self._said.items()]
+        said = [self.tables[t].select(F.inline(F.array(*[self._struct(x) for x in own]))) for t, own in self._said.items()]
         slots = max([0, *self._slots.values()])
         counts = [F.count_if(F.col("slot") == j).alias(f"n{j}") for j in range(slots + 1)]
         return reduce(lambda a, b: a.unionByName(b), said).groupBy("space", "whole", "text", "day").agg(*counts, F.sum("amount").alias("amount"))

@@ -100,3 +100,17 @@ def test_texts_and_numbers_meet_as_texts(spark):
     c = Constraints({"child": child, "parent": parent})
     c.reference("child", "p", "parent", "pk", [("child", "p")])
     assert found(c.verdicts()) == [("foreign_key", "child.p -> parent.pk", 1, False)]
+
+
+def test_rows_say_a_key_once_and_rules_come_with_it(spark):
+    """A unique key that is pointed to is one key, and a rule's broken rows are its amounts; a second rule has a key of its own."""
+    rows = [(1, 5), (1, -1), (None, -2), (2, None)]
+    c = Constraints({"t": spark.createDataFrame(rows, "id long, v long"), "child": spark.createDataFrame([(1,), (3,), (None,)], "id long")})
+    c.unique("t", "id")
+    c.reference("child", "id", "t", "id", [("child", "id")])
+    c.row_rule("negative", "t", "t", F.col("v") < 0)
+    c.row_rule("large", "t", "t", F.col("v") > 4)
+    assert c.keys().agg(F.sum("n0")).collect()[0][0] == 2 * len(rows)
+    assert {r["check"]: r["violations"] for r in c.verdicts().collect()} == {"duplicate_key": 1, "null_key": 1, "foreign_key": 1, "negative": 2, "large": 1}
+    with pytest.raises(ValueError, match="row rule"):
+        c.say("t", 0, "id", 0, amount=F.col("v"))
