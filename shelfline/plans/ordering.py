@@ -18,6 +18,7 @@ from shelfline.plans.reports import beside
 from shelfline.session import ensure_checkpoint_dir
 
 SPLITS = 1024  # ranges of values; a power of two
+DEALT_ROWS = 50_000  # rows a task is dealt before they multiply
 _NULL_RANGE = -1
 
 
@@ -38,12 +39,14 @@ def count_below(sorted_values: str | Column, value: Column, size: int) -> Column
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt out by ``keys`` to as many tasks as the session shuffles to.
+    """``df`` dealt out by ``keys`` to as many tasks as the session shuffles to, and to more where these would get over ``DEALT_ROWS`` rows.
 
-    For few small rows that are about to become many: a small file is one task, and what is made of its rows
-    would be aggregated there. The number is given, as adaptive execution would merge partitions by their size before the rows multiply.
+    For small rows that are about to become many: a small file is one task, and what is made of its rows
+    would be aggregated there. The number is given, as adaptive execution would merge partitions by their size before the rows multiply,
+    so the rows are counted when the plan is made; the count decides nothing but the number of tasks.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    shuffled = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(shuffled, -(-df.count() // DEALT_ROWS)), *keys)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

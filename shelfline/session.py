@@ -23,6 +23,11 @@ _SIZES = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
 }
 
+# Partitions a shuffle starts with. Adaptive execution merges them up to the size above, but never splits those of an aggregate, a window
+# or a sort, so there must be enough for the largest tables, however few the session shuffles small ones to.
+_STARTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+STARTING_PARTITIONS = 400
+
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A local session for tests and benchmarks."""
@@ -40,8 +45,11 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
     return prefer_defaults(spark)
 
 
-def prefer_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the library's adaptive-execution settings to a session that has not set them."""
+def prefer_defaults(spark: SparkSession, partitions: bool = True) -> SparkSession:
+    """Apply the library's adaptive-execution settings to a session that has not set them.
+
+    Without ``partitions`` shuffles start with the number the session shuffles to, unless it has another already.
+    """
     explicit = {key for key, _ in spark.sparkContext.getConf().getAll()}
     for key, value in _DEFAULTS.items():
         if key not in explicit:
@@ -49,6 +57,9 @@ def prefer_defaults(spark: SparkSession) -> SparkSession:
     for key, value in _SIZES.items():
         if key not in explicit and key not in spark.conf.getAll:
             spark.conf.set(key, value)
+    if partitions and _STARTING not in explicit and spark.conf.get(_STARTING, str(STARTING_PARTITIONS)) == str(STARTING_PARTITIONS):
+        shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(_STARTING, str(max(STARTING_PARTITIONS, shuffled)))
     return spark
 
 

@@ -198,7 +198,7 @@ class Bridge:
         ).withColumn("batch_number", F.concat_ws("-", F.lit("BATCH"), F.substring("productId", 1, 8), compact_date(F.col("expiration_date"))))
         about = self.products.select(
             "productId", "supplier_id", temperature_zone(F.col("category"), F.col("subcategory")).alias("temperature_zone")
-        )
+        ).hint("merge")  # a column or two of the products' file look small enough to broadcast, their rows are not
         return lots.join(about, "productId")
 
     @cached_property

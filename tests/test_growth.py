@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from shelfline.operators.basket import horizon_forecasts
 from shelfline.operators.projection import stock_projection, total_demand
 from shelfline.operators.views import forecast_accuracy, latest_forecasts
-from shelfline.session import prefer_defaults
+from shelfline.plans.ordering import DEALT_ROWS, spread
+from shelfline.session import STARTING_PARTITIONS, prefer_defaults
 from shelfline.sources.bridge import Bridge
 from tests.conftest import SF_SMALL, rows
 
@@ -62,3 +63,27 @@ def test_a_task_reads_little_unless_the_session_chose_otherwise(spark):
     assert [prefer_defaults(fresh).conf.get(key) for key in sizes] == ["16m", "16m"]
     assert [prefer_defaults(chosen).conf.get(key) for key in sizes] == ["5m", "5m"]
     assert spark.conf.get(sizes[0]) == "16m"
+
+
+def test_shuffles_start_with_enough_partitions_unless_the_session_chose_otherwise(spark):
+    """An aggregate's partitions are merged but never split, so a few of them would hold whatever the tables grow to."""
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    few, many, chosen, kept = (spark.newSession() for _ in range(4))
+    few.conf.set("spark.sql.shuffle.partitions", 4)
+    many.conf.set("spark.sql.shuffle.partitions", 4 * STARTING_PARTITIONS)
+    chosen.conf.set(key, 7)
+    assert [prefer_defaults(s).conf.get(key) for s in (few, many, chosen)] == [str(STARTING_PARTITIONS), str(4 * STARTING_PARTITIONS), "7"]
+    assert prefer_defaults(kept, partitions=False).conf.get(key, None) is None
+    few.conf.set("spark.sql.shuffle.partitions", 4 * STARTING_PARTITIONS)  # raised later
+    assert prefer_defaults(few).conf.get(key) == str(4 * STARTING_PARTITIONS)
+
+
+def test_rows_are_dealt_to_more_tasks_as_they_grow(spark):
+    shuffled = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread(spark.range(10), "id").rdd.getNumPartitions() == shuffled
+    dealt = spread(spark.range(DEALT_ROWS * shuffled * 2), "id")
+    assert dealt.rdd.getNumPartitions() == 2 * shuffled and dealt.distinct().count() == DEALT_ROWS * shuffled * 2
+
+
+def test_products_are_not_broadcast_to_the_stock(spark):
+    assert "Broadcast" not in _plan(Bridge(spark, SF_SMALL).stock)
