@@ -24,9 +24,10 @@ _SIZES = {
 }
 
 # Partitions a shuffle starts with. Adaptive execution merges them up to the size above, but never splits those of an aggregate, a window
-# or a sort, so there must be enough for the largest tables, however few the session shuffles small ones to.
+# or a sort, so there must be enough for the largest tables, however few the session shuffles small ones to. Not more than 200, though:
+# up to there a task writes each row straight to its partition's file, beyond it holds all it writes in memory.
 _STARTING = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-STARTING_PARTITIONS = 400
+STARTING_PARTITIONS = 200
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
